@@ -26,12 +26,17 @@ class LoadCounts:
     skipped_duplicate: int
 
 
-def unprocessed(lake: Lake, spec: SourceSpec, runs: list[str] | None = None) -> DataFrame:
+def unprocessed(
+    lake: Lake, spec: SourceSpec, runs: list[str] | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """Bronze rows that have produced neither a Silver row nor a quarantine row.
 
-    ``runs`` narrows the scan to those Bronze run directories.
+    ``runs`` narrows the scan to those Bronze run directories; ``rows`` gives the
+    Bronze rows to look at instead of the whole table.
     """
-    bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
+    bronze = rows
+    if bronze is None:
+        bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
     if runs is not None:
         bronze = bronze.filter(F.col("run_id").isin(runs))
     if lake.exists("silver", spec.silver_table):
@@ -109,24 +114,26 @@ def load_silver(
     at: datetime | None = None,
     on_duplicate: str = "skip",
     only_open_runs: bool = False,
+    rows: DataFrame | None = None,
 ) -> LoadCounts:
     """Validate and load what is new in one source.
 
     ``on_duplicate="quarantine"`` records later copies of a key under VR-09; by
     default they are only counted, and a later load reads and skips them again.
     ``only_open_runs`` reads just the Bronze runs no load has finished, so the
-    cost follows the delivery and not the history.
+    cost follows the delivery and not the history. ``rows`` restricts the load to
+    the given Bronze rows (one micro-batch of a stream).
     """
     if on_duplicate not in ("skip", "quarantine"):
         raise ValueError(f"on_duplicate must be 'skip' or 'quarantine', not '{on_duplicate}'")
     at = at or datetime.now(timezone.utc)
-    runs = open_runs(lake, spec)
+    runs = open_runs(lake, spec) if rows is None else []
     scope = runs if only_open_runs else None
 
     # One pass decides every row; the three consumers below read it back, so the
     # joins run once and a lost executor costs a re-read, not a re-join.
     seen = Observation()
-    tagged = tag(lake, unprocessed(lake, spec, scope), spec).observe(
+    tagged = tag(lake, unprocessed(lake, spec, scope, rows), spec).observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_rule").isNotNull()).alias("rejected"),
