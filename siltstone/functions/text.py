@@ -27,13 +27,19 @@ DECIMAL = (
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of any kind from both ends."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove white space of any kind from both ends.
+
+    Trimming a set of characters is slow, and most values need none: only those
+    that begin or end with a blank, a control or a non-ASCII character get it.
+    """
+    last = F.substring(c, -1, 1)
+    plain = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(plain, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def is_blank(c: Column) -> Column:
     """True for NULL, empty and all-white-space text; never NULL."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    return is_empty(strip(c))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -42,45 +48,49 @@ def blank_to_null(c: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
+    return to_date(strip(c))
+
+
+def parse_int(c: Column) -> Column:
+    return to_int(strip(c))
+
+
+def parse_decimal(c: Column) -> Column:
+    return to_decimal(strip(c))
+
+
+# The functions below take text that is already stripped.
+
+
+def is_empty(s: Column) -> Column:
+    """True for NULL and empty; never NULL."""
+    return F.coalesce(s == "", F.lit(True))
+
+
+def to_date(s: Column) -> Column:
     """``YYYY-MM-DD`` (leading zeros optional) as DATE, else NULL.
 
     A bare cast would also accept ``2025`` or a date with a time, hence the guard.
     """
-    s = strip(c)
-    return F.when(s.rlike(ISO_DATE), F.translate(s, " ", "0").try_cast("date"))
+    return F.when(s.rlike(ISO_DATE), F.replace(s, F.lit(" "), F.lit("0")).try_cast("date"))
 
 
-def parse_int(c: Column) -> Column:
+def to_int(s: Column) -> Column:
     """Whole number as BIGINT, else NULL."""
-    s = strip(c)
-    return F.when(s.rlike(INTEGER), F.translate(s, "_", "").try_cast("bigint"))
+    return F.when(s.rlike(INTEGER), F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 
-def fits_int(c: Column) -> Column:
+def fits_int(n: Column) -> Column:
     """Whether a parsed BIGINT can be stored in a 32-bit column; never NULL."""
-    return F.coalesce(c.between(-(2**31), 2**31 - 1), F.lit(False))
+    return F.coalesce(n.between(-(2**31), 2**31 - 1), F.lit(False))
 
 
-def _decimal_text(c: Column) -> Column:
-    s = strip(c)
-    return F.when(s.rlike(DECIMAL), F.translate(s, "_", ""))
-
-
-def parse_decimal(c: Column, precision: int = 12, scale: int = 2) -> Column:
+def to_decimal(s: Column, precision: int = 12, scale: int = 2) -> Column:
     """Number as DECIMAL rounded half up, NULL if malformed or out of range."""
-    return _decimal_text(c).try_cast(f"decimal({precision},{scale})")
-
-
-def parse_double(c: Column) -> Column:
-    """Number before rounding, for sign tests that rounding would hide."""
-    return _decimal_text(c).try_cast("double")
+    number = F.when(s.rlike(DECIMAL), F.replace(s, F.lit("_"), F.lit("")))
+    return number.try_cast(f"decimal({precision},{scale})")
 
 
-def first_missing(columns: list[str]) -> Column:
-    """Message naming the first blank column in list order, NULL if none is."""
-    return F.coalesce(
-        *[
-            F.when(is_blank(F.col(c)), F.lit(f"Required field '{c}' is missing or blank"))
-            for c in columns
-        ]
-    )
+def is_negative(s: Column) -> Column:
+    """Sign of a well-formed number before rounding, which would hide -0.001."""
+    return F.coalesce(F.replace(s, F.lit("_"), F.lit("")).try_cast("double") < 0, F.lit(False))

@@ -1,4 +1,9 @@
-"""Ordered rules folded into one expression: the first rule that fails wins."""
+"""Ordered rules: the first one that fails decides.
+
+The verdict on all rows is only the number of the failing rule. Its wording is
+built later, for the rejected rows alone: inside the main pass it would bloat the
+generated code past what the JVM compiles.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RULE_TYPE = "struct<rule_id:string,rule_description:string>"
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -17,20 +20,23 @@ class Rule:
     description: Column
 
 
-def cascade(rules: list[Rule]) -> Column:
-    """``struct(rule_id, rule_description)`` of the first failing rule, else NULL."""
-    return F.coalesce(
-        *[
-            F.when(
-                r.failed,
-                F.struct(
-                    F.lit(r.rule_id).alias("rule_id"), r.description.alias("rule_description")
-                ),
-            )
-            for r in rules
-        ],
-        F.lit(None).cast(RULE_TYPE),
-    )
+def first_failure(rules: list[Rule]) -> Column:
+    """Position of the first failing rule, NULL if all hold."""
+    out = F.when(rules[0].failed, F.lit(0))
+    for i, r in enumerate(rules[1:], start=1):
+        out = out.when(r.failed, F.lit(i))
+    return out
+
+
+def explanation(rules: list[Rule], position: Column) -> tuple[Column, Column]:
+    """Rule id and message of a position given by ``first_failure``."""
+    rule_id = message = None
+    for i, r in enumerate(rules):
+        hit = position == i
+        rule_id = F.when(hit, r.rule_id) if rule_id is None else rule_id.when(hit, r.rule_id)
+        message = (F.when(hit, r.description) if message is None
+                   else message.when(hit, r.description))
+    return rule_id.alias("rule_id"), message.alias("rule_description")
 
 
 def quote(before: str, value: Column, after: str) -> Column:
@@ -38,5 +44,6 @@ def quote(before: str, value: Column, after: str) -> Column:
     return F.concat(F.lit(before), F.coalesce(value.cast("string"), F.lit("None")), F.lit(after))
 
 
-def split_by_rule(tagged: DataFrame, rule: str = "_rule") -> tuple[DataFrame, DataFrame]:
-    return tagged.filter(F.col(rule).isNull()), tagged.filter(F.col(rule).isNotNull())
+def split_by_verdict(df: DataFrame, verdict: str) -> tuple[DataFrame, DataFrame]:
+    """Valid rows and rejected rows."""
+    return df.filter(F.col(verdict).isNull()), df.filter(F.col(verdict).isNotNull())

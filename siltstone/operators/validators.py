@@ -2,6 +2,9 @@
 
 Rule ids, their order within a source and the message wording are fixed values:
 quarantine readers depend on them.
+
+A row is judged in three projections, so that each value is stripped once and
+parsed once however many rules and columns use it.
 """
 
 from __future__ import annotations
@@ -12,20 +15,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.config import SOURCES
 from siltstone.functions.text import (
-    blank_to_null,
-    first_missing,
     fits_int,
-    is_blank,
-    parse_date,
-    parse_decimal,
-    parse_double,
-    parse_int,
+    is_empty,
+    is_negative,
     strip,
+    to_date,
+    to_decimal,
+    to_int,
 )
-from siltstone.operators.rules import Rule, cascade, quote
+from siltstone.operators.rules import Rule, explanation, first_failure, quote
+
+raw = F.col
+
+
+def text(column: str) -> Column:
+    return F.col(f"_text_{column}")
 
-c = F.col
+
+def value(column: str) -> Column:
+    return F.col(f"_value_{column}")
 
 
 def known_flag(column: str) -> str:
@@ -34,78 +44,82 @@ def known_flag(column: str) -> str:
 
 @dataclass(frozen=True)
 class Validator:
+    """``parsers`` turn stripped text into a value; ``typed`` names the Silver
+    columns in order, each taken from the parsed value if there is one."""
+
+    parsers: dict[str, Callable[[Column], Column]]
     rules: Callable[[], list[Rule]]
-    cleaned: Callable[[], dict[str, Column]]
+    typed: Callable[[], dict[str, Column]]
 
 
-def _required(*columns: str) -> Rule:
-    message = first_missing(list(columns))
-    return Rule("VR-10", message.isNotNull(), message)
+def _required(*columns: str) -> list[Rule]:
+    return [
+        Rule("VR-10", is_empty(text(c)), F.lit(f"Required field '{c}' is missing or blank"))
+        for c in columns
+    ]
 
 
 def _orphan(column: str, parent: str) -> Rule:
     return Rule(
         "VR-02",
-        c(known_flag(column)).isNull(),
-        quote(f"{column} '", c(column), f"' does not exist in silver.{parent}"),
+        F.col(known_flag(column)).isNull(),
+        quote(f"{column} '", raw(column), f"' does not exist in silver.{parent}"),
     )
 
 
 def _bad(rule_id: str, column: str, failed: Column, what: str) -> Rule:
-    return Rule(rule_id, failed, quote(f"{column} '", c(column), f"' is not a valid {what}"))
+    return Rule(rule_id, failed, quote(f"{column} '", raw(column), f"' is not a valid {what}"))
 
 
 def _not_positive(column: str) -> Column:
-    n = parse_int(c(column))
-    return ~fits_int(n) | (n <= 0)
+    return ~fits_int(value(column)) | (value(column) <= 0)
 
 
 def _supplier_rules() -> list[Rule]:
     return [
-        _required("supplier_id", "supplier_name", "country", "contract_start_date",
-                  "performance_tier"),
-        _bad("VR-10", "contract_start_date", parse_date(c("contract_start_date")).isNull(), "date"),
+        *_required("supplier_id", "supplier_name", "country", "contract_start_date",
+                   "performance_tier"),
+        _bad("VR-10", "contract_start_date", value("contract_start_date").isNull(), "date"),
     ]
 
 
 def _supplier_columns() -> dict[str, Column]:
     return {
-        "supplier_id": strip(c("supplier_id")),
-        "supplier_name": strip(c("supplier_name")),
-        "country": strip(c("country")),
-        "contact_email": blank_to_null(c("contact_email")),  # VR-01: may be blank
-        "contract_start_date": parse_date(c("contract_start_date")),
-        "performance_tier": strip(c("performance_tier")),
+        "supplier_id": text("supplier_id"),
+        "supplier_name": text("supplier_name"),
+        "country": text("country"),
+        "contact_email": F.nullif(text("contact_email"), F.lit("")),  # VR-01: may be blank
+        "contract_start_date": value("contract_start_date"),
+        "performance_tier": text("performance_tier"),
     }
 
 
 def _medicine_rules() -> list[Rule]:
     return [
-        _required("medicine_id", "medicine_name", "category", "unit_of_measure",
-                  "shelf_life_days"),
+        *_required("medicine_id", "medicine_name", "category", "unit_of_measure",
+                   "shelf_life_days"),
         _bad("VR-03", "shelf_life_days", _not_positive("shelf_life_days"), "positive integer"),
     ]
 
 
 def _medicine_columns() -> dict[str, Column]:
     return {
-        "medicine_id": strip(c("medicine_id")),
-        "medicine_name": strip(c("medicine_name")),
-        "category": strip(c("category")),
-        "unit_of_measure": strip(c("unit_of_measure")),
-        "shelf_life_days": parse_int(c("shelf_life_days")).cast("int"),
+        "medicine_id": text("medicine_id"),
+        "medicine_name": text("medicine_name"),
+        "category": text("category"),
+        "unit_of_measure": text("unit_of_measure"),
+        "shelf_life_days": value("shelf_life_days").try_cast("int"),
     }
 
 
 def _order_rules() -> list[Rule]:
-    # The sign is tested before rounding: -0.001 is negative although it rounds to 0.
-    bad_cost = parse_decimal(c("total_cost")).isNull() | (parse_double(c("total_cost")) < 0)
+    bad_cost = value("total_cost").isNull() | is_negative(text("total_cost"))
     return [
-        _required("po_id", "supplier_id", "medicine_id", "order_date", "quantity", "total_cost",
-                  "currency"),
+        *_required("po_id", "supplier_id", "medicine_id", "order_date", "quantity", "total_cost",
+                   "currency"),
         _orphan("supplier_id", "supplier_master"),
         _orphan("medicine_id", "medicine_catalogue"),
-        _bad("VR-03", "order_date", parse_date(c("order_date")).isNull(), "date"),
+        _bad("VR-03", "order_date", value("order_date").isNull(), "date"),
         _bad("VR-03", "quantity", _not_positive("quantity"), "positive integer"),
         _bad("VR-03", "total_cost", bad_cost, "non-negative number"),
     ]
@@ -113,26 +127,26 @@ def _order_rules() -> list[Rule]:
 
 def _order_columns() -> dict[str, Column]:
     return {
-        "po_id": strip(c("po_id")),
-        "supplier_id": strip(c("supplier_id")),
-        "medicine_id": strip(c("medicine_id")),
-        "order_date": parse_date(c("order_date")),
-        "quantity": parse_int(c("quantity")).cast("int"),
-        "total_cost": parse_decimal(c("total_cost")),
-        "currency": strip(c("currency")),
+        "po_id": text("po_id"),
+        "supplier_id": text("supplier_id"),
+        "medicine_id": text("medicine_id"),
+        "order_date": value("order_date"),
+        "quantity": value("quantity").try_cast("int"),
+        "total_cost": value("total_cost"),
+        "currency": text("currency"),
     }
 
 
 def _shipment_rules() -> list[Rule]:
-    eta, arrival = parse_date(c("eta")), parse_date(c("actual_arrival"))
+    eta, arrival = value("eta"), value("actual_arrival")
     return [
-        _required("shipment_id", "po_id", "warehouse_id", "eta", "transport_company", "status"),
+        *_required("shipment_id", "po_id", "warehouse_id", "eta", "transport_company", "status"),
         _orphan("po_id", "purchase_orders"),
         _bad("VR-04", "eta", eta.isNull(), "date"),
         Rule(
             "VR-04",
-            ~is_blank(c("actual_arrival")) & arrival.isNull(),
-            quote("actual_arrival '", strip(c("actual_arrival")),
+            ~is_empty(text("actual_arrival")) & arrival.isNull(),
+            quote("actual_arrival '", text("actual_arrival"),
                   "' is present but not a valid date"),
         ),
         Rule(
@@ -146,54 +160,80 @@ def _shipment_rules() -> list[Rule]:
 
 def _shipment_columns() -> dict[str, Column]:
     return {
-        "shipment_id": strip(c("shipment_id")),
-        "po_id": strip(c("po_id")),
-        "warehouse_id": strip(c("warehouse_id")),
-        "eta": parse_date(c("eta")),
-        "actual_arrival": parse_date(c("actual_arrival")),  # VR-05: blank means in transit
-        "transport_company": strip(c("transport_company")),
-        "status": strip(c("status")),
+        "shipment_id": text("shipment_id"),
+        "po_id": text("po_id"),
+        "warehouse_id": text("warehouse_id"),
+        "eta": value("eta"),
+        "actual_arrival": value("actual_arrival"),  # VR-05: blank means in transit
+        "transport_company": text("transport_company"),
+        "status": text("status"),
     }
 
 
 def _inventory_rules() -> list[Rule]:
-    on_hand = parse_int(c("quantity_on_hand"))
+    on_hand = value("quantity_on_hand")
     too_big = ~fits_int(on_hand) & (on_hand > 0)
     return [
-        _required("warehouse_id", "medicine_id", "quantity_on_hand", "expiry_date",
-                  "batch_number"),
+        *_required("warehouse_id", "medicine_id", "quantity_on_hand", "expiry_date",
+                   "batch_number"),
         _orphan("medicine_id", "medicine_catalogue"),
         _bad("VR-08", "quantity_on_hand", on_hand.isNull() | too_big, "integer"),
         Rule("VR-07", on_hand < 0, quote("quantity_on_hand ", on_hand, " is negative")),
-        _bad("VR-08", "expiry_date", parse_date(c("expiry_date")).isNull(), "date"),
+        _bad("VR-08", "expiry_date", value("expiry_date").isNull(), "date"),
     ]
 
 
 def _inventory_columns() -> dict[str, Column]:
     return {
-        "warehouse_id": strip(c("warehouse_id")),
-        "medicine_id": strip(c("medicine_id")),
-        "batch_number": strip(c("batch_number")),
-        "quantity_on_hand": parse_int(c("quantity_on_hand")).cast("int"),
-        "expiry_date": parse_date(c("expiry_date")),
+        "warehouse_id": text("warehouse_id"),
+        "medicine_id": text("medicine_id"),
+        "batch_number": text("batch_number"),
+        "quantity_on_hand": value("quantity_on_hand").try_cast("int"),
+        "expiry_date": value("expiry_date"),
     }
 
 
 VALIDATORS: dict[str, Validator] = {
-    "supplier_master": Validator(_supplier_rules, _supplier_columns),
-    "medicine_catalogue": Validator(_medicine_rules, _medicine_columns),
-    "purchase_orders": Validator(_order_rules, _order_columns),
-    "shipment_records": Validator(_shipment_rules, _shipment_columns),
-    "warehouse_inventory": Validator(_inventory_rules, _inventory_columns),
+    "supplier_master": Validator(
+        {"contract_start_date": to_date}, _supplier_rules, _supplier_columns),
+    "medicine_catalogue": Validator(
+        {"shelf_life_days": to_int}, _medicine_rules, _medicine_columns),
+    "purchase_orders": Validator(
+        {"order_date": to_date, "quantity": to_int, "total_cost": to_decimal},
+        _order_rules, _order_columns),
+    "shipment_records": Validator(
+        {"eta": to_date, "actual_arrival": to_date}, _shipment_rules, _shipment_columns),
+    "warehouse_inventory": Validator(
+        {"quantity_on_hand": to_int, "expiry_date": to_date},
+        _inventory_rules, _inventory_columns),
 }
 
 
-def tag_first_failure(df: DataFrame, source: str, into: str = "_rule") -> DataFrame:
-    """Add the verdict; reference flags (see membership) must already be there."""
-    return df.withColumn(into, cascade(VALIDATORS[source].rules()))
+def stripped(df: DataFrame, source: str) -> DataFrame:
+    """Add every source column without its outer white space."""
+    return df.withColumns({f"_text_{c}": strip(raw(c)) for c in SOURCES[source].columns})
+
+
+def parsed(df: DataFrame, source: str) -> DataFrame:
+    """Add the parsed values to a stripped frame."""
+    parsers = VALIDATORS[source].parsers
+    return df.withColumns({f"_value_{c}": parse(text(c)) for c, parse in parsers.items()})
+
+
+def judged(df: DataFrame, source: str, into: str = "_failed") -> DataFrame:
+    """Add parsed values and the verdict to a stripped frame; the reference flags
+    (see membership) must already be there."""
+    return parsed(df, source).withColumn(into, first_failure(VALIDATORS[source].rules()))
+
+
+def explained(rejected: DataFrame, source: str, verdict: str = "_failed") -> DataFrame:
+    """Add ``rule_id`` and ``rule_description`` to rejected rows, from their raw
+    columns and the verdict alone."""
+    df = parsed(stripped(rejected, source), source)
+    rule_id, message = explanation(VALIDATORS[source].rules(), F.col(verdict))
+    return df.select("*", rule_id, message)
 
 
-def to_typed(valid: DataFrame, source: str, keep: tuple[str, ...] = ("bronze_id",)) -> DataFrame:
-    """Typed Silver columns of rows that passed every rule."""
-    typed = VALIDATORS[source].cleaned()
-    return valid.select(*[col.alias(name) for name, col in typed.items()], *keep)
+def typed_columns(source: str) -> list[Column]:
+    """Silver columns of a judged frame; meaningful where no rule failed."""
+    return [col.alias(name) for name, col in VALIDATORS[source].typed().items()]

@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import SILVER_SCHEMAS, PipelineConfig, SourceSpec
-from siltstone.functions.text import strip
 from siltstone.operators.dedup import insert_if_absent
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.operators.membership import with_known_flag, without
-from siltstone.operators.rules import split_by_rule
-from siltstone.operators.validators import known_flag, tag_first_failure, to_typed
+from siltstone.operators.rules import split_by_verdict
+from siltstone.operators.validators import (
+    VALIDATORS,
+    explained,
+    judged,
+    known_flag,
+    stripped,
+    text,
+    typed_columns,
+)
+from siltstone.sources.bronze import landed_runs
 from siltstone.sources.lake import Lake
 
 
@@ -50,27 +58,50 @@ def unprocessed(
 
 def open_runs(lake: Lake, spec: SourceSpec) -> list[str]:
     """Landed Bronze runs of a source that no finished Silver load has covered."""
-    landed = lake.read("bronze", "load_log").filter(F.col("bronze_table") == spec.bronze_table)
-    covered = (
-        lake.read("silver", "load_log")
-        .filter(F.col("source") == spec.name)
-        .select(F.explode("bronze_runs").alias("run_id"))
-    )
-    left = landed.select("run_id").distinct().join(covered, "run_id", "left_anti")
-    return sorted(r.run_id for r in left.collect())  # one row per run
+    covered: set[str] = set()
+    if lake.exists("silver", "load_log"):
+        log = lake.read("silver", "load_log").filter(F.col("source") == spec.name)
+        covered = {run for r in log.select("bronze_runs").collect() for run in r.bronze_runs}
+    return sorted(set(landed_runs(lake, spec)) - covered)
 
 
-def tag(lake: Lake, df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Add the verdict ``_rule``: which rule rejects the row, NULL if none does."""
+def judge(lake: Lake, df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Add stripped and parsed values and the verdict: which rule rejects the row,
+    NULL if none does."""
+    df = stripped(df, spec.name)
     for ref in spec.references:
         df = with_known_flag(
-            df,
-            strip(F.col(ref.column)),
-            lake.read("silver", ref.parent),
-            ref.parent_key,
-            known_flag(ref.column),
-        )
-    return tag_first_failure(df, spec.name).drop(*[known_flag(r.column) for r in spec.references])
+            df, text(ref.column), lake.read("silver", ref.parent), ref.parent_key,
+            known_flag(ref.column))
+    return judged(df, spec.name)
+
+
+def outcome_rows(judged_rows: DataFrame, spec: SourceSpec, keep_raw: bool = False) -> DataFrame:
+    """What each row becomes: typed columns (``_new_*``) if valid, the delivered
+    text if rejected. ``keep_raw`` carries the text of valid rows too; the columns
+    that order copies of a key are always kept."""
+    rejected = F.col("_failed").isNotNull()
+
+    def raw(c: str) -> Column:
+        wanted = keep_raw or c in spec.first_by
+        return (F.col(c) if wanted else F.when(rejected, F.col(c))).alias(c)
+
+    typed = zip(_typed_names(spec), typed_columns(spec.name))
+    return judged_rows.select(
+        "bronze_id",
+        "_failed",
+        *[raw(c) for c in (*spec.columns, "ingested_at", "source_file", "run_id")],
+        *[F.when(~rejected, col).alias(f"_new_{name}") for name, col in typed],
+    )
+
+
+def valid_rows(outcome: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Silver columns of valid rows, with ``_by_*`` to order copies of a key."""
+    return outcome.select(
+        *[F.col(f"_new_{c}").alias(c) for c in _typed_names(spec)],
+        "bronze_id",
+        *[F.col(c).alias(f"_by_{c}") for c in spec.first_by],
+    )
 
 
 def row_json(spec: SourceSpec) -> Column:
@@ -87,13 +118,14 @@ def row_json(spec: SourceSpec) -> Column:
 def quarantine_rows(
     rejected: DataFrame, spec: SourceSpec, run_id: str, at: datetime
 ) -> DataFrame:
-    """Rejected rows with the rule, the original row and their lineage. ``run_id``
-    is the Silver load's own; the landing run stays inside ``row_data``."""
+    """Rejected rows with ``rule_id`` and ``rule_description``, as the quarantine
+    keeps them: the original row as JSON and its lineage. ``run_id`` is the Silver
+    load's own; the landing run stays inside ``row_data``."""
     return rejected.select(
         F.lit(spec.name).alias("source_name"),
         F.lit(spec.silver_table).alias("target_table"),
-        F.col("_rule.rule_id").alias("rule_id"),
-        F.col("_rule.rule_description").alias("rule_description"),
+        "rule_id",
+        "rule_description",
         row_json(spec).alias("row_data"),
         "bronze_id",
         F.lit(run_id).alias("run_id"),
@@ -101,6 +133,10 @@ def quarantine_rows(
     )
 
 
+def _typed_names(spec: SourceSpec) -> list[str]:
+    return list(VALIDATORS[spec.name].typed())
+
+
 def _quarantine(lake: Lake, rows: DataFrame, spec: SourceSpec) -> None:
     top = lake.current_max("silver", "quarantine", "quarantine_id")
     rows = with_sequence(rows, "quarantine_id", next_base(top))
@@ -130,28 +166,30 @@ def load_silver(
     runs = open_runs(lake, spec) if rows is None else []
     scope = runs if only_open_runs else None
 
-    # One pass decides every row; the three consumers below read it back, so the
+    # One pass decides every row; the consumers below read its result back, so the
     # joins run once and a lost executor costs a re-read, not a re-join.
     seen = Observation()
-    tagged = tag(lake, unprocessed(lake, spec, scope, rows), spec).observe(
+    decided = outcome_rows(
+        judge(lake, unprocessed(lake, spec, scope, rows), spec), spec,
+        keep_raw=on_duplicate == "quarantine",
+    ).observe(
         seen,
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("_rule").isNotNull()).alias("rejected"),
+        F.count_if(F.col("_failed").isNotNull()).alias("rejected"),
     )
     stage = f"{run_id}/{spec.name}"
-    tagged = lake.stage(tagged, stage)
+    decided = lake.stage(decided, stage)
     total, rejected_n = seen.get["n"], seen.get["rejected"]
-    valid, rejected = split_by_rule(tagged)
+    valid, rejected = split_by_verdict(decided, "_failed")
 
     passed = duplicates = 0
     if total > rejected_n:
-        key = list(spec.natural_key)
-        order = list(spec.first_by)
-        # Order columns are landing columns and may share a name with typed ones.
-        keep = ["bronze_id", *[F.col(o).alias(f"_by_{o}") for o in order]]
-        typed = to_typed(valid, spec.name, tuple(keep))
         new = insert_if_absent(
-            typed, lake.read("silver", spec.silver_table), key, [f"_by_{o}" for o in order])
+            valid_rows(valid, spec),
+            lake.read("silver", spec.silver_table),
+            list(spec.natural_key),
+            [f"_by_{c}" for c in spec.first_by],
+        )
         added = Observation()
         new = new.withColumn("validated_at", F.lit(at).cast("timestamp")).select(
             *_silver_columns(spec)).observe(added, F.count(F.lit(1)).alias("n"))
@@ -159,23 +197,23 @@ def load_silver(
         passed = added.get["n"]
         duplicates = total - rejected_n - passed
     if rejected_n:
-        _quarantine(lake, quarantine_rows(rejected, spec, run_id, at), spec)
+        told = explained(rejected, spec.name)
+        _quarantine(lake, quarantine_rows(told, spec, run_id, at), spec)
     if duplicates and on_duplicate == "quarantine":
         copies = without(valid, lake.read("silver", spec.silver_table), ["bronze_id"])
-        rule = F.struct(
-            F.lit("VR-09").alias("rule_id"),
-            F.lit(f"duplicate natural key ({', '.join(spec.natural_key)})").alias(
-                "rule_description"),
-        )
-        _quarantine(
-            lake, quarantine_rows(copies.withColumn("_rule", rule), spec, run_id, at), spec)
+        told = copies.withColumns({
+            "rule_id": F.lit("VR-09"),
+            "rule_description": F.lit(f"duplicate natural key ({', '.join(spec.natural_key)})"),
+        })
+        _quarantine(lake, quarantine_rows(told, spec, run_id, at), spec)
         rejected_n, duplicates = rejected_n + duplicates, 0
     lake.unstage(stage)
 
     counts = LoadCounts(passed, rejected_n, duplicates)
-    row = (run_id, spec.name, passed, rejected_n, duplicates, at, runs)
-    log = lake.spark.createDataFrame([row], SILVER_SCHEMAS["load_log"])
-    lake.append(log.coalesce(1), "silver", "load_log")
+    lake.log(
+        "silver", run_id=run_id, source=spec.name, rows_passed=passed,
+        rows_quarantined=rejected_n, rows_skipped_duplicate=duplicates, loaded_at=at,
+        bronze_runs=runs)
     return counts
 
 

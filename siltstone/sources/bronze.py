@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from siltstone.config import BRONZE_LOG_SCHEMA, PipelineConfig, SourceSpec
+from siltstone.config import PipelineConfig, SourceSpec
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.sources.lake import Lake
 from siltstone.sources.readers import read_source
@@ -25,18 +25,19 @@ def add_audit_columns(
     return df.withColumns(cols)
 
 
-def _max_bronze_id(lake: Lake, spec: SourceSpec) -> int | None:
+def landed_runs(lake: Lake, spec: SourceSpec) -> dict[str, int | None]:
+    """Runs whose landing is complete, with their highest row id (one row per run)."""
+    if not lake.exists("bronze", "load_log"):
+        return {}
+    log = lake.read("bronze", "load_log").filter(F.col("bronze_table") == spec.bronze_table)
+    return {r.run_id: r.max_bronze_id for r in log.select("run_id", "max_bronze_id").collect()}
+
+
+def _max_bronze_id(lake: Lake, spec: SourceSpec, landed: dict[str, int | None]) -> int | None:
     """Highest id handed out, from the load log; only runs that crashed before
     they were logged are scanned."""
-    log = (
-        lake.read("bronze", "load_log")
-        .filter(F.col("bronze_table") == spec.bronze_table)
-        .select("run_id", "max_bronze_id")
-        .collect()  # one row per run
-    )
-    known = [r.max_bronze_id for r in log if r.max_bronze_id is not None]
-    logged = {r.run_id for r in log}
-    loose = [r for r in lake.partitions("bronze", spec.bronze_table, "run_id") if r not in logged]
+    known = [top for top in landed.values() if top is not None]
+    loose = [r for r in lake.partitions("bronze", spec.bronze_table, "run_id") if r not in landed]
     if loose:
         found = (
             lake.read("bronze", spec.bronze_table, spec.bronze_schema)
@@ -62,24 +63,21 @@ def land(
     A run owns one directory. Earlier runs are never touched; an attempt that died
     half way is replaced when the same run is tried again.
     """
-    done = lake.read("bronze", "load_log").filter(
-        (F.col("bronze_table") == spec.bronze_table) & (F.col("run_id") == run_id)
-    )
-    if not done.isEmpty():
+    landed = landed_runs(lake, spec)
+    if run_id in landed:
         raise ValueError(f"run '{run_id}' has already landed in {spec.bronze_table}")
     at = ingested_at or datetime.now(timezone.utc)
     rows = add_audit_columns(df.select(*spec.columns), source_file or spec.path, run_id, at)
-    rows = with_sequence(rows, "bronze_id", next_base(_max_bronze_id(lake, spec)))
+    rows = with_sequence(rows, "bronze_id", next_base(_max_bronze_id(lake, spec, landed)))
     seen = Observation()
     rows = rows.select(
         "bronze_id", *spec.columns, "ingested_at", "source_file", "run_id"
     ).observe(seen, F.count(F.lit(1)).alias("n"), F.max("bronze_id").alias("top"))
     lake.put_partition(rows, "bronze", spec.bronze_table, run_id=run_id)
     got = seen.get
-    log = lake.spark.createDataFrame(
-        [(run_id, spec.name, spec.bronze_table, got["n"], got["top"], at)], BRONZE_LOG_SCHEMA
-    )
-    lake.append(log.coalesce(1), "bronze", "load_log")
+    lake.log(
+        "bronze", run_id=run_id, source=spec.name, bronze_table=spec.bronze_table,
+        rows_loaded=got["n"], max_bronze_id=got["top"], ingested_at=at)
     return got["n"]
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,12 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+def _literal(value, data_type: T.DataType) -> Column:
+    if isinstance(value, (list, tuple)):
+        return F.array(*[F.lit(v) for v in value]).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -70,7 +76,8 @@ class Lake:
         ddl = T.StructType.fromDDL(schema or table_schema(layer, table))
         path = self.path(layer, table)
         if not self._exists(path):
-            return self.spark.createDataFrame([], ddl)
+            return self.spark.range(0).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in ddl.fields])
         versions = self._versions(path)
         if versions:
             path = f"{path}/{versions[-1]}"
@@ -125,6 +132,13 @@ class Lake:
             fs.delete(p, True)
         return old
 
+    def log(self, layer: str, **values) -> None:
+        """Add one row to the load log of a layer."""
+        ddl = T.StructType.fromDDL(table_schema(layer, "load_log"))
+        row = self.spark.range(1, numPartitions=1).select(
+            *[_literal(values[f.name], f.dataType).alias(f.name) for f in ddl.fields])
+        self.append(row, layer, "load_log")
+
     # -- intermediate tables -------------------------------------------------
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -144,4 +158,6 @@ class Lake:
     # -- identifiers ---------------------------------------------------------
 
     def current_max(self, layer: str, table: str, column: str) -> int | None:
+        if not self.exists(layer, table):
+            return None
         return self.read(layer, table).agg(F.max(column)).first()[0]

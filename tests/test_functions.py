@@ -60,13 +60,6 @@ def test_parse_decimal(spark, raw, want):
     assert got == (None if want is None else Decimal(want))
 
 
-def test_first_missing_names_the_first_blank_column(spark):
-    got = values(spark, [("", " "), ("a", None), ("a", "b")], "p string, q string",
-                 text.first_missing(["p", "q"]))
-    assert got == [("Required field 'p' is missing or blank",),
-                   ("Required field 'q' is missing or blank",), (None,)]
-
-
 def test_delay_days_and_flag(spark):
     eta = dt.date(2026, 3, 10)
     rows = [(eta, dt.date(2026, 3, 10)), (eta, dt.date(2026, 3, 8)), (eta, dt.date(2026, 3, 15)),

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.config import SOURCES
-from siltstone.operators.validators import known_flag, tag_first_failure, to_typed
+from siltstone.operators.validators import explained, judged, known_flag, stripped, typed_columns
 
 GOOD = {
     "supplier_master": dict(supplier_id=" S1 ", supplier_name="Acme", country="KE",
@@ -35,8 +35,9 @@ def verdict(spark, source, unknown=(), **changes):
     for ref in spec.references:
         known = None if ref.column in unknown else True
         df = df.withColumn(known_flag(ref.column), F.lit(known).cast("boolean"))
-    r = tag_first_failure(df.withColumn("bronze_id", F.lit(1)), source).first()["_rule"]
-    return None if r is None else tuple(r)
+    decided = judged(stripped(df, source), source).select(*spec.columns, "_failed")
+    r = explained(decided, source).first()
+    return None if r._failed is None else (r.rule_id, r.rule_description)
 
 
 @pytest.mark.parametrize("source", list(SOURCES))
@@ -131,19 +132,21 @@ def test_first_failing_rule_wins(spark, source, unknown, change, rule, start):
     assert got[0] == rule and got[1].startswith(start)
 
 
+def typed(spark, source, **changes):
+    spec = SOURCES[source]
+    row = {**GOOD[source], **changes}
+    df = spark.createDataFrame([tuple(row[c] for c in spec.columns)],
+                               ", ".join(f"{c} string" for c in spec.columns))
+    for ref in spec.references:
+        df = df.withColumn(known_flag(ref.column), F.lit(True))
+    return judged(stripped(df, source), source).select(*typed_columns(source)).first()
+
+
 def test_typed_columns(spark):
-    spec = SOURCES["purchase_orders"]
-    row = tuple(GOOD["purchase_orders"][c] for c in spec.columns)
-    df = spark.createDataFrame([(*row, 7)], ", ".join(
-        f"{c} string" for c in spec.columns) + ", bronze_id bigint")
-    got = to_typed(df, "purchase_orders").first()
-    assert tuple(got) == ("P1", "S1", "M1", dt.date(2024, 1, 2), 5, Decimal("10.01"), "USD", 7)
+    assert tuple(typed(spark, "purchase_orders")) == (
+        "P1", "S1", "M1", dt.date(2024, 1, 2), 5, Decimal("10.01"), "USD")
 
 
 def test_optional_blank_becomes_null_and_keys_are_stripped(spark):
-    spec = SOURCES["supplier_master"]
-    row = {**GOOD["supplier_master"], "contact_email": "  "}
-    df = spark.createDataFrame([(*[row[c] for c in spec.columns], 1)], ", ".join(
-        f"{c} string" for c in spec.columns) + ", bronze_id bigint")
-    got = to_typed(df, "supplier_master").first()
+    got = typed(spark, "supplier_master", contact_email="  ")
     assert got.supplier_id == "S1" and got.contact_email is None
