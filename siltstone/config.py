@@ -136,7 +136,7 @@ GOLD_SCHEMAS = {
 
 BRONZE_LOG_SCHEMA = (
     "run_id STRING, source STRING, bronze_table STRING, rows_loaded BIGINT, "
-    "max_bronze_id BIGINT, ingested_at TIMESTAMP"
+    "min_bronze_id BIGINT, max_bronze_id BIGINT, ingested_at TIMESTAMP"
 )
 
 CHECK_SCHEMA = (

@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_known_flag(
-    df: DataFrame, key: Column, parents: DataFrame, parent_key: str, flag: str
+def flag_unknown(
+    df: DataFrame, key: str, parents: DataFrame, parent_key: str, flag: str
 ) -> DataFrame:
-    """Left join on the distinct parent keys; ``flag`` is NULL where none matches.
-
-    No hint is given: the optimizer broadcasts the key column if its size allows
-    and otherwise sorts and merges, where adaptive execution splits a hot key on
-    the row side (the parent side holds each key once).
-    """
+    """Set ``flag`` on rows whose ``key`` is not a parent key. For parents of a size
+    that broadcasts: the rows themselves are not moved."""
     keys = parents.select(F.col(parent_key).alias("_parent")).distinct()
-    keys = keys.withColumn(flag, F.lit(True))
-    return df.join(keys, key == F.col("_parent"), "left").drop("_parent")
+    keys = keys.withColumn("_known", F.lit(True))
+    joined = df.join(keys, F.col(key) == F.col("_parent"), "left")
+    return joined.withColumn(flag, F.col("_known").isNull()).drop("_parent", "_known")
+
+
+def orphan_keys(keys: DataFrame, parents: DataFrame, parent_key: str) -> DataFrame:
+    """Distinct keys (one column) without a parent. Only this one column is shuffled,
+    and each task sends a key once, however many rows carry it."""
+    name = keys.columns[0]
+    distinct = keys.filter(F.col(name).isNotNull()).distinct()
+    return distinct.join(parents.select(F.col(parent_key).alias(name)), name, "left_anti")
+
+
+def flag_listed(df: DataFrame, key: str, listed: DataFrame, flag: str) -> DataFrame:
+    """Set ``flag`` on rows whose ``key`` is in a written one-column key list. The
+    optimizer knows the list's size: it broadcasts it, or else sorts and merges,
+    where adaptive execution splits a hot key on the row side."""
+    keys = listed.select(F.col(listed.columns[0]).alias("_listed"))
+    joined = df.join(keys, F.col(key) == F.col("_listed"), "left")
+    return joined.withColumn(flag, F.col("_listed").isNotNull()).drop("_listed")
 
 
 def without(df: DataFrame, seen: DataFrame, on: list[str]) -> DataFrame:

@@ -38,8 +38,12 @@ def value(column: str) -> Column:
     return F.col(f"_value_{column}")
 
 
-def known_flag(column: str) -> str:
-    return f"_known_{column}"
+def key_column(column: str) -> str:
+    return f"_key_{column}"
+
+
+def orphan_flag(column: str) -> str:
+    return f"_orphan_{column}"
 
 
 @dataclass(frozen=True)
@@ -62,7 +66,7 @@ def _required(*columns: str) -> list[Rule]:
 def _orphan(column: str, parent: str) -> Rule:
     return Rule(
         "VR-02",
-        F.col(known_flag(column)).isNull(),
+        F.col(orphan_flag(column)),
         quote(f"{column} '", raw(column), f"' does not exist in silver.{parent}"),
     )
 

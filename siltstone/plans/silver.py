@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import SILVER_SCHEMAS, PipelineConfig, SourceSpec
+from siltstone.functions.text import strip
 from siltstone.operators.dedup import insert_if_absent
 from siltstone.operators.keys import next_base, with_sequence
-from siltstone.operators.membership import with_known_flag, without
+from siltstone.operators.membership import flag_listed, flag_unknown, orphan_keys, without
 from siltstone.operators.rules import split_by_verdict
 from siltstone.operators.validators import (
     VALIDATORS,
     explained,
     judged,
-    known_flag,
+    key_column,
+    orphan_flag,
     stripped,
-    text,
     typed_columns,
 )
 from siltstone.sources.bronze import landed_runs
@@ -34,46 +35,85 @@ class LoadCounts:
     skipped_duplicate: int
 
 
-def unprocessed(
+# Parents up to this size on disk are broadcast whole to the rows that refer to
+# them (below Spark's default broadcast threshold of 10 MB).
+SMALL_PARENT_BYTES = 8 * 1024 * 1024
+
+
+def delivered(
     lake: Lake, spec: SourceSpec, runs: list[str] | None = None, rows: DataFrame | None = None
 ) -> DataFrame:
-    """Bronze rows that have produced neither a Silver row nor a quarantine row.
-
-    ``runs`` narrows the scan to those Bronze run directories; ``rows`` gives the
-    Bronze rows to look at instead of the whole table.
-    """
+    """The Bronze rows a load looks at: all, some run directories, or ``rows``."""
     bronze = rows
     if bronze is None:
         bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
-    if runs is not None:
-        bronze = bronze.filter(F.col("run_id").isin(runs))
+    return bronze if runs is None else bronze.filter(F.col("run_id").isin(runs))
+
+
+def unprocessed(
+    lake: Lake, spec: SourceSpec, bronze: DataFrame | None = None, first_id: int | None = None
+) -> DataFrame:
+    """Bronze rows that have produced neither a Silver row nor a quarantine row.
+
+    ``first_id`` is the least row id in ``bronze``, if known: outcomes of older rows
+    are then skipped by file statistics, and if there is no younger outcome (no
+    earlier attempt at these rows) there is nothing to join.
+    """
+    bronze = delivered(lake, spec) if bronze is None else bronze
+    seen = []
     if lake.exists("silver", spec.silver_table):
-        bronze = without(bronze, lake.read("silver", spec.silver_table), ["bronze_id"])
+        seen.append(lake.read("silver", spec.silver_table).select("bronze_id"))
     if lake.exists("silver", f"quarantine/target_table={spec.silver_table}"):
-        rejected = lake.read("silver", "quarantine").filter(
-            F.col("target_table") == spec.silver_table)
-        bronze = without(bronze, rejected, ["bronze_id"])
+        rejected = lake.read("silver", "quarantine")
+        seen.append(
+            rejected.filter(F.col("target_table") == spec.silver_table).select("bronze_id"))
+    if first_id is not None:
+        seen = [ids.filter(F.col("bronze_id") >= first_id) for ids in seen]
+        seen = [ids for ids in seen if not ids.isEmpty()]
+    for ids in seen:
+        bronze = without(bronze, ids, ["bronze_id"])
     return bronze
 
 
-def open_runs(lake: Lake, spec: SourceSpec) -> list[str]:
-    """Landed Bronze runs of a source that no finished Silver load has covered."""
+def open_runs(lake: Lake, spec: SourceSpec) -> tuple[list[str], int | None]:
+    """Landed Bronze runs of a source that no finished Silver load has covered, and
+    their least row id."""
     covered: set[str] = set()
     if lake.exists("silver", "load_log"):
         log = lake.read("silver", "load_log").filter(F.col("source") == spec.name)
         covered = {run for r in log.select("bronze_runs").collect() for run in r.bronze_runs}
-    return sorted(set(landed_runs(lake, spec)) - covered)
+    left = {k: r.min_bronze_id for k, r in landed_runs(lake, spec).items() if k not in covered}
+    return sorted(left), min((i for i in left.values() if i is not None), default=None)
 
 
-def judge(lake: Lake, df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Add stripped and parsed values and the verdict: which rule rejects the row,
-    NULL if none does."""
-    df = stripped(df, spec.name)
+def flag_orphans(
+    lake: Lake, df: DataFrame, spec: SourceSpec, keys_from: DataFrame, stage: str
+) -> DataFrame:
+    """Flag, per reference, rows whose parent is not in Silver.
+
+    A small parent is broadcast. For a large one the missing keys are found first,
+    from the key columns alone, and written down; there are few as a rule, so the
+    wide rows are again joined without being shuffled.
+    """
     for ref in spec.references:
-        df = with_known_flag(
-            df, text(ref.column), lake.read("silver", ref.parent), ref.parent_key,
-            known_flag(ref.column))
-    return judged(df, spec.name)
+        key, flag = key_column(ref.column), orphan_flag(ref.column)
+        parents = lake.read("silver", ref.parent)
+        df = df.withColumn(key, strip(F.col(ref.column)))
+        if lake.size("silver", ref.parent) <= SMALL_PARENT_BYTES:
+            df = flag_unknown(df, key, parents, ref.parent_key, flag)
+        else:
+            keys = keys_from.select(strip(F.col(ref.column)).alias(key))
+            lost = lake.stage(
+                orphan_keys(keys, parents, ref.parent_key), f"{stage}-orphans/{ref.column}")
+            df = flag_listed(df, key, lost, flag)
+        df = df.drop(key)
+    return df
+
+
+def judge(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Add stripped and parsed values and the verdict to rows with orphan flags:
+    which rule rejects the row, NULL if none does."""
+    return judged(stripped(df, spec.name), spec.name)
 
 
 def outcome_rows(judged_rows: DataFrame, spec: SourceSpec, keep_raw: bool = False) -> DataFrame:
@@ -163,21 +203,22 @@ def load_silver(
     if on_duplicate not in ("skip", "quarantine"):
         raise ValueError(f"on_duplicate must be 'skip' or 'quarantine', not '{on_duplicate}'")
     at = at or datetime.now(timezone.utc)
-    runs = open_runs(lake, spec) if rows is None else []
-    scope = runs if only_open_runs else None
+    runs, first_id = open_runs(lake, spec) if rows is None else ([], None)
+    bronze = delivered(lake, spec, runs if only_open_runs else None, rows)
+    todo = unprocessed(lake, spec, bronze, first_id if only_open_runs else None)
+    stage = f"{run_id}/{spec.name}"
 
     # One pass decides every row; the consumers below read its result back, so the
     # joins run once and a lost executor costs a re-read, not a re-join.
     seen = Observation()
+    todo = flag_orphans(lake, todo, spec, bronze, stage)
     decided = outcome_rows(
-        judge(lake, unprocessed(lake, spec, scope, rows), spec), spec,
-        keep_raw=on_duplicate == "quarantine",
+        judge(todo, spec), spec, keep_raw=on_duplicate == "quarantine"
     ).observe(
         seen,
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_failed").isNotNull()).alias("rejected"),
     )
-    stage = f"{run_id}/{spec.name}"
     decided = lake.stage(decided, stage)
     total, rejected_n = seen.get["n"], seen.get["rejected"]
     valid, rejected = split_by_verdict(decided, "_failed")
@@ -189,6 +230,7 @@ def load_silver(
             lake.read("silver", spec.silver_table),
             list(spec.natural_key),
             [f"_by_{c}" for c in spec.first_by],
+            total - rejected_n,
         )
         added = Observation()
         new = new.withColumn("validated_at", F.lit(at).cast("timestamp")).select(
@@ -208,6 +250,7 @@ def load_silver(
         _quarantine(lake, quarantine_rows(told, spec, run_id, at), spec)
         rejected_n, duplicates = rejected_n + duplicates, 0
     lake.unstage(stage)
+    lake.unstage(f"{stage}-orphans")
 
     counts = LoadCounts(passed, rejected_n, duplicates)
     lake.log(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from siltstone.config import PipelineConfig, SourceSpec
@@ -25,18 +25,18 @@ def add_audit_columns(
     return df.withColumns(cols)
 
 
-def landed_runs(lake: Lake, spec: SourceSpec) -> dict[str, int | None]:
-    """Runs whose landing is complete, with their highest row id (one row per run)."""
+def landed_runs(lake: Lake, spec: SourceSpec) -> dict[str, Row]:
+    """Log rows of the runs whose landing is complete, by run id."""
     if not lake.exists("bronze", "load_log"):
         return {}
     log = lake.read("bronze", "load_log").filter(F.col("bronze_table") == spec.bronze_table)
-    return {r.run_id: r.max_bronze_id for r in log.select("run_id", "max_bronze_id").collect()}
+    return {r.run_id: r for r in log.collect()}  # one row per run
 
 
-def _max_bronze_id(lake: Lake, spec: SourceSpec, landed: dict[str, int | None]) -> int | None:
+def _max_bronze_id(lake: Lake, spec: SourceSpec, landed: dict[str, Row]) -> int | None:
     """Highest id handed out, from the load log; only runs that crashed before
     they were logged are scanned."""
-    known = [top for top in landed.values() if top is not None]
+    known = [r.max_bronze_id for r in landed.values() if r.max_bronze_id is not None]
     loose = [r for r in lake.partitions("bronze", spec.bronze_table, "run_id") if r not in landed]
     if loose:
         found = (
@@ -72,12 +72,18 @@ def land(
     seen = Observation()
     rows = rows.select(
         "bronze_id", *spec.columns, "ingested_at", "source_file", "run_id"
-    ).observe(seen, F.count(F.lit(1)).alias("n"), F.max("bronze_id").alias("top"))
+    ).observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.min("bronze_id").alias("low"),
+        F.max("bronze_id").alias("top"),
+    )
     lake.put_partition(rows, "bronze", spec.bronze_table, run_id=run_id)
     got = seen.get
     lake.log(
         "bronze", run_id=run_id, source=spec.name, bronze_table=spec.bronze_table,
-        rows_loaded=got["n"], max_bronze_id=got["top"], ingested_at=at)
+        rows_loaded=got["n"], min_bronze_id=got["low"], max_bronze_id=got["top"],
+        ingested_at=at)
     return got["n"]
 
 

@@ -69,6 +69,11 @@ class Lake:
     def exists(self, layer: str, table: str) -> bool:
         return self._exists(self.path(layer, table))
 
+    def size(self, layer: str, table: str) -> int:
+        """Bytes on disk, all snapshots together; 0 if absent."""
+        fs, p = self._fs(self.path(layer, table))
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
     # -- reading -----------------------------------------------------------
 
     def read(self, layer: str, table: str, schema: str | None = None) -> DataFrame:

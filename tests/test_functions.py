@@ -1,9 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import metrics, text
@@ -13,15 +11,20 @@ def values(spark, rows, schema, *cols):
     return [tuple(r) for r in spark.createDataFrame(rows, schema).select(*cols).collect()]
 
 
-def one(spark, fn, raw):
-    return values(spark, [(raw,)], "x string", fn(F.col("x")))[0][0]
+def check(spark, schema, make, cases):
+    """One query over all (input, expected) pairs; ``make`` builds the tested column."""
+    rows = [x if isinstance(x, tuple) else (x,) for x, _ in cases]
+    got = [v for (v,) in values(spark, rows, schema, make)]
+    assert got == [want for _, want in cases]
 
 
-@pytest.mark.parametrize("raw, want", [
-    ("  a b ", "a b"), ("\t a \n", "a"), ("\x1f\xa0a　", "a"), ("", ""), (None, None),
-])
-def test_strip_removes_every_kind_of_white_space(spark, raw, want):
-    assert one(spark, text.strip, raw) == want
+X = F.col
+
+
+def test_strip_removes_every_kind_of_white_space(spark):
+    check(spark, "x string", text.strip(X("x")), [
+        ("  a b ", "a b"), ("\t a \n", "a"), ("\x1f\xa0a\u3000", "a"), ("", ""), (None, None),
+        (" ", ""), ("é", "é"), ("é ", "é"), ("a\x7f", "a\x7f"), ("x\u00a0", "x")])
 
 
 def test_strip_agrees_with_python_on_every_blank_character(spark):
@@ -30,34 +33,39 @@ def test_strip_agrees_with_python_on_every_blank_character(spark):
     assert {g[0] for g in got} == {"x"}
 
 
-@pytest.mark.parametrize("raw, want", [
-    ("2025-01-05", dt.date(2025, 1, 5)), (" 2025-1-5 ", dt.date(2025, 1, 5)),
-    ("2025-01- 5", dt.date(2025, 1, 5)), ("2024-02-29", dt.date(2024, 2, 29)),
-    ("2025-02-29", None), ("2025-02-30", None), ("2025", None), ("2025-01", None),
-    ("2025-01-05 10:00:00", None), ("2025/01/05", None), ("20250105", None), ("", None),
-    ("0000-01-01", None), ("2025-13-01", None), ("12025-01-01", None), (None, None),
-])
-def test_parse_date(spark, raw, want):
-    assert one(spark, text.parse_date, raw) == want
+def test_blank_helpers(spark):
+    check(spark, "x string", text.is_blank(X("x")), [
+        (None, True), ("", True), (" \t", True), ("a", False), (" a", False)])
+    check(spark, "x string", text.blank_to_null(X("x")), [
+        (None, None), (" ", None), (" a ", "a")])
+
+
+def test_parse_date(spark):
+    check(spark, "x string", text.parse_date(X("x")), [
+        ("2025-01-05", dt.date(2025, 1, 5)), (" 2025-1-5 ", dt.date(2025, 1, 5)),
+        ("2025-01- 5", dt.date(2025, 1, 5)), ("2024-02-29", dt.date(2024, 2, 29)),
+        ("2025-02-29", None), ("2025-02-30", None), ("2025", None), ("2025-01", None),
+        ("2025-01-05 10:00:00", None), ("2025/01/05", None), ("20250105", None), ("", None),
+        ("0000-01-01", None), ("2025-13-01", None), ("12025-01-01", None), (None, None)])
+
+
+def test_parse_int(spark):
+    check(spark, "x string", text.parse_int(X("x")), [
+        ("5", 5), (" +5 ", 5), ("-3", -3), ("1_000", 1000), ("007", 7), ("5.0", None),
+        ("x", None), ("", None), ("1__0", None), ("_1", None), ("1e3", None),
+        ("3000000000", 3000000000), ("99999999999999999999", None), (None, None)])
 
 
-@pytest.mark.parametrize("raw, want", [
-    ("5", 5), (" +5 ", 5), ("-3", -3), ("1_000", 1000), ("007", 7), ("5.0", None), ("x", None),
-    ("", None), ("1__0", None), ("_1", None), ("1e3", None), ("3000000000", 3000000000),
-    ("99999999999999999999", None), (None, None),
-])
-def test_parse_int(spark, raw, want):
-    assert one(spark, text.parse_int, raw) == want
+def test_parse_decimal(spark):
+    check(spark, "x string", text.parse_decimal(X("x")).cast("string"), [
+        ("1.005", "1.01"), ("1e3", "1000.00"), (".5", "0.50"), ("5.", "5.00"), ("-2", "-2.00"),
+        ("1_000.50", "1000.50"), ("nan", None), ("inf", None), ("1,5", None), ("", None),
+        ("10000000000", None), ("9999999999.99", "9999999999.99"), (None, None)])
 
 
-@pytest.mark.parametrize("raw, want", [
-    ("1.005", "1.01"), ("1e3", "1000.00"), (".5", "0.50"), ("5.", "5.00"), ("-2", "-2.00"),
-    ("1_000.50", "1000.50"), ("nan", None), ("inf", None), ("1,5", None), ("", None),
-    ("10000000000", None), ("9999999999.99", "9999999999.99"), (None, None),
-])
-def test_parse_decimal(spark, raw, want):
-    got = one(spark, text.parse_decimal, raw)
-    assert got == (None if want is None else Decimal(want))
+def test_sign_is_taken_before_rounding(spark):
+    check(spark, "x string", text.is_negative(X("x")), [
+        ("-0.001", True), ("-0", False), ("0", False), ("x", False), (None, False)])
 
 
 def test_delay_days_and_flag(spark):
@@ -74,19 +82,15 @@ def test_date_key_is_null_safe(spark):
     assert got == [(20250105,), (None,)]
 
 
-@pytest.mark.parametrize("days, want", [
-    (-1, "Expired"), (0, "At Risk (within 90 days)"), (90, "At Risk (within 90 days)"),
-    (91, "OK"),
-])
-def test_expiry_status(spark, days, want):
-    assert values(spark, [(days,)], "d int", metrics.expiry_status(F.col("d"))) == [(want,)]
+def test_expiry_status(spark):
+    check(spark, "d int", metrics.expiry_status(X("d")), [
+        (-1, "Expired"), (0, "At Risk (within 90 days)"), (90, "At Risk (within 90 days)"),
+        (91, "OK")])
 
 
-@pytest.mark.parametrize("n, want", [(99, "Below Min"), (100, "OK"), (10000, "OK"),
-                                     (10001, "Above Max")])
-def test_stock_status(spark, n, want):
-    got = values(spark, [(n,)], "q int", metrics.stock_status(F.col("q"), 100, 10000))
-    assert got == [(want,)]
+def test_stock_status(spark):
+    check(spark, "q int", metrics.stock_status(X("q"), 100, 10000), [
+        (99, "Below Min"), (100, "OK"), (10000, "OK"), (10001, "Above Max")])
 
 
 def test_percent_rounds_half_up_and_guards_zero(spark):
@@ -95,28 +99,20 @@ def test_percent_rounds_half_up_and_guards_zero(spark):
     assert got == [(12.5,), (None,), (0.0,), (66.7,)]
 
 
-@pytest.mark.parametrize("hours, want", [(26.0, True), (25.9, True), (26.1, False),
-                                         (72.0, False)])
-def test_freshness_window(spark, hours, want):
-    got = values(spark, [(hours,)], "h double",
-                 metrics.within_freshness_window(F.col("h"), 26))
-    assert got == [(want,)]
+def test_freshness_window(spark):
+    check(spark, "h double", metrics.within_freshness_window(X("h"), 26), [
+        (26.0, True), (25.9, True), (26.1, False), (72.0, False)])
 
 
-@pytest.mark.parametrize("today, avg, want", [(200, 200.0, 0.0), (250, 200.0, 25.0),
-                                              (100, 200.0, 50.0), (0, 150.0, 100.0),
-                                              (5, 0.0, None), (5, None, None)])
-def test_deviation(spark, today, avg, want):
-    got = values(spark, [(today, avg)], "t bigint, a double",
-                 metrics.row_count_deviation_pct(F.col("t"), F.col("a")))
-    assert got == [(want,)]
+def test_deviation(spark):
+    check(spark, "t bigint, a double", metrics.row_count_deviation_pct(X("t"), X("a")), [
+        ((200, 200.0), 0.0), ((250, 200.0), 25.0), ((100, 200.0), 50.0), ((0, 150.0), 100.0),
+        ((5, 0.0), None), ((5, None), None)])
 
 
-@pytest.mark.parametrize("pct, want", [(30.0, True), (15.0, True), (45.0, False)])
-def test_tolerance(spark, pct, want):
-    got = values(spark, [(pct,)], "p double",
-                 metrics.within_deviation_tolerance(F.col("p"), 30))
-    assert got == [(want,)]
+def test_tolerance(spark):
+    check(spark, "p double", metrics.within_deviation_tolerance(X("p"), 30), [
+        (30.0, True), (15.0, True), (45.0, False)])
 
 
 def test_hours_since(spark):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.config import SOURCES
-from siltstone.operators.validators import explained, judged, known_flag, stripped, typed_columns
+from siltstone.operators.validators import explained, judged, orphan_flag, stripped, typed_columns
 
 GOOD = {
     "supplier_master": dict(supplier_id=" S1 ", supplier_name="Acme", country="KE",
@@ -27,22 +27,21 @@ GOOD = {
 }
 
 
-def verdict(spark, source, unknown=(), **changes):
+def verdicts(spark, source, cases):
+    """(rule, message) or None for each (unknown references, changed columns), in one
+    query over all of them."""
     spec = SOURCES[source]
-    row = {**GOOD[source], **changes}
-    df = spark.createDataFrame([tuple(row[c] for c in spec.columns)],
-                               ", ".join(f"{c} string" for c in spec.columns))
-    for ref in spec.references:
-        known = None if ref.column in unknown else True
-        df = df.withColumn(known_flag(ref.column), F.lit(known).cast("boolean"))
-    decided = judged(stripped(df, source), source).select(*spec.columns, "_failed")
-    r = explained(decided, source).first()
-    return None if r._failed is None else (r.rule_id, r.rule_description)
-
-
-@pytest.mark.parametrize("source", list(SOURCES))
-def test_good_row_passes(spark, source):
-    assert verdict(spark, source) is None
+    refs = [r.column for r in spec.references]
+    rows = [
+        (i, *[{**GOOD[source], **changes}[c] for c in spec.columns], *[r in unknown for r in refs])
+        for i, (unknown, changes) in enumerate(cases)
+    ]
+    schema = ["i int", *[f"{c} string" for c in spec.columns],
+              *[f"{orphan_flag(r)} boolean" for r in refs]]
+    df = spark.createDataFrame(rows, ", ".join(schema))
+    decided = judged(stripped(df, source), source).select("i", *spec.columns, "_failed")
+    got = explained(decided, source).orderBy("i").collect()
+    return [None if r._failed is None else (r.rule_id, r.rule_description) for r in got]
 
 
 REQUIRED = {
@@ -57,14 +56,23 @@ REQUIRED = {
 
 
 @pytest.mark.parametrize("source", list(REQUIRED))
-def test_each_required_field(spark, source):
+def test_required_fields_and_a_good_row(spark, source):
+    cases, want = [((), {})], [None]
     for column in REQUIRED[source]:
         for blank in ("", " \t", None):
-            assert verdict(spark, source, **{column: blank}) == (
-                "VR-10", f"Required field '{column}' is missing or blank")
+            cases.append(((), {column: blank}))
+            want.append(("VR-10", f"Required field '{column}' is missing or blank"))
+    assert verdicts(spark, source, cases) == want
+
 
+def by_source(cases):
+    out = {}
+    for source, *rest in cases:
+        out.setdefault(source, []).append(rest)
+    return out
 
-@pytest.mark.parametrize("source, unknown, change, rule, message", [
+
+FAILING = [
     ("supplier_master", (), dict(contract_start_date="soon"), "VR-10",
      "contract_start_date 'soon' is not a valid date"),
     ("medicine_catalogue", (), dict(shelf_life_days="5.0"), "VR-03",
@@ -101,23 +109,31 @@ def test_each_required_field(spark, source):
      "quantity_on_hand -99999999999 is negative"),
     ("warehouse_inventory", (), dict(expiry_date="2001-02-30"), "VR-08",
      "expiry_date '2001-02-30' is not a valid date"),
-])
-def test_each_rule(spark, source, unknown, change, rule, message):
-    assert verdict(spark, source, unknown, **change) == (rule, message)
+]
+
 
+def test_each_rule(spark):
+    for source, cases in by_source(FAILING).items():
+        got = verdicts(spark, source, [(unknown, change) for unknown, change, _, _ in cases])
+        assert got == [(rule, message) for _, _, rule, message in cases]
 
-@pytest.mark.parametrize("source, change", [
+
+ACCEPTED = [
     ("supplier_master", dict(contact_email="")), ("supplier_master", dict(contact_email=None)),
     ("shipment_records", dict(actual_arrival=" ")),
     ("shipment_records", dict(actual_arrival=None)),
     ("shipment_records", dict(actual_arrival="2024-02-01")),
     ("purchase_orders", dict(total_cost="0")), ("purchase_orders", dict(total_cost="-0")),
-])
-def test_acceptable_gaps(spark, source, change):
-    assert verdict(spark, source, **change) is None
+]
+
 
+def test_acceptable_gaps(spark):
+    for source, cases in by_source(ACCEPTED).items():
+        got = verdicts(spark, source, [((), change) for (change,) in cases])
+        assert set(got) == {None}
 
-@pytest.mark.parametrize("source, unknown, change, rule, start", [
+
+TWO_DEFECTS = [
     ("purchase_orders", ("supplier_id",), dict(currency=""), "VR-10", "Required"),
     ("purchase_orders", ("supplier_id", "medicine_id"), dict(quantity="x"), "VR-02", "supplier"),
     ("purchase_orders", ("medicine_id",), dict(order_date="x"), "VR-02", "medicine"),
@@ -126,10 +142,14 @@ def test_acceptable_gaps(spark, source, change):
     ("shipment_records", ("po_id",), dict(eta="x"), "VR-02", "po_id"),
     ("shipment_records", (), dict(eta="x", actual_arrival="x"), "VR-04", "eta"),
     ("warehouse_inventory", (), dict(quantity_on_hand="-1", expiry_date="x"), "VR-07", "quant"),
-])
-def test_first_failing_rule_wins(spark, source, unknown, change, rule, start):
-    got = verdict(spark, source, unknown, **change)
-    assert got[0] == rule and got[1].startswith(start)
+]
+
+
+def test_first_failing_rule_wins(spark):
+    for source, cases in by_source(TWO_DEFECTS).items():
+        got = verdicts(spark, source, [(unknown, change) for unknown, change, _, _ in cases])
+        for (rule, message), (_, _, want, start) in zip(got, cases):
+            assert rule == want and message.startswith(start)
 
 
 def typed(spark, source, **changes):
@@ -138,7 +158,7 @@ def typed(spark, source, **changes):
     df = spark.createDataFrame([tuple(row[c] for c in spec.columns)],
                                ", ".join(f"{c} string" for c in spec.columns))
     for ref in spec.references:
-        df = df.withColumn(known_flag(ref.column), F.lit(True))
+        df = df.withColumn(orphan_flag(ref.column), F.lit(False))
     return judged(stripped(df, source), source).select(*typed_columns(source)).first()
 
 
