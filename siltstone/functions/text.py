@@ -26,40 +26,21 @@ DECIMAL = (
 )
 
 
-def strip(c: Column) -> Column:
-    """Remove white space of any kind from both ends.
+_BLANKS = "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE)
+
+
+def strip(column: str) -> Column:
+    """A text column without white space of any kind at its ends.
 
     Trimming a set of characters is slow, and most values need none: only those
     that begin or end with a blank, a control or a non-ASCII character get it.
     """
-    last = F.substring(c, -1, 1)
-    plain = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
-    return F.when(plain, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
-
-
-def is_blank(c: Column) -> Column:
-    """True for NULL, empty and all-white-space text; never NULL."""
-    return is_empty(strip(c))
-
-
-def blank_to_null(c: Column) -> Column:
-    """Stripped text, with NULL in place of blank."""
-    return F.nullif(strip(c), F.lit(""))
-
-
-def parse_date(c: Column) -> Column:
-    return to_date(strip(c))
-
-
-def parse_int(c: Column) -> Column:
-    return to_int(strip(c))
-
-
-def parse_decimal(c: Column) -> Column:
-    return to_decimal(strip(c))
+    first, last = f"`{column}`", f"substring(`{column}`, -1, 1)"
+    plain = " AND ".join(f"{v} >= '!' AND {v} < '\\u007f'" for v in (first, last))
+    return F.expr(f"CASE WHEN {plain} THEN `{column}` ELSE btrim(`{column}`, '{_BLANKS}') END")
 
 
-# The functions below take text that is already stripped.
+# The functions below take text that is already stripped; bad input gives NULL.
 
 
 def is_empty(s: Column) -> Column:

@@ -215,7 +215,7 @@ VALIDATORS: dict[str, Validator] = {
 
 def stripped(df: DataFrame, source: str) -> DataFrame:
     """Add every source column without its outer white space."""
-    return df.withColumns({f"_text_{c}": strip(raw(c)) for c in SOURCES[source].columns})
+    return df.withColumns({f"_text_{c}": strip(c) for c in SOURCES[source].columns})
 
 
 def parsed(df: DataFrame, source: str) -> DataFrame:
@@ -238,6 +238,6 @@ def explained(rejected: DataFrame, source: str, verdict: str = "_failed") -> Dat
     return df.select("*", rule_id, message)
 
 
-def typed_columns(source: str) -> list[Column]:
+def typed_columns(source: str) -> dict[str, Column]:
     """Silver columns of a judged frame; meaningful where no rule failed."""
-    return [col.alias(name) for name, col in VALIDATORS[source].typed().items()]
+    return VALIDATORS[source].typed()

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltstone.config import SILVER_SCHEMAS, PipelineConfig, SourceSpec
 from siltstone.functions.text import strip
@@ -16,7 +15,6 @@ from siltstone.operators.keys import next_base, with_sequence
 from siltstone.operators.membership import flag_listed, flag_unknown, orphan_keys, without
 from siltstone.operators.rules import split_by_verdict
 from siltstone.operators.validators import (
-    VALIDATORS,
     explained,
     judged,
     key_column,
@@ -25,7 +23,7 @@ from siltstone.operators.validators import (
     typed_columns,
 )
 from siltstone.sources.bronze import landed_runs
-from siltstone.sources.lake import Lake
+from siltstone.sources.lake import Lake, struct
 
 
 @dataclass(frozen=True)
@@ -98,11 +96,11 @@ def flag_orphans(
     for ref in spec.references:
         key, flag = key_column(ref.column), orphan_flag(ref.column)
         parents = lake.read("silver", ref.parent)
-        df = df.withColumn(key, strip(F.col(ref.column)))
+        df = df.withColumn(key, strip(ref.column))
         if lake.size("silver", ref.parent) <= SMALL_PARENT_BYTES:
             df = flag_unknown(df, key, parents, ref.parent_key, flag)
         else:
-            keys = keys_from.select(strip(F.col(ref.column)).alias(key))
+            keys = keys_from.select(strip(ref.column).alias(key))
             lost = lake.stage(
                 orphan_keys(keys, parents, ref.parent_key), f"{stage}-orphans/{ref.column}")
             df = flag_listed(df, key, lost, flag)
@@ -126,7 +124,7 @@ def outcome_rows(judged_rows: DataFrame, spec: SourceSpec, keep_raw: bool = Fals
         wanted = keep_raw or c in spec.first_by
         return (F.col(c) if wanted else F.when(rejected, F.col(c))).alias(c)
 
-    typed = zip(_typed_names(spec), typed_columns(spec.name))
+    typed = typed_columns(spec.name).items()
     return judged_rows.select(
         "bronze_id",
         "_failed",
@@ -174,7 +172,7 @@ def quarantine_rows(
 
 
 def _typed_names(spec: SourceSpec) -> list[str]:
-    return list(VALIDATORS[spec.name].typed())
+    return _silver_columns(spec)[:-2]  # without bronze_id and validated_at
 
 
 def _quarantine(lake: Lake, rows: DataFrame, spec: SourceSpec) -> None:
@@ -261,7 +259,7 @@ def load_silver(
 
 
 def _silver_columns(spec: SourceSpec) -> list[str]:
-    return T.StructType.fromDDL(SILVER_SCHEMAS[spec.silver_table]).names
+    return struct(SILVER_SCHEMAS[spec.silver_table]).names
 
 
 def load_all_silver(

@@ -8,6 +8,7 @@ sees a half-written table and a plan may read the snapshot it replaces.
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,11 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+@lru_cache(maxsize=None)
+def struct(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
 def _literal(value, data_type: T.DataType) -> Column:
     if isinstance(value, (list, tuple)):
         return F.array(*[F.lit(v) for v in value]).cast(data_type)
@@ -78,12 +84,13 @@ class Lake:
 
     def read(self, layer: str, table: str, schema: str | None = None) -> DataFrame:
         """Typed scan; an absent table reads as empty with the same columns."""
-        ddl = T.StructType.fromDDL(schema or table_schema(layer, table))
+        ddl = struct(schema or table_schema(layer, table))
         path = self.path(layer, table)
-        if not self._exists(path):
+        children = self._children(path)
+        if not children:
             return self.spark.range(0).select(
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in ddl.fields])
-        versions = self._versions(path)
+        versions = self._committed(path, children)
         if versions:
             path = f"{path}/{versions[-1]}"
         return self.spark.read.schema(ddl).parquet(path).select(*ddl.names)
@@ -125,7 +132,10 @@ class Lake:
         df.write.mode("append").parquet(f"{path}/{self._versions(path)[-1]}")
 
     def _versions(self, path: str) -> list[str]:
-        return [c for c in self._children(path)
+        return self._committed(path, self._children(path))
+
+    def _committed(self, path: str, children: list[str]) -> list[str]:
+        return [c for c in children
                 if c.startswith("v=") and self._exists(f"{path}/{c}/{COMMIT_MARKER}")]
 
     def expire(self, layer: str, table: str, keep: int = 2) -> list[str]:
@@ -139,7 +149,7 @@ class Lake:
 
     def log(self, layer: str, **values) -> None:
         """Add one row to the load log of a layer."""
-        ddl = T.StructType.fromDDL(table_schema(layer, "load_log"))
+        ddl = struct(table_schema(layer, "load_log"))
         row = self.spark.range(1, numPartitions=1).select(
             *[_literal(values[f.name], f.dataType).alias(f.name) for f in ddl.fields])
         self.append(row, layer, "load_log")

@@ -159,7 +159,8 @@ def typed(spark, source, **changes):
                                ", ".join(f"{c} string" for c in spec.columns))
     for ref in spec.references:
         df = df.withColumn(orphan_flag(ref.column), F.lit(False))
-    return judged(stripped(df, source), source).select(*typed_columns(source)).first()
+    return judged(stripped(df, source), source).select(
+        *[col.alias(name) for name, col in typed_columns(source).items()]).first()
 
 
 def test_typed_columns(spark):
