@@ -14,7 +14,7 @@ from siltstone.config import SOURCES
 from siltstone.operators import dedup
 from siltstone.operators.dedup import first_per_key, insert_if_absent
 from siltstone.operators.membership import flag_listed, flag_unknown, orphan_keys, orphan_rows
-from siltstone.plans import silver, views
+from siltstone.plans import gold, silver, views
 from siltstone.plans.workspace import Workspace
 from siltstone.sources.bronze import land
 from siltstone.sources.lake import Lake
@@ -141,6 +141,42 @@ def test_new_delivery_is_not_joined_with_history(spark, tmp_path):
     assert "run_id#" in re.search(r"PartitionFilters: \[[^\]]*", plan(todo)).group(0)
 
 
+def test_hot_order_is_split_in_the_fact_join(spark, no_broadcast):
+    """A third of all shipments belong to one order; adaptive execution splits it."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    shipments = spark.range(60_000).repartition(8).selectExpr(
+        "concat('H', id) shipment_id",
+        "CASE WHEN id % 3 = 0 THEN 'P0' ELSE concat('P', id % 5000) END po_id",
+        "concat('W', id % 3) warehouse_id", "date'2026-02-01' eta",
+        "date'2026-02-09' actual_arrival", "'ok' status")
+    orders = spark.range(5000).selectExpr(
+        "concat('P', id) po_id", "concat('S', id % 9) supplier_id", "'M' medicine_id",
+        "date'2026-01-01' order_date", "5 quantity", "cast(1 as decimal(12,2)) total_cost",
+        "'USD' currency")
+    sup = spark.range(9).selectExpr("concat('S', id) supplier_id", "'KE' country",
+                                    "id supplier_key")
+    med = spark.range(1).selectExpr("'M' medicine_id", "id medicine_key")
+    rows = gold.fact_rows(
+        shipments, orders, sup, med, sup, med,
+        spark.range(3).selectExpr("concat('W', id) warehouse_id", "id warehouse_key"),
+        spark.range(1).selectExpr("'KE' country_name", "id country_key"), 3)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = rows.agg(F.count(F.lit(1)), F.count_if("is_delayed"))
+        assert tuple(got.first()) == (60_000, 60_000)
+        rows.write.format("noop").mode("overwrite").save()
+        rows.collect()
+        assert "skew=true" in plan(rows)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 @needs_data
 def test_scorecard_aggregates_before_joining(spark, no_broadcast):
     w = Workspace.of(spark, SF)
