@@ -299,7 +299,7 @@ def _suite(hours: str, names: list[str]) -> str:
     return " UNION ALL ".join([*parts, _CONSISTENCY])
 
 
-_SUITE = _suite("10", _SINGLE)
+_SUITE = _suite("1", _SINGLE)
 _LATE = _suite("48", NAMES)
 
 _SUMMARY = """SELECT count(*) AS total,
@@ -507,8 +507,7 @@ def oracle_sql() -> dict[str, str]:
     q["duplicate_order_ids"] = ("SELECT po_id, count(*) AS occurrence_count FROM "
                                 "b_purchase_orders GROUP BY 1 HAVING count(*) > 1")
     q["check_consistency"] = _CONSISTENCY
-    q["check_suite"] = (f"SELECT 'quality-1' AS run_id, *, '1998-01-01 10:00:00' AS checked_at "
-                        f"FROM ({_SUITE})")
+    q["check_suite"] = f"SELECT 'quality-1' AS run_id, * FROM ({_SUITE})"
     q["check_summary"] = f"{_SUMMARY} FROM ({_SUITE})"
     q["check_summary_late"] = f"{_SUMMARY} FROM ({_LATE})"
     q["check_failures"] = (

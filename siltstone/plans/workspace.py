@@ -14,8 +14,9 @@ from siltstone.sources import testdata
 from siltstone.sources.bronze import land
 from siltstone.sources.lake import Lake, work_root
 
-LANDED_AT = datetime(1998, 1, 1, tzinfo=timezone.utc)
-CHECKED_AT = datetime(1998, 1, 1, 10, tzinfo=timezone.utc)
+# Around noon, so that the day is the same in most session time zones.
+LANDED_AT = datetime(1998, 1, 1, 12, tzinfo=timezone.utc)
+CHECKED_AT = datetime(1998, 1, 1, 13, tzinfo=timezone.utc)
 LANDING_RUN, SILVER_RUN, QUALITY_RUN = "landing-1", "silver-1", "quality-1"
 SECOND = "-again"
 

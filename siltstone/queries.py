@@ -416,7 +416,7 @@ def check_consistency(w: Workspace) -> DataFrame:
 
 @query("check_suite")
 def check_suite(w: Workspace) -> DataFrame:
-    return w.checks().drop("check_result_id")
+    return w.checks().drop("check_result_id", "checked_at")
 
 
 query("check_summary")(lambda w: quality.summary(w.checks()))
