@@ -41,11 +41,13 @@ SMALL_PARENT_BYTES = 8 * 1024 * 1024
 def delivered(
     lake: Lake, spec: SourceSpec, runs: list[str] | None = None, rows: DataFrame | None = None
 ) -> DataFrame:
-    """The Bronze rows a load looks at: all, some run directories, or ``rows``."""
-    bronze = rows
-    if bronze is None:
-        bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
-    return bronze if runs is None else bronze.filter(F.col("run_id").isin(runs))
+    """The Bronze rows a load looks at: ``rows``, or some runs, or by default all
+    runs whose landing is complete (what a broken landing left is not read)."""
+    if rows is not None:
+        return rows
+    runs = sorted(landed_runs(lake, spec)) if runs is None else runs
+    bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
+    return bronze.filter(F.col("run_id").isin(runs))
 
 
 def unprocessed(

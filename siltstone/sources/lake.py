@@ -73,7 +73,12 @@ class Lake:
         return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
     def exists(self, layer: str, table: str) -> bool:
-        return self._exists(self.path(layer, table))
+        """Whether anything was written; a snapshot counts once it is committed."""
+        path = self.path(layer, table)
+        children = self._children(path)
+        if any(c.startswith("v=") for c in children):
+            return bool(self._committed(path, children))
+        return bool(children)
 
     def size(self, layer: str, table: str) -> int:
         """Bytes on disk, all snapshots together; 0 if absent."""
@@ -87,10 +92,10 @@ class Lake:
         ddl = struct(schema or table_schema(layer, table))
         path = self.path(layer, table)
         children = self._children(path)
-        if not children:
+        versions = self._committed(path, children)
+        if not children or (not versions and any(c.startswith("v=") for c in children)):
             return self.spark.range(0).select(
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in ddl.fields])
-        versions = self._committed(path, children)
         if versions:
             path = f"{path}/{versions[-1]}"
         return self.spark.read.schema(ddl).parquet(path).select(*ddl.names)

@@ -235,6 +235,18 @@ def test_load_resumes_after_dying_between_writes(spark, tmp_path):
     assert lake.read("silver", "quarantine").count() == 1
 
 
+def test_rows_of_a_broken_landing_are_not_loaded(spark, tmp_path):
+    config = write_files(tmp_path)
+    lake, spec = Lake(spark, str(tmp_path / "lake")), config.sources[0]
+    stray = spark.createDataFrame([SUPPLIERS[1]], ", ".join(f"{c} string" for c in spec.columns))
+    stray = stray.selectExpr("7L AS bronze_id", "*", "current_timestamp() AS ingested_at",
+                             "'f' AS source_file", "'r1' AS run_id")
+    lake.put_partition(stray, "bronze", spec.bronze_table, run_id="r1")
+    assert counts(silver.load_silver(lake, spec, "s0", AT)) == (0, 0, 0)
+    ingest_all(lake, replace(config, sources=(spec,)), "r1", AT)
+    assert counts(silver.load_silver(lake, spec, "s1", AT)) == (2, 1, 0)
+
+
 def test_stream_load_equals_batch_load(spark, tmp_path):
     config = write_files(tmp_path)
     lake = Lake(spark, str(tmp_path / "lake"))

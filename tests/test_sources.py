@@ -137,6 +137,9 @@ def test_snapshots(spark, tmp_path):
     # A snapshot without the commit marker is not there yet.
     (tmp_path / "lake/gold/dim_country/v=00000003/_SUCCESS").unlink()
     assert [r.country_key for r in lake.read("gold", "dim_country").collect()] == [1]
+    # Nothing is there at all if the only snapshot was never committed.
+    (tmp_path / "lake/gold/dim_country/v=00000002/_SUCCESS").unlink()
+    assert not lake.exists("gold", "dim_country") and lake.read("gold", "dim_country").isEmpty()
 
 
 def test_config(tmp_path):
