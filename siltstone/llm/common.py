@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from itertools import chain
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,21 +49,43 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
 class ChunkTable:
     """Ids of each distinct chunk, encoded once and looked up by every later occurrence.
 
-    ``encode`` gets a list of distinct chunks and returns their id lists. At most ``limit``
-    chunks are kept; a full table starts afresh, which costs time but changes no result.
+    ``encode`` gets a list of distinct chunks and returns their id lists. At most about
+    ``limit`` chunks are kept; a full table starts afresh, which costs time but changes no
+    result.
     """
 
     def __init__(self, encode, limit: int = 400_000):
-        self.encode, self.limit, self.ids = encode, limit, {}
-
-    def lookup(self, chunked: list[list[str]]) -> dict:
-        """A table that holds the ids of at least the given texts' chunks."""
-        if len(self.ids) > self.limit:
-            self.ids = {}
-        have = self.ids
-        new = list({c for chunks in chunked for c in chunks if c not in have})
-        have.update(zip(new, self.encode(new), strict=True))
-        return have
+        self.encode, self.limit = encode, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = np.zeros(0, np.int64)
+        self.lens = np.zeros(0, np.int64)
+
+    def ids(self, chunked: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids in one array, and where each text's ids start (and the end)."""
+        if len(self.index) > self.limit:
+            self._clear()
+        have = self.index
+        new = list(dict.fromkeys(c for chunks in chunked for c in chunks if c not in have))
+        if new:
+            found = self.encode(new)
+            lens = np.fromiter(map(len, found), np.int64, len(new))
+            starts = len(self.flat) + np.cumsum(lens) - lens
+            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
+            have.update(zip(new, range(len(have), len(have) + len(new)), strict=True))
+            self.flat = np.concatenate([self.flat, flat])
+            self.starts = np.concatenate([self.starts, starts])
+            self.lens = np.concatenate([self.lens, lens])
+        sizes = np.fromiter(map(len, chunked), np.int64, len(chunked))
+        at = np.fromiter((have[c] for chunks in chunked for c in chunks), np.int64, int(sizes.sum()))
+        lens = self.lens[at]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        out = self.flat[np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(total)]
+        return out, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
 
 
 def splitter(white: str) -> re.Pattern:

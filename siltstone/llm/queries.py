@@ -4,23 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from siltstone.llm import curriculum, outliers
+from siltstone.llm import curriculum, outliers, pieces, resync, simple8b, vamana
 from siltstone.llm.common import read
 
 
+def op1_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.nearest(read(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(read(spark, sf_dir, "documents"))
 
 
+def op3_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+def op6_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_resynchronised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resync.count(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(read(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pruned_graph_search": op1_pruned_graph_search,
     "op2_robust_outliers": op2_robust_outliers,
+    "op3_simple8b": op3_simple8b,
+    "op6_distinct_chunks": op6_distinct_chunks,
+    "op9_resynchronised_counts": op9_resynchronised_counts,
     "op10_curriculum_mix": op10_curriculum_mix,
 }
