@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import curriculum, outliers, pieces, pii, pulearn, resync, simple8b, vamana
+from siltstone.llm import curriculum, interpolation, lshforest, outliers, pieces, pii, pulearn, resync, simple8b, vamana
 from siltstone.llm.common import read
 
 
@@ -23,6 +23,10 @@ def op3_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lshforest.classify(read(spark, sf_dir, "documents"), 0.8).select("doc_id", "class_id", "n_links")
+
+
 def op5_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pulearn.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -31,6 +35,10 @@ def op6_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(read(spark, sf_dir, "documents"))
+
+
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents"))
 
@@ -48,8 +56,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pruned_graph_search": op1_pruned_graph_search,
     "op2_robust_outliers": op2_robust_outliers,
     "op3_simple8b": op3_simple8b,
+    "op4_lsh_forest": op4_lsh_forest,
     "op5_positive_unlabelled": op5_positive_unlabelled,
     "op6_distinct_chunks": op6_distinct_chunks,
+    "op7_deleted_interpolation": op7_deleted_interpolation,
     "op8_weak_supervision": op8_weak_supervision,
     "op9_resynchronised_counts": op9_resynchronised_counts,
     "op10_curriculum_mix": op10_curriculum_mix,
