@@ -23,6 +23,8 @@ CHI_MEDIAN, CHI_975 = 3.357, 11.143
 CUTOFF = 23.513
 #: Share of a group that the tightest part holds; concentration steps; smallest own group.
 SHARE, STEPS, MIN_ROWS = 0.75, 4, 100
+#: A group's rows are joined with its estimate in this many parts.
+SALTS = 32
 
 
 def _get(array: Column, i: Column) -> Column:
@@ -123,8 +125,10 @@ def _moments(inside: Column, s: int) -> list[Column]:
         one(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{s}_{i}{j}") for i in range(P) for j in range(i + 1)]
 
 
-def _joined(x: DataFrame, params: DataFrame) -> DataFrame:
-    return x.join(params.withColumnRenamed("g", "_pg"), F.col("g") == F.col("_pg")).drop("_pg")
+def _joined(x: DataFrame, params: DataFrame, how: str = "inner") -> DataFrame:
+    """Each row with its group's row; groups are salted, as one may hold a third of all rows."""
+    salted = params.withColumnRenamed("g", "_pg").withColumn("_ps", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return x.join(salted, (F.col("g") == F.col("_pg")) & (F.col("salt") == F.col("_ps")), how).drop("_pg", "_ps")
 
 
 def vectors(stats: DataFrame) -> DataFrame:
@@ -135,16 +139,14 @@ def vectors(stats: DataFrame) -> DataFrame:
     rows that pass the base rules are estimated together.
     """
     own = F.to_json(F.struct("lang", "source"))
-    s = stats.withColumn("_own", own)
+    s = stats.withColumn("g", own).withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(SALTS)).cast("int"))
     length = F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))
-    sizes = s.where(~F.col("base_failed")).groupBy("_own").agg(F.count(F.lit(1)).alias("_rows"))
-    named = sizes.select(F.col("_own").alias("_k"), F.when(F.col("_rows") < MIN_ROWS, F.lit("")).otherwise(
-        F.col("_own")).alias("g"))
-    s = s.join(named, F.col("_own") == F.col("_k"), "left").drop("_k", "_own").withColumn(
-        "g", F.coalesce("g", F.lit("")))
+    sizes = s.where(~F.col("base_failed")).groupBy("g").agg(F.count(F.lit(1)).alias("_rows"))
+    own = F.col("_rows") >= MIN_ROWS
+    s = _joined(s, sizes, "left").withColumn("g", F.when(own, F.col("g")).otherwise(F.lit(""))).drop("_rows")
     middle = s.where(~F.col("base_failed")).groupBy("g").agg(
         F.percentile_approx(length, 0.5, 1000).alias("_mid"))
-    s = s.join(middle.withColumnRenamed("g", "_k"), F.col("g") == F.col("_k"), "left").drop("_k")
+    s = _joined(s, middle, "left")
     n = F.col("n_words").cast("double")
     return s.withColumns({
         "x0": F.col("n_symbols") / (F.col("word_chars") + F.lit(50.0)),
@@ -179,7 +181,7 @@ def estimates(x: DataFrame) -> DataFrame:
         d = _joined(x, params).withColumns({f"d{s}": _distance(s) for s in starts})
         share = lambda s: 0.5 if step == 0 and s == 2 else SHARE  # noqa: E731, B023
         cut = d.groupBy("g").agg(*[level(F.col(f"d{s}"), share(s)).alias(f"t{s}") for s in starts])
-        d = _joined(d.select("g", *[f"x{i}" for i in range(P)], *[f"d{s}" for s in starts]), cut)
+        d = _joined(d.select("g", "salt", *[f"x{i}" for i in range(P)], *[f"d{s}" for s in starts]), cut)
         new = d.groupBy("g").agg(*[c for s in starts for c in _moments(F.col(f"d{s}") <= F.col(f"t{s}"), s)])
         for s in starts:
             new = _shape(new.withColumn(f"k{s}", F.lit(1.0)), s)
@@ -208,7 +210,7 @@ def judge(docs: DataFrame) -> DataFrame:
     stats = written(text_statistics(docs))
     x = vectors(stats)
     params = estimates(x.where(~F.col("base_failed")))
-    d = x.join(params.withColumnRenamed("g", "_pg"), F.col("g") == F.col("_pg"), "left")
+    d = _joined(x, params, "left")
     d = d.withColumn("distance2", _distance(0))
     return d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
