@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import words, written
 
-#: Documents are dealt to this many words' worth of rows per cumulative-sum bucket.
-ROWS_PER_BUCKET = 50_000
+#: Rows (of all sources) per range of the hash, in which running sums are taken.
+ROWS_PER_BUCKET = 5_000
 
 
 def targets(sizes: DataFrame, max_repeat: int) -> DataFrame:
