@@ -241,6 +241,18 @@ def find(docs: DataFrame) -> DataFrame:
         listed(F.col("ok")).alias("spans")).drop("row")
 
 
+def _replacer(kind: str, model: dict):
+    """For the matches ``_m`` and the pieces ``_p`` between them: a piece and what follows it."""
+    name = F.lit(f"<{'PHONE' if kind == 'national' else kind.upper()}>")
+
+    def put(m: Column, i: Column) -> Column:
+        tail, head = F.right(F.get("_p", i), F.lit(CONTEXT)), F.left(F.get("_p", i + 1), F.lit(2))
+        value = {"kind": F.lit(KINDS.index(kind)), **signals(kind, m, tail, head)}
+        return F.concat(F.get("_p", i), F.when(accepted(model, value, base_valid(kind, m)), name).otherwise(m))
+
+    return put
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """The rows with each span replaced by its kind in angle brackets; other columns as they are.
 
@@ -255,12 +267,6 @@ def mask(docs: DataFrame) -> DataFrame:
         d = d.withColumn("_m", F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(PATTERNS[k]), F.lit(0))))
         d = d.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", PATTERNS[k], -1)))
 
-        def put(m: Column, i: Column, k: str = k) -> Column:
-            tail, head = F.right(F.get("_p", i), F.lit(CONTEXT)), F.left(F.get("_p", i + 1), F.lit(2))
-            value = {"kind": F.lit(KINDS.index(k)), **signals(k, m, tail, head)}
-            name = f"<{'PHONE' if k == 'national' else k.upper()}>"
-            return F.concat(F.get("_p", i), F.when(accepted(model, value, base_valid(k, m)), F.lit(name)).otherwise(m))
-
-        masked = F.concat(F.array_join(F.transform("_m", put), ""), F.element_at("_p", -1))
+        masked = F.concat(F.array_join(F.transform("_m", _replacer(k, model)), ""), F.element_at("_p", -1))
         d = d.withColumn("text", F.when(F.size("_m") > 0, masked).otherwise(F.col("text"))).drop("_m", "_p", "_hit")
     return d.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns])
