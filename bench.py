@@ -39,6 +39,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_WORK_DIR", "/tmp/checkpoints"))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .getOrCreate()
     )

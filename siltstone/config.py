@@ -34,10 +34,11 @@ class SourceSpec:
     path: str = ""
     first_by: tuple[str, ...] = ("bronze_id",)
     options: dict[str, str] = field(default_factory=dict)
+    bronze_name: str = ""
 
     @property
     def bronze_table(self) -> str:
-        return f"{self.name}_raw"
+        return self.bronze_name or f"{self.name}_raw"
 
     @property
     def silver_table(self) -> str:
@@ -220,4 +221,5 @@ def _source(entry: dict) -> SourceSpec:
         file_format=entry["file_format"],
         path=entry["path"],
         options={k: str(v) for k, v in entry.get("options", {}).items()},
+        bronze_name=entry.get("bronze_table", ""),
     )

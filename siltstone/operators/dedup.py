@@ -19,26 +19,11 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-# Incoming rows up to which their keys may be broadcast to the target scan.
-FEW_ROWS = 500_000
-
-
 def insert_if_absent(
-    incoming: DataFrame,
-    target: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    incoming_rows: int | None = None,
+    incoming: DataFrame, target: DataFrame, keys: list[str], order_by: list[str]
 ) -> DataFrame:
     """Rows to add so that each key keeps its first writer; one shuffle on the key
-    serves both the dedup and the anti join.
-
-    If the caller has counted ``incoming`` and it is small, its keys go to the
-    target's scan instead, and the target's history is not shuffled at all.
-    """
-    if incoming_rows is not None and incoming_rows <= FEW_ROWS:
-        target = target.select(*keys).join(
-            F.broadcast(incoming.select(*keys).distinct()), keys, "left_semi")
+    serves both the dedup and the anti join. The optimizer chooses how to join."""
     return without(first_per_key(incoming, keys, order_by), target, keys)
 
 

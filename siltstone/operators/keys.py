@@ -16,7 +16,10 @@ def next_base(current_max: int | None) -> int:
     Every write partition takes one block of 2**33 ids, and a BIGINT holds 2**30
     blocks: over 100 PB of 128 MB splits before the sequence runs out.
     """
-    return 1 if current_max is None else ((current_max >> BLOCK_BITS) + 1) << BLOCK_BITS
+    base = 1 if current_max is None else ((current_max >> BLOCK_BITS) + 1) << BLOCK_BITS
+    if base >= 1 << 62:
+        raise OverflowError("the id sequence is nearly used up")
+    return base
 
 
 def sequence_column(base: int) -> Column:

@@ -6,17 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def flag_unknown(
-    df: DataFrame, key: str, parents: DataFrame, parent_key: str, flag: str
-) -> DataFrame:
-    """Set ``flag`` on rows whose ``key`` is not a parent key. For parents of a size
-    that broadcasts: the rows themselves are not moved."""
-    keys = parents.select(F.col(parent_key).alias("_parent")).distinct()
-    keys = keys.withColumn("_known", F.lit(True))
-    joined = df.join(keys, F.col(key) == F.col("_parent"), "left")
-    return joined.withColumn(flag, F.col("_known").isNull()).drop("_parent", "_known")
-
-
 def orphan_keys(keys: DataFrame, parents: DataFrame, parent_key: str) -> DataFrame:
     """Distinct keys (one column) without a parent. Only this one column is shuffled,
     and each task sends a key once, however many rows carry it."""

@@ -20,8 +20,11 @@ def upsert(
 
     Listing every attribute gives a Type-1 dimension, listing a few a partial
     update. Surrogate keys never change. ``incoming`` must be unique on ``key``.
-    Without a ``current`` table there is nothing to join.
+    Without a ``current`` table there is nothing to join; with one, the highest key it
+    holds must be given, or new keys would meet old ones.
     """
+    if current is not None and current_max is None:
+        raise ValueError("an upsert into a table needs the highest surrogate key it holds")
     fresh = sequence_column(next_base(current_max))
     attributes = [c for c in incoming.columns if c != key]
     if current is None:

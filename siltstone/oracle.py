@@ -178,6 +178,10 @@ _QUARANTINE = " UNION ALL ".join(
 _CTES = [
     *[c for n in NAMES for c in _rule_ctes(n)],
     ("f", _FACT),
+    ("days", "SELECT order_date AS d FROM s_purchase_orders UNION ALL SELECT eta FROM "
+             "s_shipment_records UNION ALL SELECT actual_arrival FROM s_shipment_records"),
+    ("years", "SELECT least(year(min(d)), 2003) AS first_year, "
+              "greatest(year(max(d)), 2004) AS last_year FROM days"),
     ("details", _DETAILS),
     ("performance", _PERFORMANCE),
     ("q", _QUARANTINE),
@@ -356,7 +360,7 @@ def _constraints(kind: str) -> str:
                     f"(SELECT {pk} FROM {rel(parent)})")
         if parent == "gold.dim_date":
             return (f"SELECT count(*) FROM f WHERE year({fact_of[fk]}) "
-                    "NOT BETWEEN 1995 AND 2002")
+                    "NOT BETWEEN (SELECT first_year FROM years) AND (SELECT last_year FROM years)")
         return "0"
     return _zero([(t, f"{fk} references {p}", orphans(t, fk, p, pk))
                   for t, fk, p, pk in FOREIGN_KEYS])
@@ -419,9 +423,33 @@ def oracle_sql() -> dict[str, str]:
                monthname(d) AS month_name, CAST(quarter(d) AS INT) AS quarter,
                CAST(year(d) AS INT) AS year, CAST(isodow(d) - 1 AS INT) AS day_of_week,
                dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend
-        FROM (SELECT CAST(g AS DATE) AS d FROM
-              generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31', INTERVAL 1 DAY)
-              AS s(g))"""
+        FROM (SELECT CAST(unnest(generate_series(
+                  CAST(make_date(first_year, 1, 1) AS TIMESTAMP),
+                  CAST(make_date(last_year, 12, 31) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+              FROM years)"""
+    q["calendar_keeps_all"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS step, count(*) AS n FROM f WHERE {c}" for s, c in (
+            ("fact", "TRUE"), ("details", "TRUE"), ("months", "TRUE"),
+            ("arrived", "actual_arrival IS NOT NULL")))
+    q["dim_supplier_versions"] = """
+        SELECT supplier_id, supplier_name,
+               performance_tier || CASE WHEN v = 2 AND k % 3 = 0 THEN '+' ELSE '' END
+                 AS performance_tier,
+               CASE WHEN v = 1 THEN '1997-01-01' ELSE '1998-01-01' END AS valid_from,
+               CASE WHEN v = 1 AND k % 3 = 0 AND k NOT IN (8, 9) THEN '1997-12-31' END AS valid_to,
+               NOT (v = 1 AND k % 3 = 0) AS is_current,
+               CAST(CASE WHEN k = 9 THEN 1 ELSE v END AS INT) AS version
+        FROM (SELECT *, CAST(right(supplier_id, 1) AS INT) AS k FROM s_supplier_master),
+             (VALUES (1), (2)) AS t(v)
+        WHERE (v = 1 AND k <> 9) OR (v = 2 AND k % 3 = 0)"""
+    q["csv_columns_in_any_order"] = """
+        SELECT count(*) AS row_count, count(*) AS named_ids, count(*) AS tiers
+        FROM b_supplier_master GROUP BY right(supplier_id, 1) IN ('1', '3', '5', '7', '9')"""
+    q["json_array_source"] = f"SELECT {_bronze_columns('medicine_catalogue')} FROM b_medicine_catalogue"
+    q["landed_source_files"] = ("SELECT count(*) AS row_count, count(*) AS rows_with_file, "
+                                "TRUE AS several_files FROM b_medicine_catalogue")
+    q["views_after_reloads"] = "SELECT * FROM details"
+    q["silver_outcomes_any_order"] = q["silver_outcomes"]
     q["dim_country"] = ("SELECT DISTINCT country AS country_name, CAST(NULL AS VARCHAR) AS "
                         "risk_tier FROM s_supplier_master")
     q["dim_supplier"] = ("SELECT supplier_id, supplier_name, country AS country_name, "
@@ -445,7 +473,10 @@ def oracle_sql() -> dict[str, str]:
                CAST(delay_days AS INT) AS delay_days, is_delayed, status FROM f"""
     q["fact_partial_upsert"] = """
         SELECT shipment_id, quantity, CAST(delay_days AS INT) AS delay_days,
-               coalesce(delay_days > 5, FALSE) AS is_delayed, 'Closed' AS status FROM f"""
+               coalesce(delay_days > 5, FALSE) AS is_delayed, 'Closed' AS status,
+               FALSE AS new_key FROM f
+        UNION ALL SELECT 'NEW-' || shipment_id, quantity + 1, CAST(delay_days AS INT), TRUE,
+               'Closed', TRUE FROM f WHERE delay_days > 5"""
     q["dim_type1_upsert"] = """
         SELECT b.supplier_id, upper(b.supplier_name) AS supplier_name,
                'New ' || b.performance_tier AS performance_tier,

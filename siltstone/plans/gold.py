@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.config import PipelineConfig
+from siltstone.config import GOLD_SCHEMAS, PipelineConfig
 from siltstone.functions.metrics import date_key, delay_days, is_delayed
 from siltstone.operators.dedup import absent_values
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.operators.membership import without
 from siltstone.operators.upsert import upsert
-from siltstone.sources.lake import Lake
-
-CALENDAR_MAX_YEARS = 500  # keeps the broadcast calendar under 200,000 rows
+from siltstone.sources.lake import Lake, struct
 
+#: The calendar's three roles in the fact.
+DATE_ROLES = {"order_date_key": "order_date", "eta_date_key": "eta",
+              "actual_arrival_date_key": "actual_arrival"}
 
-def calendar(spark: SparkSession, start_year: int, end_year: int) -> DataFrame:
-    """One row per day of the year range, both ends included."""
-    if end_year - start_year >= CALENDAR_MAX_YEARS:
-        raise ValueError(f"calendar of more than {CALENDAR_MAX_YEARS} years")
-    days = spark.range(1).select(
+def calendar(years: DataFrame) -> DataFrame:
+    """One row per day from ``first_year`` to ``last_year`` (one row), both included."""
+    days = years.select(
         F.explode(
             F.sequence(
-                F.make_date(F.lit(start_year), F.lit(1), F.lit(1)),
-                F.make_date(F.lit(end_year), F.lit(12), F.lit(31)),
+                F.make_date(F.col("first_year"), F.lit(1), F.lit(1)),
+                F.make_date(F.col("last_year"), F.lit(12), F.lit(31)),
             )
         ).alias("full_date")
     )
@@ -43,11 +44,25 @@ def calendar(spark: SparkSession, start_year: int, end_year: int) -> DataFrame:
     )
 
 
+def calendar_years(lake: Lake, config: PipelineConfig) -> DataFrame:
+    """The configured years, widened to every year that an order or a shipment names."""
+    dates = {"purchase_orders": ("order_date",), "shipment_records": ("eta", "actual_arrival")}
+    found = [
+        lake.read("silver", t).agg(F.min(F.least(*c) if len(c) > 1 else c[0]).alias("low"),
+                                   F.max(F.greatest(*c) if len(c) > 1 else c[0]).alias("high"))
+        for t, c in dates.items()
+    ]
+    first, last = config.calendar_start_year, config.calendar_end_year
+    return reduce(DataFrame.unionByName, found).agg(
+        F.least(F.year(F.min("low")), F.lit(first)).alias("first_year"),
+        F.greatest(F.year(F.max("high")), F.lit(last)).alias("last_year"))
+
+
 def load_dim_date(lake: Lake, config: PipelineConfig) -> int:
-    days = calendar(lake.spark, config.calendar_start_year, config.calendar_end_year)
+    days = calendar(calendar_years(lake, config))
     new = without(days, lake.read("gold", "dim_date"), ["date_key"])
-    lake.append(new.coalesce(1), "gold", "dim_date")
-    return days.count()
+    lake.append(new.coalesce(1), "gold", "dim_date")  # one row per day
+    return lake.read("gold", "dim_date").count()
 
 
 def _add_values(lake: Lake, values: DataFrame, table: str, key: str, surrogate: str) -> int:
@@ -84,8 +99,8 @@ def _upsert_table(
 ) -> int:
     known = lake.exists("gold", table)
     current = lake.read("gold", table) if known else None
-    top = lake.current_max("gold", table, surrogate) if known else None
-    columns = lake.read("gold", table).columns
+    top = lake.current_max("gold", table, surrogate) or 0 if known else None
+    columns = struct(GOLD_SCHEMAS[table]).names
     lake.replace(
         upsert(current, incoming, key, surrogate, update, top).select(*columns), "gold", table)
     lake.expire("gold", table)
@@ -124,9 +139,11 @@ def fact_rows(
     dim_medicine: DataFrame,
     dim_warehouse: DataFrame,
     dim_country: DataFrame,
+    dim_date: DataFrame,
     delay_threshold_days: int,
 ) -> DataFrame:
-    """One row per shipment with its dimension keys and delay.
+    """One row per shipment with its dimension keys and delay. A key that a dimension
+    or the calendar does not hold stops the load.
 
     Keys are attached to the parent tables first, so each shipment row meets every
     parent once: one large join on ``po_id``, then three lookups that broadcast
@@ -152,6 +169,9 @@ def fact_rows(
         .join(medicine_keys, "medicine_id", "inner")
         .join(warehouse_keys, "warehouse_id", "left")
     )
+    for name, day in DATE_ROLES.items():
+        days = dim_date.select(F.col("full_date").alias(f"_{name}"), F.col("date_key").alias(name))
+        joined = joined.join(days, F.col(day) == F.col(f"_{name}"), "left").drop(f"_{name}")
     late = delay_days(F.col("eta"), F.col("actual_arrival"))
     return joined.select(
         "shipment_id",
@@ -159,9 +179,11 @@ def fact_rows(
         _resolved("medicine_key", "medicine_id", "dim_medicine"),
         _resolved("warehouse_key", "warehouse_id", "dim_warehouse"),
         _resolved("country_key", "country", "dim_country"),
-        date_key(F.col("order_date")).alias("order_date_key"),
-        date_key(F.col("eta")).alias("eta_date_key"),
-        date_key(F.col("actual_arrival")).alias("actual_arrival_date_key"),
+        _resolved("order_date_key", "order_date", "dim_date").cast("int").alias("order_date_key"),
+        _resolved("eta_date_key", "eta", "dim_date").cast("int").alias("eta_date_key"),
+        F.when(F.col("actual_arrival").isNotNull(), _resolved(
+            "actual_arrival_date_key", "actual_arrival", "dim_date")).cast("int").alias(
+            "actual_arrival_date_key"),
         "quantity",
         "total_cost",
         "currency",
@@ -174,6 +196,11 @@ def fact_rows(
 FACT_UPDATES = ["delay_days", "is_delayed", "status"]
 
 
+def by_eta(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of their eta, sorted, so that date filters skip files and row groups."""
+    return rows.repartitionByRange("eta_date_key").sortWithinPartitions("eta_date_key")
+
+
 def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = False) -> int:
     """Partial upsert: a shipment already in the fact gets new delay and status
     only; its arrival date, quantity and cost stay as first written.
@@ -181,8 +208,13 @@ def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = Fals
     Silver keeps the first write, so between runs with the same delay threshold no
     known shipment can change. ``only_new`` then gives the same table by adding the
     missing shipments, without reading or rewriting the rest.
+
+    The fact is laid out by eta. New keys are given out after that shuffle, or to rows
+    already written, never before a shuffle that a lost task could repeat differently.
     """
-    fact, known = lake.read("gold", "fact_shipment"), lake.exists("gold", "fact_shipment")
+    known = lake.exists("gold", "fact_shipment")
+    fact = lake.read("gold", "fact_shipment") if known else None
+    columns = struct(GOLD_SCHEMAS["fact_shipment"]).names
     shipments = lake.read("silver", "shipment_records")
     if known and only_new:
         shipments = without(shipments, fact, ["shipment_id"])
@@ -195,17 +227,21 @@ def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = Fals
         lake.read("gold", "dim_medicine"),
         lake.read("gold", "dim_warehouse"),
         lake.read("gold", "dim_country"),
+        lake.read("gold", "dim_date"),
         config.delay_threshold_days,
     )
-    top = lake.current_max("gold", "fact_shipment", "shipment_key") if known else None
-    add_only = not known or only_new
-    merged = upsert(
-        None if add_only else fact, rows, "shipment_id", "shipment_key", FACT_UPDATES, top
-    ).select(*fact.columns)
-    if known and only_new:
-        lake.append_to_current(merged, "gold", "fact_shipment")
+    top = (lake.current_max("gold", "fact_shipment", "shipment_key") or 0) if known else None
+    if not known or only_new:
+        added = upsert(None, by_eta(rows), "shipment_id", "shipment_key", FACT_UPDATES, top)
+        if known:
+            lake.append_to_current(added.select(*columns), "gold", "fact_shipment")
+        else:
+            lake.replace(added.select(*columns), "gold", "fact_shipment")
     else:
-        lake.replace(merged, "gold", "fact_shipment")
+        merged = upsert(fact, rows, "shipment_id", "shipment_key", FACT_UPDATES, top)
+        merged = lake.stage(merged.select(*columns), "fact_shipment")
+        lake.replace(by_eta(merged), "gold", "fact_shipment")
+        lake.unstage("fact_shipment")
         lake.expire("gold", "fact_shipment")
     return lake.read("gold", "fact_shipment").count()
 

@@ -12,9 +12,10 @@ from siltstone.config import SILVER_SCHEMAS, PipelineConfig, SourceSpec
 from siltstone.functions.text import strip
 from siltstone.operators.dedup import insert_if_absent
 from siltstone.operators.keys import next_base, with_sequence
-from siltstone.operators.membership import flag_listed, flag_unknown, orphan_keys, without
+from siltstone.operators.membership import flag_listed, orphan_keys, without
 from siltstone.operators.rules import split_by_verdict
 from siltstone.operators.validators import (
+    VALIDATORS,
     explained,
     judged,
     key_column,
@@ -22,7 +23,7 @@ from siltstone.operators.validators import (
     stripped,
     typed_columns,
 )
-from siltstone.sources.bronze import landed_runs
+from siltstone.sources.bronze import landing_log
 from siltstone.sources.lake import Lake, struct
 
 
@@ -33,21 +34,14 @@ class LoadCounts:
     skipped_duplicate: int
 
 
-# Parents up to this size on disk are broadcast whole to the rows that refer to
-# them (below Spark's default broadcast threshold of 10 MB).
-SMALL_PARENT_BYTES = 8 * 1024 * 1024
-
-
-def delivered(
-    lake: Lake, spec: SourceSpec, runs: list[str] | None = None, rows: DataFrame | None = None
-) -> DataFrame:
-    """The Bronze rows a load looks at: ``rows``, or some runs, or by default all
-    runs whose landing is complete (what a broken landing left is not read)."""
-    if rows is not None:
-        return rows
-    runs = sorted(landed_runs(lake, spec)) if runs is None else runs
+def delivered(lake: Lake, spec: SourceSpec, runs: list[str] | None = None) -> DataFrame:
+    """The Bronze rows a load looks at: some runs, or by default all runs whose landing
+    is complete (what a broken landing left is not read)."""
     bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
-    return bronze.filter(F.col("run_id").isin(runs))
+    if runs is not None:  # the runs of this delivery
+        return bronze.filter(F.col("run_id").isin(runs))
+    # All history: joined with the landing log, so that no plan lists every run.
+    return bronze.join(landing_log(lake, spec).select("run_id"), "run_id", "left_semi")
 
 
 def unprocessed(
@@ -78,12 +72,12 @@ def unprocessed(
 def open_runs(lake: Lake, spec: SourceSpec) -> tuple[list[str], int | None]:
     """Landed Bronze runs of a source that no finished Silver load has covered, and
     their least row id."""
-    covered: set[str] = set()
-    if lake.exists("silver", "load_log"):
-        log = lake.read("silver", "load_log").filter(F.col("source") == spec.name)
-        covered = {run for r in log.select("bronze_runs").collect() for run in r.bronze_runs}
-    left = {k: r.min_bronze_id for k, r in landed_runs(lake, spec).items() if k not in covered}
-    return sorted(left), min((i for i in left.values() if i is not None), default=None)
+    log = lake.read("silver", "load_log").filter(F.col("source") == spec.name)
+    covered = log.select(F.explode("bronze_runs").alias("run_id"))
+    left = landing_log(lake, spec).join(covered, "run_id", "left_anti").select(
+        "run_id", "min_bronze_id").collect()  # only what no load has finished
+    return (sorted(r.run_id for r in left),
+            min((r.min_bronze_id for r in left if r.min_bronze_id is not None), default=None))
 
 
 def flag_orphans(
@@ -91,22 +85,18 @@ def flag_orphans(
 ) -> DataFrame:
     """Flag, per reference, rows whose parent is not in Silver.
 
-    A small parent is broadcast. For a large one the missing keys are found first,
-    from the key columns alone, and written down; there are few as a rule, so the
-    wide rows are again joined without being shuffled.
+    The missing keys are found first, from the key columns alone, and written down;
+    there are few as a rule, so the wide rows are joined without being shuffled. A
+    NULL key has no parent to miss and is not flagged (its own rule rejects it).
     """
     for ref in spec.references:
         key, flag = key_column(ref.column), orphan_flag(ref.column)
         parents = lake.read("silver", ref.parent)
         df = df.withColumn(key, strip(ref.column))
-        if lake.size("silver", ref.parent) <= SMALL_PARENT_BYTES:
-            df = flag_unknown(df, key, parents, ref.parent_key, flag)
-        else:
-            keys = keys_from.select(strip(ref.column).alias(key))
-            lost = lake.stage(
-                orphan_keys(keys, parents, ref.parent_key), f"{stage}-orphans/{ref.column}")
-            df = flag_listed(df, key, lost, flag)
-        df = df.drop(key)
+        keys = keys_from.select(strip(ref.column).alias(key))
+        lost = lake.stage(
+            orphan_keys(keys, parents, ref.parent_key), f"{stage}-orphans/{ref.column}")
+        df = flag_listed(df, key, lost, flag).drop(key)
     return df
 
 
@@ -190,28 +180,31 @@ def load_silver(
     at: datetime | None = None,
     on_duplicate: str = "skip",
     only_open_runs: bool = False,
-    rows: DataFrame | None = None,
+    runs: list[str] | None = None,
+    first_id: int | None = None,
 ) -> LoadCounts:
     """Validate and load what is new in one source.
 
     ``on_duplicate="quarantine"`` records later copies of a key under VR-09; by
     default they are only counted, and a later load reads and skips them again.
     ``only_open_runs`` reads just the Bronze runs no load has finished, so the
-    cost follows the delivery and not the history. ``rows`` restricts the load to
-    the given Bronze rows (one micro-batch of a stream).
+    cost follows the delivery and not the history. ``runs`` names the landings to load
+    (a micro-batch of a stream) and ``first_id`` their least row id.
     """
     if on_duplicate not in ("skip", "quarantine"):
         raise ValueError(f"on_duplicate must be 'skip' or 'quarantine', not '{on_duplicate}'")
     at = at or datetime.now(timezone.utc)
-    runs, first_id = open_runs(lake, spec) if rows is None else ([], None)
-    bronze = delivered(lake, spec, runs if only_open_runs else None, rows)
-    todo = unprocessed(lake, spec, bronze, first_id if only_open_runs else None)
+    few = only_open_runs or runs is not None
+    if runs is None:
+        runs, first_id = open_runs(lake, spec)
+    todo = unprocessed(
+        lake, spec, delivered(lake, spec, runs if few else None), first_id if few else None)
     stage = f"{run_id}/{spec.name}"
 
     # One pass decides every row; the consumers below read its result back, so the
     # joins run once and a lost executor costs a re-read, not a re-join.
     seen = Observation()
-    todo = flag_orphans(lake, todo, spec, bronze, stage)
+    todo = flag_orphans(lake, todo, spec, todo, stage)
     decided = outcome_rows(
         judge(todo, spec), spec, keep_raw=on_duplicate == "quarantine"
     ).observe(
@@ -230,7 +223,6 @@ def load_silver(
             lake.read("silver", spec.silver_table),
             list(spec.natural_key),
             [f"_by_{c}" for c in spec.first_by],
-            total - rejected_n,
         )
         added = Observation()
         new = new.withColumn("validated_at", F.lit(at).cast("timestamp")).select(
@@ -267,9 +259,30 @@ def _silver_columns(spec: SourceSpec) -> list[str]:
 def load_all_silver(
     lake: Lake, config: PipelineConfig, run_id: str, at: datetime | None = None, **options
 ) -> dict[str, LoadCounts]:
-    """All sources, parents before children: references are checked against what
-    this run has already loaded."""
-    return {s.name: load_silver(lake, s, run_id, at, **options) for s in config.sources}
+    """All sources that have rules, parents before children whatever the settings'
+    order: references are checked against what this run has already loaded."""
+    order = load_order([s for s in config.sources if s.name in VALIDATORS])
+    return {s.name: load_silver(lake, s, run_id, at, **options) for s in order}
+
+
+def load_order(sources: list[SourceSpec]) -> list[SourceSpec]:
+    """Parents first, else as given. A parent that is not among the sources, or a
+    cycle, raises ValueError before anything is written."""
+    by_name = {s.name: s for s in sources}
+    done: list[SourceSpec] = []
+    left = list(sources)
+    for s in sources:
+        absent = [r.parent for r in s.references if r.parent not in by_name]
+        if absent:
+            raise ValueError(f"source '{s.name}' refers to {absent}, which no source delivers")
+    while left:
+        ready = [s for s in left if all(by_name[r.parent] in done or r.parent == s.name
+                                        for r in s.references)]
+        if not ready:
+            raise ValueError(f"sources refer to each other: {[s.name for s in left]}")
+        done += ready
+        left = [s for s in left if s not in ready]
+    return done
 
 
 def outcomes(lake: Lake, run_id: str) -> DataFrame:

@@ -24,11 +24,10 @@ def shipment_details(
     dim_date: DataFrame,
 ) -> DataFrame:
     """One wide row per shipment. The arrival role of the calendar is a left join,
-    so shipments in transit stay. The calendar is broadcast (its year range is
-    bounded); the other dimensions only if the optimizer finds them small."""
+    so shipments in transit stay. The optimizer broadcasts what it finds small."""
 
     def role(name: str) -> DataFrame:
-        return F.broadcast(dim_date).alias(name)
+        return dim_date.alias(name)
 
     f = fact.alias("f")
     return (
@@ -174,7 +173,7 @@ def volume_by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Shipments per month of their eta, in calendar order."""
     per_day = fact.groupBy("eta_date_key").agg(F.count(F.lit(1)).alias("n"))
     return (
-        per_day.join(F.broadcast(dim_date), F.col("eta_date_key") == F.col("date_key"))
+        per_day.join(dim_date, F.col("eta_date_key") == F.col("date_key"))
         .groupBy(F.col("year").alias("eta_year"), F.col("month").alias("eta_month"))
         .agg(F.sum("n").alias("total_shipments"))
         .orderBy("eta_year", "eta_month")
@@ -220,7 +219,14 @@ def expiry_of(lake: Lake, config: PipelineConfig, as_of: Column | None = None) -
 
 
 def register_views(lake: Lake, config: PipelineConfig, as_of: Column | None = None) -> None:
-    """Make the three views available to SQL under their fixed names."""
-    details_of(lake).createOrReplaceTempView("vw_shipment_details")
-    performance_of(lake).createOrReplaceTempView("vw_supplier_performance")
-    expiry_of(lake, config, as_of).createOrReplaceTempView("vw_medicine_expiry_risk")
+    """Make the three views available to SQL under their fixed names. They follow
+    every later change of the Silver and Gold tables made through this lake."""
+
+    def refresh() -> None:
+        details_of(lake).createOrReplaceTempView("vw_shipment_details")
+        performance_of(lake).createOrReplaceTempView("vw_supplier_performance")
+        expiry_of(lake, config, as_of).createOrReplaceTempView("vw_medicine_expiry_risk")
+
+    refresh()
+    lake.on_change = [f for f in lake.on_change if f.__qualname__ != refresh.__qualname__]
+    lake.on_change.append(refresh)

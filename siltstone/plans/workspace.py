@@ -91,6 +91,7 @@ class Workspace:
 
     def gold(self, table: str) -> DataFrame:
         if table == "dim_date":
+            self.load("shipment_records")  # and the orders it refers to
             build = lambda: gold.load_dim_date(self.lake, self.config)
         elif table == "dim_country":
             self.load("supplier_master")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import SOURCES
 from siltstone.functions.metrics import is_delayed
+from siltstone.operators import history
 from siltstone.operators.dedup import absent_values, duplicate_keys
 from siltstone.operators.membership import orphan_rows
 from siltstone.operators.upsert import upsert
@@ -24,7 +26,7 @@ from siltstone.plans.workspace import (
 )
 from siltstone.sources import bronze as landing
 from siltstone.sources import testdata
-from siltstone.sources.readers import read_source
+from siltstone.sources.readers import SOURCE_FILE, read_source
 from siltstone.streaming.incremental import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,10 +97,8 @@ def _file_source(w: Workspace, name: str, fmt: str, **options: str) -> DataFrame
     if w._once(f"files/{name}"):
         rows = testdata.delivery(w.spark, w.sf_dir, name).write.mode("overwrite")
         rows.csv(path, header=True, escape='"') if fmt == "csv" else rows.json(path)
-    from dataclasses import replace
-
     spec = replace(SOURCES[name], file_format=fmt, path=path, options=options)
-    return read_source(w.spark, spec)
+    return read_source(w.spark, spec).select(*spec.columns)
 
 
 query("csv_source_supplier_master")(lambda w: _file_source(w, "supplier_master", "csv"))
@@ -109,6 +109,54 @@ query("json_source_shipment_records")(
     lambda w: _file_source(w, "shipment_records", "json", multiLine="false"))
 
 
+@query("csv_columns_in_any_order")
+def csv_columns_in_any_order(w: Workspace) -> DataFrame:
+    """A folder of two files, the second with its columns reversed: values are bound by
+    name, and every row tells which file it came from."""
+    path, columns = f"{w.lake.root}/files/two_orders", list(SOURCES["supplier_master"].columns)
+    if w._once("files/two_orders"):
+        rows = testdata.delivery(w.spark, w.sf_dir, "supplier_master")
+        odd = F.substring("supplier_id", -1, 1).isin(*"13579")
+        for part, cols in ((rows.filter(~odd), columns), (rows.filter(odd), columns[::-1])):
+            part.select(*cols).coalesce(1).write.mode("append").csv(path, header=True, escape='"')
+    spec = replace(SOURCES["supplier_master"], file_format="csv", path=path)
+    scanned = read_source(w.spark, spec)
+    files = scanned.select(SOURCE_FILE).distinct().withColumn(
+        "_n", F.dense_rank().over(Window.orderBy(SOURCE_FILE)))  # two rows
+    return scanned.join(files, SOURCE_FILE).groupBy(SOURCE_FILE).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("supplier_id").startswith("SUP-")).alias("named_ids"),
+        F.count_if(F.col("performance_tier").startswith("Tier ")).alias("tiers")).drop(SOURCE_FILE)
+
+
+@query("json_array_source")
+def json_array_source(w: Workspace) -> DataFrame:
+    """A delivery as one JSON array per file instead of a line per object."""
+    path, spec = f"{w.lake.root}/files/array.json", SOURCES["medicine_catalogue"]
+    if w._once("files/array"):
+        rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
+        text = F.to_json(F.collect_list(F.struct(*spec.columns)))
+        part = F.pmod(F.xxhash64("medicine_id"), F.lit(8))  # eight arrays
+        rows.groupBy(part.alias("part")).agg(text.alias("value")).select("value").write.mode(
+            "overwrite").option("compression", "none").text(path)
+    return read_source(w.spark, replace(spec, file_format="json", path=path)).select(*spec.columns)
+
+
+@query("landed_source_files")
+def landed_source_files(w: Workspace) -> DataFrame:
+    """Bronze rows landed from files tell their own file, not the folder."""
+    path, spec = f"{w.lake.root}/files/landed", SOURCES["medicine_catalogue"]
+    spec = replace(spec, file_format="csv", path=path, bronze_name="medicine_files")
+    if w._once("files/landed"):
+        testdata.delivery(w.spark, w.sf_dir, spec.name).repartition(3, "medicine_id").write.mode(
+            "overwrite").csv(path, header=True, escape='"')
+        landing.land(w.lake, read_source(w.spark, spec), spec, LANDING_RUN, ingested_at=LANDED_AT)
+    rows = w.lake.read("bronze", spec.bronze_table, spec.bronze_schema)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"),
+                    F.count_if(F.col("source_file").endswith(".csv")).alias("rows_with_file"),
+                    (F.countDistinct("source_file") > 1).alias("several_files"))
+
+
 # -- Silver ---------------------------------------------------------------------
 
 for _n in NAMES:
@@ -152,11 +200,16 @@ def _vr09(w: Workspace) -> DataFrame:
 
 
 def _stream(w: Workspace) -> DataFrame:
-    """Parents loaded as a batch, purchase orders through the file stream."""
+    """Parents loaded as a batch, purchase orders through the stream of landings, beside
+    the leftovers of a landing that died before it was logged."""
     spec = w.spec("purchase_orders")
     for ref in spec.references:
         w.load(ref.parent)
     w.land(spec.name)
+    if w._once("dead landing"):
+        dead = w.bronze(spec.name).withColumn("bronze_id", -F.col("bronze_id")).withColumn(
+            "po_id", F.concat(F.lit("DEAD-"), "po_id"))
+        w.lake.put_partition(dead, "bronze", spec.bronze_table, run_id="died")
     if w._once("stream"):
         stream_silver(w.lake, spec, "stream", LANDED_AT).awaitTermination()
     return w.lake.read("silver", spec.silver_table).drop("bronze_id", "validated_at")
@@ -255,13 +308,18 @@ def fact_shipment(w: Workspace) -> DataFrame:
 @query("fact_partial_upsert")
 def fact_partial_upsert(w: Workspace) -> DataFrame:
     """All shipments redelivered as closed, with other quantities and a threshold of
-    5 days: delay flag and status follow, the quantity stays as first written."""
+    5 days: delay flag and status follow, the quantity stays as first written. Delayed
+    ones also come under a new id, with a key of their own."""
     f = w.gold("fact_shipment")
     again = f.drop("shipment_key").withColumns({
         "status": F.lit("Closed"), "quantity": F.col("quantity") + 1,
         "is_delayed": is_delayed(F.col("delay_days"), 5)})
-    merged = upsert(f, again, "shipment_id", "shipment_key", gold.FACT_UPDATES)
-    return merged.select("shipment_id", "quantity", "delay_days", "is_delayed", "status")
+    new = again.filter(F.col("delay_days") > 5).withColumn(
+        "shipment_id", F.concat(F.lit("NEW-"), "shipment_id"))
+    top = w.lake.current_max("gold", "fact_shipment", "shipment_key")
+    merged = upsert(f, again.unionByName(new), "shipment_id", "shipment_key", gold.FACT_UPDATES, top)
+    return merged.select("shipment_id", "quantity", "delay_days", "is_delayed", "status",
+                         (F.col("shipment_key") > top).alias("new_key"))
 
 
 @query("dim_type1_upsert")
@@ -281,6 +339,21 @@ def dim_type1_upsert(w: Workspace) -> DataFrame:
         (F.col("_was") == F.col("supplier_key")).alias("kept_key"))
 
 
+@query("dim_supplier_versions")
+def dim_supplier_versions(w: Workspace) -> DataFrame:
+    """Type 2: a year after the first delivery some tiers change, some suppliers are absent
+    and some are new; the history shows what held when."""
+    attributes = ["supplier_name", "performance_tier"]
+    rows = w.silver("supplier_master").select("supplier_id", *attributes)
+    last = F.substring("supplier_id", -1, 1).cast("int")
+    first = history.first_versions(
+        rows.filter(last != 9), "supplier_id", attributes, F.lit("1997-01-01").cast("date"))
+    again = rows.filter(last != 8).withColumn("performance_tier", F.when(
+        last % 3 == 0, F.concat("performance_tier", F.lit("+"))).otherwise(F.col("performance_tier")))
+    return history.next_versions(
+        first, again, "supplier_id", attributes, F.lit("1998-01-01").cast("date"))
+
+
 @query("insert_if_absent_values")
 def insert_if_absent_values(w: Workspace) -> DataFrame:
     """Raw medicine ids that the medicine dimension does not hold."""
@@ -321,6 +394,48 @@ def views_through_sql(w: Workspace) -> DataFrame:
         UNION ALL SELECT 'medicine_expiry_risk', count(*) FROM vw_medicine_expiry_risk""")
 
 
+@query("calendar_keeps_all")
+def calendar_keeps_all(w: Workspace) -> DataFrame:
+    """No shipment is lost between the fact, the details and the month chart, although
+    its dates lie outside the configured years."""
+    w.star()
+    fact = w.gold("fact_shipment")
+    n = lambda df, c: df.agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.lit(c))
+    arrived = views.details_of(w.lake).filter("actual_arrival_date is not null")
+    months = views.volume_by_month(fact, w.gold("dim_date")).agg(
+        F.sum("total_shipments").alias("n")).withColumn("step", F.lit("months"))
+    return union_all([n(fact, "fact"), n(views.details_of(w.lake), "details"),
+                      n(arrived, "arrived"), months])
+
+
+def _pipeline_again(w: Workspace) -> DataFrame:
+    """The views through SQL after three more Gold loads: registered once, they show the
+    current rows."""
+    w.star()
+    w.silver("warehouse_inventory")
+    if w._once("reloads"):
+        views.register_views(w.lake, w.config, w.as_of())
+        for _ in range(3):
+            gold.load_all_gold(w.lake, w.config)
+    return w.spark.table("vw_shipment_details").drop("shipment_key")
+
+
+_variant("views_after_reloads", _pipeline_again, "reloads")
+
+
+def _unordered(w: Workspace) -> DataFrame:
+    """All sources loaded from settings that list children first."""
+    if w._once("unordered"):
+        for n in NAMES:
+            w.land(n)
+        config = replace(w.config, sources=tuple(reversed(w.config.sources)))
+        silver.load_all_silver(w.lake, config, SILVER_RUN, LANDED_AT)
+    return silver.outcomes(w.lake, SILVER_RUN)
+
+
+_variant("silver_outcomes_any_order", _unordered, "unordered")
+
+
 query("supplier_table")(lambda w: views.supplier_table(vw_supplier_performance(w)))
 query("kpi_totals")(lambda w: views.kpi_totals(w.gold("fact_shipment")))
 query("delayed_by_country")(

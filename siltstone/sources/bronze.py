@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltstone.config import PipelineConfig, SourceSpec
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.sources.lake import Lake
-from siltstone.sources.readers import read_source
+from siltstone.sources.readers import SOURCE_FILE, read_source
 
 
 def add_audit_columns(
@@ -25,29 +25,26 @@ def add_audit_columns(
     return df.withColumns(cols)
 
 
-def landed_runs(lake: Lake, spec: SourceSpec) -> dict[str, Row]:
-    """Log rows of the runs whose landing is complete, by run id."""
-    if not lake.exists("bronze", "load_log"):
-        return {}
-    log = lake.read("bronze", "load_log").filter(F.col("bronze_table") == spec.bronze_table)
-    return {r.run_id: r for r in log.collect()}  # one row per run
+def landing_log(lake: Lake, spec: SourceSpec) -> DataFrame:
+    """Log rows of the source's runs whose landing is complete."""
+    return lake.read("bronze", "load_log").filter(F.col("bronze_table") == spec.bronze_table)
 
 
-def _max_bronze_id(lake: Lake, spec: SourceSpec, landed: dict[str, Row]) -> int | None:
+def _max_bronze_id(lake: Lake, spec: SourceSpec, log: DataFrame) -> int | None:
     """Highest id handed out, from the load log; only runs that crashed before
     they were logged are scanned."""
-    known = [r.max_bronze_id for r in landed.values() if r.max_bronze_id is not None]
-    loose = [r for r in lake.partitions("bronze", spec.bronze_table, "run_id") if r not in landed]
-    if loose:
-        found = (
-            lake.read("bronze", spec.bronze_table, spec.bronze_schema)
-            .filter(F.col("run_id").isin(loose))
-            .agg(F.max("bronze_id"))
-            .first()[0]
-        )
-        if found is not None:
-            known.append(found)
-    return max(known, default=None)
+    known = [log.agg(F.max("max_bronze_id")).first()[0]]
+    folders = lake.partitions("bronze", spec.bronze_table, "run_id")
+    if folders:
+        names = lake.spark.createDataFrame([(f,) for f in folders], "run_id string")
+        loose = [r.run_id for r in names.join(log, "run_id", "left_anti").collect()]
+        if loose:
+            known.append(
+                lake.read("bronze", spec.bronze_table, spec.bronze_schema)
+                .filter(F.col("run_id").isin(loose))
+                .agg(F.max("bronze_id"))
+                .first()[0])
+    return max((k for k in known if k is not None), default=None)
 
 
 def land(
@@ -63,12 +60,16 @@ def land(
     A run owns one directory. Earlier runs are never touched; an attempt that died
     half way is replaced when the same run is tried again.
     """
-    landed = landed_runs(lake, spec)
-    if run_id in landed:
+    log = landing_log(lake, spec)
+    if not log.filter(F.col("run_id") == run_id).isEmpty():
         raise ValueError(f"run '{run_id}' has already landed in {spec.bronze_table}")
     at = ingested_at or datetime.now(timezone.utc)
-    rows = add_audit_columns(df.select(*spec.columns), source_file or spec.path, run_id, at)
-    rows = with_sequence(rows, "bronze_id", next_base(_max_bronze_id(lake, spec, landed)))
+    if source_file is None and SOURCE_FILE in df.columns:  # each row's own file
+        rows = df.select(*spec.columns, F.col(SOURCE_FILE).alias("source_file"),
+                         F.lit(run_id).alias("run_id"), F.lit(at).cast("timestamp").alias("ingested_at"))
+    else:
+        rows = add_audit_columns(df.select(*spec.columns), source_file or spec.path, run_id, at)
+    rows = with_sequence(rows, "bronze_id", next_base(_max_bronze_id(lake, spec, log)))
     seen = Observation()
     rows = rows.select(
         "bronze_id", *spec.columns, "ingested_at", "source_file", "run_id"

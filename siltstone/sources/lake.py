@@ -1,13 +1,16 @@
 """Parquet tables addressed by layer and name.
 
 Append tables are one directory. Tables that are rewritten keep numbered
-snapshots; the newest one with a job-commit marker is current, so a reader never
-sees a half-written table and a plan may read the snapshot it replaces.
+snapshots: a small file, written after the data and put in place by a rename, lists
+the folders a snapshot consists of. The newest one is current, so a reader never
+sees a half-written table or half an append, whatever markers Spark's committer
+leaves, and a plan may read the snapshot it replaces.
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,24 +19,15 @@ from pyspark.sql import types as T
 
 from siltstone.config import table_schema
 
-COMMIT_MARKER = "_SUCCESS"
+SNAPSHOTS = "_snapshots"
 
 
 def work_root(spark: SparkSession) -> str:
-    """Shared folder for written intermediate tables.
-
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (a local
-    test session) a fresh temporary folder is made and set; off a local master an
-    unset folder is an error, because executors could not see a local one.
-    """
+    """Shared folder for written intermediate tables, named in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="siltstone-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
 
 
 @lru_cache(maxsize=None)
@@ -51,6 +45,8 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        #: Called after every change of a Silver or Gold table (registered views).
+        self.on_change: list[Callable[[], None]] = []
 
     # -- locations ---------------------------------------------------------
 
@@ -75,10 +71,9 @@ class Lake:
     def exists(self, layer: str, table: str) -> bool:
         """Whether anything was written; a snapshot counts once it is committed."""
         path = self.path(layer, table)
-        children = self._children(path)
-        if any(c.startswith("v=") for c in children):
-            return bool(self._committed(path, children))
-        return bool(children)
+        if self._snapshots(path):
+            return True
+        return any(not c.startswith("v=") for c in self._children(path))
 
     def size(self, layer: str, table: str) -> int:
         """Bytes on disk, all snapshots together; 0 if absent."""
@@ -88,17 +83,28 @@ class Lake:
     # -- reading -----------------------------------------------------------
 
     def read(self, layer: str, table: str, schema: str | None = None) -> DataFrame:
-        """Typed scan; an absent table reads as empty with the same columns."""
+        """Typed scan; an absent table reads as empty with the same columns.
+
+        Snapshot folders of which none is committed are an error, not an empty table.
+        """
         ddl = struct(schema or table_schema(layer, table))
         path = self.path(layer, table)
-        children = self._children(path)
-        versions = self._committed(path, children)
-        if not children or (not versions and any(c.startswith("v=") for c in children)):
-            return self.spark.range(0).select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in ddl.fields])
-        if versions:
-            path = f"{path}/{versions[-1]}"
-        return self.spark.read.schema(ddl).parquet(path).select(*ddl.names)
+        paths = self.current_paths(layer, table)
+        if not paths:
+            children = self._children(path)
+            if any(c.startswith("v=") for c in children):
+                raise RuntimeError(f"{path} holds snapshot folders, but none was committed")
+            if not children:
+                return self.spark.range(0).select(
+                    *[F.lit(None).cast(f.dataType).alias(f.name) for f in ddl.fields])
+            paths = [path]
+        return self.spark.read.schema(ddl).parquet(*paths).select(*ddl.names)
+
+    def current_paths(self, layer: str, table: str) -> list[str]:
+        """Folders of the current snapshot; none for append tables."""
+        path = self.path(layer, table)
+        taken = self._snapshots(path)
+        return [f"{path}/{c}" for c in self._folders(path, taken[-1])] if taken else []
 
     def partitions(self, layer: str, table: str, column: str) -> list[str]:
         """Values of a partition column, from the directory listing alone."""
@@ -115,6 +121,7 @@ class Lake:
             path = f"{path}/{column}={value}"
             df = df.drop(column)
         df.write.mode("append").parquet(path)
+        self._changed(layer)
 
     def put_partition(self, df: DataFrame, layer: str, table: str, **partition: str) -> None:
         """Write one directory whole, replacing what a failed attempt left there."""
@@ -126,31 +133,59 @@ class Lake:
 
     def replace(self, df: DataFrame, layer: str, table: str) -> None:
         """Write the next snapshot and let it become current on commit."""
-        path = self.path(layer, table)
-        taken = [c for c in self._children(path) if c.startswith("v=")]
-        number = int(taken[-1][2:]) + 1 if taken else 1
-        df.write.mode("errorifexists").parquet(f"{path}/v={number:08d}")
+        self._write_snapshot(df, layer, table, [])
 
     def append_to_current(self, df: DataFrame, layer: str, table: str) -> None:
-        """Add rows to the current snapshot without rewriting it."""
+        """The current snapshot's folders and one more, visible together once written."""
         path = self.path(layer, table)
-        df.write.mode("append").parquet(f"{path}/{self._versions(path)[-1]}")
-
-    def _versions(self, path: str) -> list[str]:
-        return self._committed(path, self._children(path))
+        self._write_snapshot(df, layer, table, self._folders(path, self._snapshots(path)[-1]))
 
-    def _committed(self, path: str, children: list[str]) -> list[str]:
-        return [c for c in children
-                if c.startswith("v=") and self._exists(f"{path}/{c}/{COMMIT_MARKER}")]
+    def _write_snapshot(self, df: DataFrame, layer: str, table: str, keep: list[str]) -> None:
+        path = self.path(layer, table)
+        taken = [int(c[2:]) for c in self._children(path) if c.startswith("v=")]
+        number = max([0, *taken, *(int(c) for c in self._snapshots(path))]) + 1
+        folder = f"v={number:08d}"
+        df.write.mode("errorifexists").parquet(f"{path}/{folder}")
+        fs, draft = self._fs(f"{path}/{SNAPSHOTS}/.{uuid.uuid4().hex}")
+        out = fs.create(draft)
+        out.write(bytearray("\n".join([*keep, folder]).encode()))
+        out.close()
+        _, final = self._fs(f"{path}/{SNAPSHOTS}/{number:08d}")
+        if not fs.rename(draft, final):
+            raise RuntimeError(f"snapshot {number} of {path} was committed by someone else")
+        self._changed(layer)
+
+    def _changed(self, layer: str) -> None:
+        if layer in ("silver", "gold"):
+            for refresh in self.on_change:
+                refresh()
+
+    def _snapshots(self, path: str) -> list[str]:
+        return [c for c in self._children(f"{path}/{SNAPSHOTS}") if c.isdigit()]
+
+    def _folders(self, path: str, snapshot: str) -> list[str]:
+        fs, p = self._fs(f"{path}/{SNAPSHOTS}/{snapshot}")
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode().split("\n")
+        finally:
+            stream.close()
 
     def expire(self, layer: str, table: str, keep: int = 2) -> list[str]:
-        """Drop all but the newest ``keep`` snapshots; returns what was dropped."""
+        """Drop all but the newest ``keep`` snapshots and the folders only they used;
+        returns the folders. Folders above the newest snapshot may be in the making."""
         path = self.path(layer, table)
-        old = self._versions(path)[:-keep] if keep > 0 else []
-        for c in old:
-            fs, p = self._fs(f"{path}/{c}")
+        taken = self._snapshots(path)
+        old = taken[:-keep] if keep > 0 else []
+        if not old:
+            return []
+        used = {c for s in taken[-keep:] for c in self._folders(path, s)}
+        lost = [c for c in self._children(path)
+                if c.startswith("v=") and c[2:] <= taken[-1] and c not in used]
+        for name in [*(f"{SNAPSHOTS}/{s}" for s in old), *lost]:
+            fs, p = self._fs(f"{path}/{name}")
             fs.delete(p, True)
-        return old
+        return lost
 
     def log(self, layer: str, **values) -> None:
         """Add one row to the load log of a layer."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,38 +17,79 @@ def _text_schema(spec: SourceSpec) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
 
 
-def _header_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType:
-    """Columns in file order (one-row read); CSV binds a given schema by position."""
-    options = {k: v for k, v in spec.options.items()}
-    found = spark.read.options(**options).option("header", True).option(
-        "inferSchema", False).csv(spec.path).columns
-    return T.StructType([T.StructField(c, T.StringType()) for c in found])
+#: Column in which a scan tells each row's own file.
+SOURCE_FILE = "_source_file"
+_SURPLUS = "_surplus"
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files under a file, folder or pattern."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: list[str] = []
+    todo = list(fs.globStatus(p) or [])
+    while todo:
+        at = todo.pop()
+        name = at.getPath().getName()
+        if at.isDirectory():
+            if not name.startswith(("_", ".")) or at.getPath().equals(p):
+                todo += list(fs.listStatus(at.getPath()))
+        elif not name.startswith(("_", ".")) and at.getLen() > 0:
+            out.append(at.getPath().toString())
+    return sorted(out)
+
+
+def _headers(spark: SparkSession, spec: SourceSpec) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line. One short read per file, on the driver: headers are
+    names only, and a delivery has few files as data goes."""
+    reader = spark.read.options(**spec.options).option("header", True).option("inferSchema", False)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for f in _files(spark, spec.path):
+        found.setdefault(tuple(reader.csv(f).columns), []).append(f)
+    return found
 
 
 def read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """CSV with a header. Quoted and unquoted empties arrive NULL: both mean ``""``.
+    """CSV with a header, bound by name file by file. Quoted and unquoted empties
+    arrive NULL: both mean ``""``.
 
-    Quoted line breaks need ``multiLine`` in the options, at the price of files
-    that no longer split.
+    A header that lacks an expected column or has an unknown one raises ValueError; a
+    record with more fields than its header stops the read. Quoted line breaks need
+    ``multiLine`` in the options, at the price of files that no longer split.
     """
-    schema = _header_schema(spark, spec)
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .options(**spec.options)
-        .csv(spec.path)
-    )
-    have = set(schema.names)
-    return df.select(
-        *[(F.coalesce(F.col(c), F.lit("")) if c in have else F.lit(None).cast("string")).alias(c)
-          for c in spec.columns]
-    )
+    parts = []
+    for header, files in _headers(spark, spec).items():
+        if set(header) != set(spec.columns) or len(header) != len(spec.columns):
+            raise ValueError(
+                f"Source '{spec.name}': {files[0]} has columns {list(header)}, "
+                f"expected {list(spec.columns)}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _SURPLUS)])
+        df = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .options(**spec.options)
+            .csv(files)
+        )
+        stop = F.raise_error(F.concat(
+            F.lit(f"Source '{spec.name}': more fields than columns in "),
+            F.col("_metadata.file_path"), F.lit(": ..."), F.col(_SURPLUS))).cast("string")
+        value = {c: F.coalesce(F.col(c), F.lit("")) for c in spec.columns}
+        first = spec.columns[0]
+        value[first] = F.when(F.col(_SURPLUS).isNotNull(), stop).otherwise(value[first])
+        parts.append(df.select(*[v.alias(c) for c, v in value.items()],
+                               F.col("_metadata.file_path").alias(SOURCE_FILE)))
+    if not parts:
+        return spark.range(0).select(
+            *[F.lit(None).cast("string").alias(c) for c in (*spec.columns, SOURCE_FILE)])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """JSON, values kept as written (``5000`` stays ``"5000"``).
+    """JSON, values kept as written (``5000`` stays ``"5000"``). Text that is not JSON
+    stops the read.
 
     By default the file is one array of objects, which a single task has to read.
     Large deliveries should be JSON Lines (option ``multiLine: false``): those split.
@@ -56,14 +98,17 @@ def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         spark.read.schema(_text_schema(spec))
         .option("multiLine", True)
         .option("primitivesAsString", True)
+        .option("mode", "FAILFAST")
         .options(**spec.options)
         .json(spec.path)
+        .select(*spec.columns, F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
 
 
 def read_parquet(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     df = spark.read.options(**spec.options).parquet(spec.path)
-    return df.select(*[F.col(c).cast("string").alias(c) for c in spec.columns])
+    return df.select(*[F.col(c).cast("string").alias(c) for c in spec.columns],
+                     F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 READERS: dict[str, Callable[[SparkSession, SourceSpec], DataFrame]] = {

@@ -16,7 +16,8 @@ from siltstone.config import SOURCES, PipelineConfig, SourceSpec
 PROJECTIONS: dict[str, str] = {
     "supplier_master": """
         SELECT 'SUP-' || CAST(s.s_suppkey AS STRING) AS supplier_id,
-               s.s_name AS supplier_name,
+               CASE WHEN s.s_suppkey % 7 = 3 THEN '  ' || s.s_name || ' '
+                    ELSE s.s_name END AS supplier_name,
                n.n_name AS country,
                CASE WHEN s.s_suppkey % 10 = 0 THEN ''
                     ELSE 'c' || CAST(s.s_suppkey AS STRING) || '@x.org' END AS contact_email,
@@ -28,7 +29,7 @@ PROJECTIONS: dict[str, str] = {
     "medicine_catalogue": """
         SELECT 'MED-' || CAST(p_partkey AS STRING) AS medicine_id,
                p_name AS medicine_name,
-               p_type AS category,
+               CASE WHEN p_partkey % 60 = 7 THEN '  ' ELSE p_type END AS category,
                p_brand AS unit_of_measure,
                CASE WHEN p_partkey % 50 = 0 THEN '0'
                     WHEN p_partkey % 50 = 1 THEN '5.0'
@@ -39,7 +40,8 @@ PROJECTIONS: dict[str, str] = {
                CASE WHEN l_orderkey % 20 = 3 THEN 'SUP-ORPHAN'
                     ELSE 'SUP-' || CAST(l_suppkey AS STRING) END AS supplier_id,
                'MED-' || CAST(l_partkey AS STRING) AS medicine_id,
-               CAST(CAST(o_orderdate AS DATE) AS STRING) AS order_date,
+               CASE WHEN l_orderkey % 101 = 6 THEN '1997-13-45'
+                    ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS order_date,
                CASE WHEN l_orderkey % 97 = 5 THEN '-1'
                     ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity,
                CASE WHEN l_orderkey % 89 = 4 THEN 'n/a'
@@ -53,14 +55,16 @@ PROJECTIONS: dict[str, str] = {
                  AS shipment_id,
                'PO-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS po_id,
                'WH-' || CAST(1 + l_partkey % 12 AS STRING) AS warehouse_id,
-               CAST(CAST(l_shipdate AS DATE) AS STRING) AS eta,
+               CASE WHEN k = 20 THEN 'soon' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING)
+               END AS eta,
                CASE WHEN k < 3 THEN ''
                     WHEN k < 18 THEN
                       CAST(CAST(l_shipdate AS DATE) + CAST(1 + k % 10 AS INT) AS STRING)
                     WHEN k = 18 THEN CAST(CAST(l_shipdate AS DATE) - CAST(2 AS INT) AS STRING)
                     WHEN k = 19 THEN 'bad'
                     ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS actual_arrival,
-               'Carrier ' || l_returnflag AS transport_company,
+               CASE WHEN k = 21 THEN '   ' ELSE ' Carrier ' || l_returnflag END
+                 AS transport_company,
                CASE WHEN k < 3 THEN 'In Transit' ELSE 'Delivered' END AS status
         FROM (SELECT *, (l_orderkey * 7 + l_linenumber) % 100 AS k FROM {lineitem}) li""",
     "warehouse_inventory": """
@@ -91,17 +95,8 @@ TABLES_USED = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores if the scan has fewer splits than cores, as with a
-    file of one row group. A table with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def delivery(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES_USED[name]}
-    if "lineitem" in tables:
-        tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(PROJECTIONS[name], **tables)
 
 
@@ -118,7 +113,7 @@ def spec(name: str) -> SourceSpec:
 
 
 CONFIG = PipelineConfig(
-    calendar_start_year=1995,
-    calendar_end_year=2002,
+    calendar_start_year=2003,  # the data's own dates lie outside, on purpose
+    calendar_end_year=2004,
     sources=tuple(spec(n) for n in SOURCES),
 )

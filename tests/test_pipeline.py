@@ -269,14 +269,30 @@ def test_missing_dimension_key_stops_the_load(spark, done):
         t("silver", "shipment_records"), t("silver", "purchase_orders"),
         t("silver", "supplier_master"), t("silver", "medicine_catalogue"),
         t("gold", "dim_supplier"), t("gold", "dim_medicine"),
-        t("gold", "dim_warehouse").filter("warehouse_id <> 'WH-2'"), t("gold", "dim_country"), 3)
+        t("gold", "dim_warehouse").filter("warehouse_id <> 'WH-2'"), t("gold", "dim_country"),
+        t("gold", "dim_date"), 3)
     with pytest.raises(Exception, match="dim_warehouse has no key for 'WH-2'"):
         rows.collect()
 
 
+@pytest.mark.parametrize("role", ["eta", "order_date", "actual_arrival"])
+def test_missing_date_stops_the_load(spark, done, role):
+    lake, config, _ = done
+    t = lambda layer, n: lake.read(layer, n)
+    source = "purchase_orders" if role == "order_date" else "shipment_records"
+    day = t("silver", source).filter(f"{role} is not null").select(role).first()[0]
+    rows = gold.fact_rows(
+        t("silver", "shipment_records"), t("silver", "purchase_orders"),
+        t("silver", "supplier_master"), t("silver", "medicine_catalogue"),
+        t("gold", "dim_supplier"), t("gold", "dim_medicine"), t("gold", "dim_warehouse"),
+        t("gold", "dim_country"), t("gold", "dim_date").filter(f"full_date <> '{day}'"), 3)
+    with pytest.raises(Exception, match="dim_date has no key"):
+        rows.collect()
+
+
 @pytest.mark.parametrize("year, days", [(2025, 365), (2024, 366)])
 def test_calendar(spark, year, days):
-    rows = {r.date_key: r for r in gold.calendar(spark, year, year).collect()}
+    rows = {r.date_key: r for r in gold.calendar(years(spark, year, year)).collect()}
     assert len(rows) == days and min(rows) == year * 10000 + 101 and max(rows) == year * 10000 + 1231
     assert [rows[year * 10000 + k].quarter for k in (331, 401, 1231)] == [1, 2, 4]
     if year == 2025:
@@ -286,9 +302,12 @@ def test_calendar(spark, year, days):
         assert mon.month_name == "January"
 
 
-def test_calendar_is_bounded(spark):
-    with pytest.raises(ValueError):
-        gold.calendar(spark, 1, 9999)
+def test_calendar_has_no_limit(spark):
+    assert gold.calendar(years(spark, 1000, 2999)).count() == 730_485
+
+
+def years(spark, first, last):
+    return spark.createDataFrame([(first, last)], "first_year int, last_year int")
 
 
 def test_upsert_whitelist(spark):
