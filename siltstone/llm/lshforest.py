@@ -252,8 +252,8 @@ def classify(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents, one of each near-duplicate group: the one with the least doc_id."""
-    columns = docs.columns
     kept = classify(docs, threshold).select(F.col("class_id").alias("_id"), F.col("class_h").alias("_h")).distinct()
-    d = docs.withColumn("_t", F.xxhash64("text"))
-    return d.join(kept, d["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h")), "left_semi").dropDuplicates(
-        ["doc_id", "_t"]).select(*[F.col(f"`{c}`") for c in columns])
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id",
+                    F.xxhash64("text").alias("_t"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h"))
+    return d.join(kept, on, "left_semi").dropDuplicates(["doc_id", "_t"]).select("_row.*")

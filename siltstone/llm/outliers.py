@@ -220,14 +220,14 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    columns = docs.columns
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id"), F.col("text")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "lang", "source",
+                        F.xxhash64("doc_id", "text").alias("_t"))
     verdict = judge(docs.select(F.struct("doc_id", F.xxhash64("doc_id", "text").alias("h")).alias("doc_id"),
                                 "text", "lang", "source"))
     good = verdict.where("kept").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h"),
                                         F.col("lang").alias("_lang"), F.col("source").alias("_source")).distinct()
-    on = (F.col("_row") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("lang").eqNullSafe(
+    on = (F.col("_t") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("lang").eqNullSafe(
         F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    return keyed.join(good, on, "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    return keyed.join(good, on, "left_semi").select("_row.*")
 
 

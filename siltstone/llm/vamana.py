@@ -155,7 +155,7 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     """vec_id and its vector, once each, without vectors that are null, zero or not finite."""
     v = F.col(vector)
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
-    return df.select(F.col(key).cast("long").alias("vec_id"), v.alias("vector")).where(
+    return df.select(F.col(key).cast("long").alias("vec_id"), v.cast("array<double>").alias("vector")).where(
         F.col(key).isNotNull() & v.isNotNull() & good).distinct()
 
 
@@ -174,7 +174,7 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
     lengths = nodes.groupBy(F.size("vector").alias("dim")).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard)).alias("shards"))
     dealt = nodes.withColumn("dim", F.size("vector")).join(lengths, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
-    schema = "dim int, shard long, node int, vec_ids array<long>, vector array<float>, edges array<int>, entry boolean"
+    schema = "dim int, shard long, node int, vec_ids array<long>, vector array<double>, edges array<int>, entry boolean"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("vec_ids", key=lambda s: s.map(lambda x: x[0]), ignore_index=True)
@@ -185,7 +185,7 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
                              "edges": [e[e >= 0].astype(np.int32) for e in graph],
                              "entry": np.isin(np.arange(len(group)), entry)})
 
-    return dealt.select("dim", "shard", "vec_ids", F.col("vector").cast("array<float>").alias("vector")).groupBy(
+    return dealt.select("dim", "shard", "vec_ids", "vector").groupBy(
         "dim", "shard").applyInPandas(run, schema)
 
 
