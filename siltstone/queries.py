@@ -91,12 +91,15 @@ def rows_of_run(w: Workspace) -> DataFrame:
     return landing.rows_of_run(w.lake, list(w.config.sources), LANDING_RUN)
 
 
+AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # when written
+
+
 def _file_source(w: Workspace, name: str, fmt: str, **options: str) -> DataFrame:
     """Write a delivery out as files once, then scan it the way a source is scanned."""
     path = f"{w.lake.root}/files/{name}.{fmt}"
     if w._once(f"files/{name}"):
         rows = testdata.delivery(w.spark, w.sf_dir, name).write.mode("overwrite")
-        rows.csv(path, header=True, escape='"') if fmt == "csv" else rows.json(path)
+        rows.csv(path, header=True, escape='"', **AS_IS) if fmt == "csv" else rows.json(path)
     spec = replace(SOURCES[name], file_format=fmt, path=path, options=options)
     return read_source(w.spark, spec).select(*spec.columns)
 
@@ -118,7 +121,8 @@ def csv_columns_in_any_order(w: Workspace) -> DataFrame:
         rows = testdata.delivery(w.spark, w.sf_dir, "supplier_master")
         odd = F.substring("supplier_id", -1, 1).isin(*"13579")
         for part, cols in ((rows.filter(~odd), columns), (rows.filter(odd), columns[::-1])):
-            part.select(*cols).coalesce(1).write.mode("append").csv(path, header=True, escape='"')
+            part.select(*cols).coalesce(1).write.mode("append").csv(
+                path, header=True, escape='"', **AS_IS)
     spec = replace(SOURCES["supplier_master"], file_format="csv", path=path)
     scanned = read_source(w.spark, spec)
     files = scanned.select(SOURCE_FILE).distinct().withColumn(
@@ -137,8 +141,8 @@ def json_array_source(w: Workspace) -> DataFrame:
         rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
         text = F.to_json(F.collect_list(F.struct(*spec.columns)))
         part = F.pmod(F.xxhash64("medicine_id"), F.lit(8))  # eight arrays
-        rows.groupBy(part.alias("part")).agg(text.alias("value")).select("value").write.mode(
-            "overwrite").option("compression", "none").text(path)
+        rows.groupBy(part.alias("part")).agg(text.alias("value")).write.mode(
+            "overwrite").partitionBy("part").text(path)
     return read_source(w.spark, replace(spec, file_format="json", path=path)).select(*spec.columns)
 
 
@@ -149,7 +153,7 @@ def landed_source_files(w: Workspace) -> DataFrame:
     spec = replace(spec, file_format="csv", path=path, bronze_name="medicine_files")
     if w._once("files/landed"):
         testdata.delivery(w.spark, w.sf_dir, spec.name).repartition(3, "medicine_id").write.mode(
-            "overwrite").csv(path, header=True, escape='"')
+            "overwrite").csv(path, header=True, escape='"', **AS_IS)
         landing.land(w.lake, read_source(w.spark, spec), spec, LANDING_RUN, ingested_at=LANDED_AT)
     rows = w.lake.read("bronze", spec.bronze_table, spec.bronze_schema)
     return rows.agg(F.count(F.lit(1)).alias("row_count"),

@@ -145,7 +145,10 @@ def test_hot_order_is_split_in_the_fact_join(spark, no_broadcast):
     rows = gold.fact_rows(
         shipments, orders, sup, med, sup, med,
         spark.range(3).selectExpr("concat('W', id) warehouse_id", "id warehouse_key"),
-        spark.range(1).selectExpr("'KE' country_name", "id country_key"), 3)
+        spark.range(1).selectExpr("'KE' country_name", "id country_key"),
+        spark.createDataFrame(
+            [("2026-01-01", 1), ("2026-02-01", 2), ("2026-02-09", 3)], "d string, date_key int"
+        ).selectExpr("cast(d as date) full_date", "date_key").hint("broadcast"), 3)
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
