@@ -26,7 +26,7 @@ from siltstone.llm import shingles
 from siltstone.llm.common import batches_by_size, written
 
 #: Tokens of a chunk; n-grams (over all chunks) that meet in one partition of the hash space.
-CHUNK, MEETING = 2_000_000, 2_000_000
+CHUNK, MEETING = 1_000_000, 1_000_000
 #: Documents' crc parts: the test part, and the training part whose counts fit the weights.
 PARTS, TEST, TUNE = 10, 0, 1
 #: Buckets of context frequency; histogram steps per decade; EM rounds.
@@ -103,7 +103,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids, parts = b.column("doc_id").to_pylist(), b.column("part").to_pylist()
             texts = [t or "" for t in b.column("text").to_pylist()]
-            for lo, hi in batches_by_size(texts):
+            for lo, hi in batches_by_size(texts, 1 << 20):
                 h, counts = shingles.words(texts[lo:hi], lower=True)
                 ends = np.cumsum(counts)
                 for k, (a, z) in enumerate(zip((ends - counts).tolist(), ends.tolist(), strict=True)):
