@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm import shingles
+
 #: A word is a run of anything but blank, tab, line feed, VT, FF and CR.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -49,53 +51,109 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
 class ChunkTable:
     """Ids of each distinct chunk, encoded once and looked up by every later occurrence.
 
-    ``encode`` gets a list of distinct chunks and returns their id lists. At most about
-    ``limit`` chunks are kept; a full table starts afresh, which costs time but changes no
-    result.
+    ``cuts`` gives the places in a run of bytes at which a new chunk begins, ``encode`` the
+    ids of distinct chunks, ``whole`` those of whole texts. Chunks are known by two 64-bit
+    hashes: the first finds them, the second must agree, or the texts are encoded whole. At
+    most about ``limit`` chunks are kept; a full table starts afresh, which costs time but
+    changes no result.
     """
 
-    def __init__(self, encode, limit: int = 400_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, cuts, encode, whole, limit: int = 1_500_000):
+        self.cuts, self.encode, self.whole, self.limit = cuts, encode, whole, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.lens = np.zeros(0, np.int64)
 
-    def ids(self, chunked: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def _add(self, key: np.ndarray, check: np.ndarray, chunks: list[str]) -> None:
+        """Encodes new chunks, given in ascending order of their keys."""
+        found = self.encode(chunks)
+        size = np.fromiter(map(len, found), np.int32, len(found))
+        start = (len(self.flat) + np.cumsum(size) - size).astype(np.int32)
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
+        at = np.searchsorted(self.key, key)
+        self.flat = np.concatenate([self.flat, flat])
+        self.key, self.check = np.insert(self.key, at, key), np.insert(self.check, at, check)
+        self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size)
+
+    def ids(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text's ids start (and the end)."""
-        if len(self.index) > self.limit:
+        if len(self.key) > self.limit:
             self._clear()
-        have = self.index
-        new = list(dict.fromkeys(c for chunks in chunked for c in chunks if c not in have))
-        if new:
-            found = self.encode(new)
-            lens = np.fromiter(map(len, found), np.int64, len(new))
-            starts = len(self.flat) + np.cumsum(lens) - lens
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
-            have.update(zip(new, range(len(have), len(have) + len(new)), strict=True))
-            self.flat = np.concatenate([self.flat, flat])
-            self.starts = np.concatenate([self.starts, starts])
-            self.lens = np.concatenate([self.lens, lens])
-        sizes = np.fromiter(map(len, chunked), np.int64, len(chunked))
-        at = np.fromiter((have[c] for chunks in chunked for c in chunks), np.int64, int(sizes.sum()))
-        lens = self.lens[at]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        out = self.flat[np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(total)]
-        return out, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-
-
-def splitter(white: str) -> re.Pattern:
-    """Chunks of white space followed by everything up to the next white space."""
-    w = re.escape(white)
-    return re.compile(f"[{w}]*[^{w}]+|[{w}]+")
-
-
-def batches_by_size(texts: list[str], limit: int = 1 << 22):
-    """Consecutive index ranges of at least one text and about ``limit`` characters."""
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(sizes)
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, np.uint8)
+        first = np.zeros(len(data) + 1, bool)
+        first[(ends - sizes)[sizes > 0]] = True
+        first[self.cuts(data)] = True
+        begin = np.flatnonzero(first[:-1])
+        end = np.append(begin[1:], len(data))[:len(begin)]
+        check = shingles.spans(data, begin, end, second=True)
+        key, at, inverse = np.unique(shingles.spans(data, begin, end), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.key, key)
+        known = place < len(self.key)
+        known[known] = self.key[place[known]] == key[known]
+        new = at[~known]
+        if len(new):
+            self._add(key[~known], check[new], [joined[a:b].decode() for a, b in zip(begin[new], end[new], strict=True)])
+            place = np.searchsorted(self.key, key)
+        if not (self.check[place] == check[at]).all() or not (check[at][inverse] == check).all():
+            found = self.whole([r.decode() for r in raw])  # two chunks of one hash
+            lens = [len(x) for x in found]
+            return np.fromiter(chain.from_iterable(found), np.uint32, sum(lens)), np.cumsum([0, *lens])
+        place = place[inverse]
+        size = self.size[place].astype(np.int64)
+        total = np.cumsum(size)
+        n = int(total[-1]) if len(total) else 0
+        out = self.flat[np.repeat(self.start[place] - (total - size), size) + np.arange(n)]
+        texts = np.searchsorted(begin, np.append(ends - sizes, len(data)))
+        return out, np.concatenate([[0], total])[texts]
+
+
+#: UTF-8 of the white space beyond ASCII, the last byte as a range.
+_WIDE_WHITE = ((b"\xc2", 0x85, 0x85), (b"\xc2", 0xA0, 0xA0), (b"\xe1\x9a", 0x80, 0x80), (b"\xe2\x80", 0x80, 0x8A),
+               (b"\xe2\x80", 0xA8, 0xA9), (b"\xe2\x80", 0xAF, 0xAF), (b"\xe2\x81", 0x9F, 0x9F), (b"\xe3\x80", 0x80, 0x80))
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def before_white(data: np.ndarray) -> np.ndarray:
+    """Where ASCII white space follows a character that is no white space of any kind."""
+    white = _WHITE[data]
+    at = np.flatnonzero(white[1:] & ~white[:-1]) + 1
+    if not _LEADS[data].any():
+        return at
+    inner = np.zeros(len(at), bool)
+    for lead, low, high in _WIDE_WHITE:
+        hit = (at > len(lead)) & (data[at - 1] >= low) & (data[at - 1] <= high)
+        for k, byte in enumerate(reversed(lead)):
+            hit[hit] = data[at[hit] - 2 - k] == byte
+        inner |= hit
+    return at[~inner]
+
+
+def before_marker(data: np.ndarray) -> np.ndarray:
+    """Where a run of blanks and markers (U+2581) begins."""
+    opens, closes = data == 0x20, data == 0x20
+    lead = np.flatnonzero(data[:-2] == 0xE2)
+    lead = lead[(data[lead + 1] == 0x96) & (data[lead + 2] == 0x81)]
+    opens[lead] = True
+    closes[lead + 2] = True
+    return np.flatnonzero(opens[1:] & ~closes[:-1]) + 1
+
+
+def utf8(column) -> list[bytes]:
+    """A string column's values as UTF-8, NULL as empty."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def batches_by_size(texts: list, limit: int = 1 << 22):
+    """Consecutive index ranges of at least one text and about ``limit`` length."""
     start = size = 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:

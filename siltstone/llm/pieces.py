@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.common import ChunkTable, batches_by_size, splitter
+from siltstone.llm.common import ChunkTable, batches_by_size, before_marker, utf8
 
 MARKER = "▁"
 
@@ -26,7 +26,8 @@ def _model(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    table = ChunkTable(lambda chunks: _segment(model, chunks))
+    table = ChunkTable(before_marker, lambda chunks: _segment(model, chunks),
+                       lambda texts: model.encode([t[1:] for t in texts], num_threads=1))
     return model, table if _separable(model) else None
 
 
@@ -52,16 +53,12 @@ def _segment(model, chunks: list[str]) -> list[list[int]]:
     return [x if len(c) > 1 else [model.piece_to_id(MARKER)] for c, x in zip(chunks, ids, strict=True)]
 
 
-#: Blank and the marker itself are the same symbol to the model.
-_split = splitter(" " + MARKER).findall
-
-
-def encode_texts(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text without begin and end ids."""
+def encode_texts(path: str, texts: list[bytes]) -> list[np.ndarray]:
+    """Ids of each text (UTF-8) without begin and end ids."""
     model, table = _model(path)
     if table is None:
-        return [np.array(x, np.uint32) for x in model.encode(texts, num_threads=1)]
-    flat, at = table.ids([_split(" " + t) if t else [] for t in texts])
+        return [np.array(x, np.uint32) for x in model.encode([t.decode() for t in texts], num_threads=1)]
+    flat, at = table.ids([b" " + t if t else b"" for t in texts])
     return [flat[at[k]:at[k + 1]] for k in range(len(texts))]
 
 
@@ -84,8 +81,8 @@ def encode(docs: DataFrame, model_path: str, bos: int = 1, eos: int = 2, keep: l
     def run(batches):
         model, _ = _model(model_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for a, b in batches_by_size(texts):
+            texts = utf8(batch.column(batch.num_columns - 1))
+            for a, b in batches_by_size(texts, 1 << 21):
                 n, first, second = [], [], []
                 for ids in encode_texts(model_path, texts[a:b]):
                     full = np.concatenate([[bos], ids, [eos]]).astype("<u4")

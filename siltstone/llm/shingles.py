@@ -8,7 +8,7 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_BYTE = np.random.default_rng(20_240_901).integers(1, 1 << 63, 256).astype(np.uint64)
+_BYTE, _BYTE_2 = np.random.default_rng(20_240_901).integers(1, 1 << 63, (2, 256)).astype(np.uint64)
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 9, 10, 11, 12, 13]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -32,6 +32,17 @@ def _grow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
+    """Hash of data[begin:end] (bytes) for every pair; ``second``: another, independent one."""
+    up, down = _grow(len(data) + 1)
+    value = (_BYTE_2 if second else _BYTE)[data]
+    value *= up[:-1]
+    total = np.empty(len(data) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(value, out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
 def words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every text, in order, and how many words each text has.
 
@@ -45,9 +56,7 @@ def words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray
     begin, end = edge[::2], edge[1::2]
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + 32, data)
-    up, down = _grow(len(data) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:-1], dtype=np.uint64)])
-    h = mix((total[end] - total[begin]) * down[begin])
+    h = spans(data, begin, end)
     first = 1 + np.cumsum(sizes + 1) - (sizes + 1)
     at = np.searchsorted(begin, np.append(first, len(data)))
     return h, np.diff(at)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import WHITE_SPACE, ChunkTable, batches_by_size, splitter, written
+from siltstone.llm.common import ChunkTable, batches_by_size, before_white, utf8, written
 
 #: Ids of a block; ids after which a segment is closed (a document stays in one segment).
 BLOCK, SEGMENT = 1024, 1 << 20
@@ -33,38 +33,55 @@ SEGMENTS = ("part int, seq int, n_ids long, doc_ids array<long>, doc_tokens arra
             "words binary, offsets array<int>, escapes binary")
 
 
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """The densest selector at each place of each block (a row), 0 where none fits.
+
+    The widest of the next k ids, for every k that a selector packs, is a running maximum;
+    whoever packs more ids also needs smaller ones, so the selectors that fit are counted.
+    """
+    fits = np.zeros(bits.shape, np.uint8)
+    widest = {1: bits}
+
+    def ahead(a: np.ndarray, by: int) -> np.ndarray:
+        return np.pad(a[:, by:], ((0, 0), (0, min(by, a.shape[1]))))
+
+    for s in range(15, 0, -1):
+        k = int(COUNTS[s])
+        if k not in widest:
+            if k <= 15:
+                for j in range(max(x for x in widest if x < k) + 1, k + 1):
+                    widest[j] = np.maximum(widest[j - 1], ahead(bits, j - 1))
+            else:
+                widest[k] = np.maximum(widest[k // 2], ahead(widest[k // 2], k // 2))
+        now = widest[k] <= WIDTHS[s]
+        fits += now
+        if not now.any():
+            break
+    return np.where(fits > 0, 16 - fits.astype(np.int8), 0).astype(np.int8)
+
+
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, word offset of each block, and escaped ids of unsigned 64-bit ids.
 
-    Greedy: at each id the selector that packs most. The selectors that fit are nested, so
-    each is tried only where the one before it fits; a block's last word may be padded.
+    Greedy: at each id the selector that packs most; a block's last word may be padded.
     """
     ids = np.asarray(ids, np.uint64)
     n = len(ids)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint64)
-    places = np.arange(n, dtype=np.int32)
-    ends = np.minimum((places // block + 1) * block, n).astype(np.int32)
-    bits = np.frexp(ids.astype(np.float64))[1].astype(np.int8)  # at least the width of the id
-    best = np.zeros(n, np.int8)
-    at = None  # where the last selector fitted; None: everywhere
-    for s in range(15, 0, -1):
-        wide = bits > WIDTHS[s]
-        if at is None and not wide.any():
-            best[:] = s
-            continue
-        at = places if at is None else at
-        so_far = np.concatenate([[0], np.cumsum(wide, dtype=np.int32)])
-        at = at[so_far[np.minimum(at + COUNTS[s], ends[at])] == so_far[at]]
-        if not len(at):
-            break
-        best[at] = s
-    step = np.minimum(places + COUNTS[best], ends).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = step[i]
-    starts = np.array(starts)
+    blocks = -(-n // block)
+    bits = np.zeros(blocks * block, np.uint8)
+    bits[:n] = np.frexp(ids.astype(np.float64))[1]  # at least the width of the id
+    best = _selectors(bits.reshape(blocks, block)).reshape(-1)
+    step = COUNTS[best]
+    at, ends = np.arange(0, n, block), np.minimum(np.arange(1, blocks + 1) * block, n)
+    walk = []
+    while (at < ends).any():  # all blocks together, a word at a time
+        walk.append(np.where(at < ends, at, -1))
+        at = at + step[np.minimum(at, n - 1)]
+    walk = np.array(walk).T
+    starts = walk[walk >= 0]
+    ends = ends.repeat((walk >= 0).sum(1))
     sel = best[starts]
     out = sel.astype(np.uint64) << np.uint64(60)
     escaped = starts[sel == 0]
@@ -76,7 +93,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, n
         mine = np.flatnonzero(sel == s)
         first = starts[mine]
         value = np.zeros(len(mine), np.uint64)
-        left = ends[first] - first
+        left = ends[mine] - first
         for j in range(COUNTS[s]):
             v = padded[first + j] << np.uint64(j * WIDTHS[s])
             value |= v if (left > j).all() else np.where(left > j, v, np.uint64(0))
@@ -122,7 +139,7 @@ def _table(path: str) -> ChunkTable:
             out += [e.ids for e in tokenizer.encode_batch_fast(chunks[a:b], add_special_tokens=False)]
         return out
 
-    return ChunkTable(encode)
+    return ChunkTable(before_white, encode, encode)
 
 
 def _segment(part: int, seq: int, doc_ids: list, ids: list[np.ndarray]) -> dict:
@@ -147,12 +164,12 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
                        ("words", pa.binary()), ("offsets", pa.list_(pa.int32())), ("escapes", pa.binary())])
 
     def run(batches):
-        table, split, part, seq = _table(tokenizer_path), splitter(WHITE_SPACE).findall, TaskContext.get().partitionId(), 0
+        table, part, seq = _table(tokenizer_path), TaskContext.get().partitionId(), 0
         doc_ids, ids, size = [], [], 0
         for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in batches_by_size(texts):
-                flat, at = table.ids([split(t) for t in texts[a:b]])
+            keys, texts = batch.column("doc_id").to_pylist(), utf8(batch.column("text"))
+            for a, b in batches_by_size(texts, 1 << 21):
+                flat, at = table.ids(texts[a:b])
                 for k in range(b - a):
                     doc_ids.append(keys[a + k])
                     ids.append(np.append(flat[at[k]:at[k + 1]], np.uint32(end_id)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -14,8 +15,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from siltstone.llm import pieces, resync, simple8b
-from siltstone.llm.common import WHITE_SPACE, ChunkTable, splitter, written
+from siltstone.llm import pieces, resync, shingles, simple8b
+from siltstone.llm.common import WHITE_SPACE, ChunkTable, before_marker, before_white, written
 
 from .conftest import TEXTS, by_id
 
@@ -41,8 +42,7 @@ def odd_texts(n: int) -> list[str]:
 
 def test_bytes_by_chunk_equal_the_library(bpe):
     texts = odd_texts(800)
-    split = splitter(WHITE_SPACE).findall
-    flat, at = simple8b._table(BPE).ids([split(t) for t in texts])
+    flat, at = simple8b._table(BPE).ids([t.encode() for t in texts])
     for k, e in enumerate(bpe.encode_batch(texts, add_special_tokens=False)):
         assert flat[at[k]:at[k + 1]].tolist() == e.ids, repr(texts[k])
 
@@ -50,15 +50,33 @@ def test_bytes_by_chunk_equal_the_library(bpe):
 def test_pieces_by_chunk_equal_the_library(model):
     texts = odd_texts(800)
     assert pieces._model(MODEL)[1] is not None  # the model's pieces stay within words
-    for t, ids in zip(texts, pieces.encode_texts(MODEL, texts), strict=True):
+    for t, ids in zip(texts, pieces.encode_texts(MODEL, [t.encode() for t in texts]), strict=True):
         assert ids.tolist() == model.encode(t), repr(t)
 
 
 def test_chunk_table_starts_afresh_when_full():
-    table = ChunkTable(lambda chunks: [[len(c)] for c in chunks], limit=3)
-    for texts in ([["a", "bb"], ["ccc"]], [["dddd", "a"]], [["e" * 9], []], [[]]):
+    table = ChunkTable(before_white, lambda chunks: [[len(c)] for c in chunks], None, limit=3)
+    for texts in ([b"a bb", b"ccc"], [b"dddd a"], [b"e" * 9, b""], [b""], [b" x  y", b"", b"z"]):
         flat, at = table.ids(texts)
-        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [[len(c) for c in t] for t in texts]
+        want = [[len(c) for c in re.findall(rb" *[^ ]+", t)] for t in texts]
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
+def test_chunks_of_one_hash_are_encoded_whole(monkeypatch):
+    monkeypatch.setattr(shingles, "spans", lambda data, begin, end, second=False: (
+        end - begin if second else begin * 0).astype(np.uint64))
+    table = ChunkTable(before_white, lambda chunks: [[7]] * len(chunks), lambda texts: [[len(t)] for t in texts])
+    flat, at = table.ids([b"a bcd", b"ef"])
+    assert flat.tolist() == [5, 2] and at.tolist() == [0, 1, 2]
+
+
+def test_white_space_beyond_ascii_is_not_cut():
+    wide = "\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    assert set(wide) <= set(WHITE_SPACE)
+    for c in wide:
+        assert before_white(np.frombuffer(f"é b{c} d".encode(), np.uint8)).tolist() == [2]
+    assert before_white(np.frombuffer("東 é\tß".encode(), np.uint8)).tolist() == [3, 6]
+    assert before_marker(np.frombuffer("a▁ b ▁c ▂▁".encode(), np.uint8)).tolist() == [1, 6, 11, 15]
 
 
 @settings(max_examples=60, deadline=None)
