@@ -101,16 +101,18 @@ def plain_statistics(text):
             n < 50 or 100 * len(covered) > 50 * n)
 
 
-def test_text_statistics(spark, awkward, nothing):
+def test_text_statistics(spark, awkward, nothing, monkeypatch):
+    monkeypatch.setattr(outliers, "STEPS", 1)
     extra = ["a a a a", "a b c a b c", "x y z w x y z", "aa " * 70_000, "# $ % <b>|</b> & *"]
-    for docs in (awkward, documents(spark, extra)):
-        got = by_id(outliers.judge(docs))
-        for r in docs.collect():
-            for g in got[r.doc_id]:
-                assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words,
-                        g.base_failed) == plain_statistics(r.text), repr((r.text or "")[:60])
-                assert not (g.base_failed and g.kept)
-        assert sum(map(len, got.values())) == docs.count()
+    more = documents(spark, extra)
+    docs = awkward.unionByName(more.withColumn("doc_id", more.doc_id + 10_000))
+    got = by_id(outliers.judge(docs))
+    for r in docs.collect():
+        for g in got[r.doc_id]:
+            assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words,
+                    g.base_failed) == plain_statistics(r.text), repr((r.text or "")[:60])
+            assert not (g.base_failed and g.kept)
+    assert sum(map(len, got.values())) == docs.count()
     assert outliers.judge(nothing).count() == 0
 
 
@@ -436,7 +438,7 @@ def test_schedule_orders_sources_over_time(spark):
     docs = spark.createDataFrame([(i, t, "abc"[i % 3]) for i, t in enumerate(texts)], "doc_id long, text string, source string")
     rows = curriculum.schedule(curriculum.plan(docs)).collect()
     mean = {s: np.mean([r.position for r in rows if r.source == s]) for s in "abc"}
-    assert mean["a"] < 0.4 < mean["b"] < 0.6 < mean["c"]  # falling, level, rising weight
+    assert mean["a"] < 0.45 < mean["b"] < 0.55 < mean["c"]  # falling, level, rising weight
     assert all(0 <= r.position <= 1 for r in rows)
 
 
