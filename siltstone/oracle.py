@@ -544,8 +544,21 @@ def oracle_sql() -> dict[str, str]:
     q["check_failures"] = (
         "SELECT upper(check_category) AS category, check_id, severity, description, details "
         f"FROM ({_LATE}) WHERE status = 'FAIL'")
-    q["check_trend"] = ("SELECT '1998-01-01' AS checked_on, status, count(*) AS check_count "
-                        f"FROM ({_SUITE}) WHERE check_id = 'FRESH-01' GROUP BY 2")
+    q["check_trend"] = " UNION ALL ".join(
+        f"SELECT '{day}' AS checked_on, status, count(*) AS check_count "
+        f"FROM ({suite}) WHERE check_id = 'FRESH-01' GROUP BY 2"
+        for day, suite in (("1998-01-01", _SUITE), ("1998-01-03", _LATE)))
+    q["quality_report_lines"] = f"""
+        SELECT unnest([
+            'Total checks: ' || total || '   Passed: ' || passed || '   Failed: ' || failed,
+            'Critical failures: ' || critical || '   Warnings: ' || warning,
+            'All quality checks passed. No issues detected.']) AS line
+        FROM ({_SUMMARY} FROM ({_SUITE}))"""
+    q["whole_run_from_files"] = f"""
+        SELECT o.*, (SELECT CASE o.source {' '.join(
+            f"WHEN '{n}' THEN (SELECT count(*) FROM b_{n})" for n in NAMES)} END) AS rows_loaded,
+               CASE WHEN source = 'shipment_records' THEN (SELECT count(*) FROM f) END AS gold_rows
+        FROM ({q["silver_outcomes"]}) o"""
     for kind in ("null", "check", "unique", "fk"):
         q[f"constraints_{kind}"] = _constraints(kind)
     q["constraints_on_raw_orders"] = f"""

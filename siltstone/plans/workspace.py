@@ -31,6 +31,7 @@ class Workspace:
         app = spark.sparkContext.applicationId
         self.lake = Lake(spark, f"{work_root(spark)}/siltstone-{app}/{tag}-{variant}")
         self._done: set[str] = set()
+        self.last_run = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, variant: str = "main") -> Workspace:

@@ -17,9 +17,11 @@ from siltstone.operators.dedup import absent_values, duplicate_keys
 from siltstone.operators.membership import orphan_rows
 from siltstone.operators.upsert import upsert
 from siltstone.plans import gold, quality, silver, views
+from siltstone.plans.pipeline import run_pipeline
 from siltstone.plans.workspace import (
     LANDED_AT,
     LANDING_RUN,
+    QUALITY_RUN,
     SECOND,
     SILVER_RUN,
     Workspace,
@@ -440,6 +442,27 @@ def _unordered(w: Workspace) -> DataFrame:
 _variant("silver_outcomes_any_order", _unordered, "unordered")
 
 
+def _whole_run(w: Workspace) -> DataFrame:
+    """The whole chain from delivered files: landing, Silver, Gold and checks in one call."""
+    if w._once("whole run"):
+        sources = []
+        for n in NAMES:
+            path = f"{w.lake.root}/files/{n}.csv"
+            testdata.delivery(w.spark, w.sf_dir, n).write.csv(path, header=True, escape='"', **AS_IS)
+            sources.append(replace(w.spec(n), file_format="csv", path=path))
+        run = run_pipeline(w.lake, replace(w.config, sources=tuple(sources)), LANDED_AT)
+        w.last_run = run
+    run = w.last_run
+    loaded = run.landed.select("source", "rows_loaded")
+    gold_rows = w.spark.createDataFrame(
+        [("shipment_records", run.gold["fact_shipment"])], "source string, gold_rows long")
+    return silver.outcomes(w.lake, run.silver_run_id).join(loaded, "source").join(
+        gold_rows, "source", "left")
+
+
+_variant("whole_run_from_files", _whole_run, "files")
+
+
 query("supplier_table")(lambda w: views.supplier_table(vw_supplier_performance(w)))
 query("kpi_totals")(lambda w: views.kpi_totals(w.gold("fact_shipment")))
 query("delayed_by_country")(
@@ -557,9 +580,20 @@ query("check_summary_late")(lambda w: quality.summary(_late_checks(w)))
 
 @query("check_trend")
 def check_trend(w: Workspace) -> DataFrame:
+    """Outcomes on two days: the stored run, and the suite asked again two days later."""
+    w.checks()
+    results = w.lake.read("quality", "check_results").drop("check_result_id", "run_id")
+    return quality.trend(results.unionByName(_late_checks(w)), "FRESH-01",
+                         F.lit("1998-01-05").cast("date"))
+
+
+@query("quality_report_lines")
+def quality_report_lines(w: Workspace) -> DataFrame:
+    """The lines of the text report that do not name the run."""
     w.checks()
-    results = w.lake.read("quality", "check_results")
-    return quality.trend(results, "FRESH-01", F.lit("1998-01-05").cast("date"))
+    lines = quality.report(w.lake, QUALITY_RUN).split("\n")
+    return w.spark.createDataFrame(
+        [(t.strip(),) for t in lines if "checks" in t or "failures" in t], "line string")
 
 
 for _kind in ("null", "check", "unique", "fk"):
