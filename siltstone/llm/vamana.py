@@ -174,6 +174,8 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
     lengths = nodes.groupBy(F.size("vector").alias("dim")).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard)).alias("shards"))
     dealt = nodes.withColumn("dim", F.size("vector")).join(lengths, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
+    # A shard is little data but much work: a partition each, which must not be merged by size.
+    parts = 2 * max(1, -(-nodes.count() // shard))
     schema = "dim int, shard long, node int, vec_ids array<long>, vector array<double>, edges array<int>, entry boolean"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +187,7 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
                              "edges": [e[e >= 0].astype(np.int32) for e in graph],
                              "entry": np.isin(np.arange(len(group)), entry)})
 
-    return dealt.select("dim", "shard", "vec_ids", "vector").groupBy(
+    return dealt.select("dim", "shard", "vec_ids", "vector").repartition(parts, "dim", "shard").groupBy(
         "dim", "shard").applyInPandas(run, schema)
 
 
