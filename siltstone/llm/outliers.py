@@ -8,6 +8,8 @@ Mahalanobis distance are rejected.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,27 +89,28 @@ def _forward(x: list[Column], low: dict[tuple[int, int], Column]) -> Column:
     return sum((v * v for v in z[1:]), z[0] * z[0])
 
 
-def _shape(d: DataFrame, s: int) -> DataFrame:
-    """Adds the Cholesky factor ``l{s}_ij`` of the ridged covariance, from the moments of start s."""
-    n = F.col(f"n{s}")
-    mean = {i: F.col(f"s{s}_{i}") / n for i in range(P)}
-    d = d.withColumns({f"m{s}_{i}": F.coalesce(mean[i], F.lit(0.0)) for i in range(P)})
+def _shape(d: DataFrame, starts) -> DataFrame:
+    """Adds the mean, the Cholesky factor ``l{s}_ij`` of the ridged covariance and its
+    determinant, from the moments of each start s; all starts in the same few projections."""
     floor = [v * v for v in STATS.values()]
-    cov = {f"c{s}_{i}{j}": F.coalesce(F.col(f"q{s}_{i}{j}") / n - F.col(f"m{s}_{i}") * F.col(f"m{s}_{j}"), F.lit(0.0))
-           * F.coalesce(F.col(f"k{s}"), F.lit(1.0)) + (F.lit(floor[i]) if i == j else F.lit(0.0))
-           for i in range(P) for j in range(i + 1)}
-    d = d.withColumns(cov)
-    for i in range(P):
-        for j in range(i + 1):
-            v = F.col(f"c{s}_{i}{j}")
-            for k in range(j):
-                v = v - F.col(f"l{s}_{i}{k}") * F.col(f"l{s}_{j}{k}")
-            v = F.sqrt(F.greatest(v, F.lit(floor[i] * 1e-3))) if i == j else v / F.col(f"l{s}_{j}{j}")
-            d = d.withColumn(f"l{s}_{i}{j}", v)
-    det = F.col(f"l{s}_00")
-    for i in range(1, P):
-        det = det * F.col(f"l{s}_{i}{i}")
-    return d.withColumn(f"det{s}", det)
+    lower = [(i, j) for i in range(P) for j in range(i + 1)]
+    d = d.withColumns({f"m{s}_{i}": F.coalesce(F.col(f"s{s}_{i}") / F.col(f"n{s}"), F.lit(0.0))
+                       for s in starts for i in range(P)})
+    d = d.withColumns({f"c{s}_{i}{j}": F.coalesce(
+        F.col(f"q{s}_{i}{j}") / F.col(f"n{s}") - F.col(f"m{s}_{i}") * F.col(f"m{s}_{j}"), F.lit(0.0))
+        + F.lit(floor[i] if i == j else 0.0) for s in starts for i, j in lower})
+
+    def rest(s: int, i: int, j: int) -> Column:
+        v = F.col(f"c{s}_{i}{j}")
+        for k in range(j):
+            v = v - F.col(f"l{s}_{i}{k}") * F.col(f"l{s}_{j}{k}")
+        return v
+
+    for j in range(P):  # column by column: first its diagonal, then what stands below
+        d = d.withColumns({f"l{s}_{j}{j}": F.sqrt(F.greatest(rest(s, j, j), F.lit(floor[j] * 1e-3))) for s in starts})
+        if j < P - 1:
+            d = d.withColumns({f"l{s}_{i}{j}": rest(s, i, j) / F.col(f"l{s}_{j}{j}") for s in starts for i in range(j + 1, P)})
+    return d.withColumns({f"det{s}": reduce(Column.__mul__, [F.col(f"l{s}_{i}{i}") for i in range(P)]) for s in starts})
 
 
 def _keep(s: int) -> list[str]:
@@ -169,13 +172,13 @@ def estimates(x: DataFrame) -> DataFrame:
     starts = range(3)
     first = x.groupBy("g").agg(*[level(F.col(f"x{i}"), 0.5).alias(f"med{i}") for i in range(P)],
                                *[c for c in _moments(F.lit(True), 1)])
+    spread = [v * v for v in STATS.values()]
+    made = {f"n{s}": F.lit(1.0) for s in (0, 2)}
     for s in (0, 2):
-        first = first.withColumn(f"n{s}", F.lit(1.0)).withColumns(
-            {f"s{s}_{i}": F.col(f"med{i}") for i in range(P)}).withColumns(
-            {f"q{s}_{i}{j}": F.col(f"med{i}") * F.col(f"med{j}") + (F.lit(0.0 if s else STATS_SQ[i]) if i == j else F.lit(0.0))
-             for i in range(P) for j in range(i + 1)})
-    for s in starts:
-        first = _shape(first.withColumn(f"k{s}", F.lit(1.0)), s)
+        made |= {f"s{s}_{i}": F.col(f"med{i}") for i in range(P)}
+        made |= {f"q{s}_{i}{j}": F.col(f"med{i}") * F.col(f"med{j}") + F.lit(spread[i] if i == j and s == 0 else 0.0)
+                 for i in range(P) for j in range(i + 1)}
+    first = _shape(first.withColumns(made), starts)
     params = written(first.select("g", *[c for s in starts for c in _keep(s)]).coalesce(1))
     for step in range(STEPS):
         d = _joined(x, params).withColumns({f"d{s}": _distance(s) for s in starts})
@@ -183,8 +186,7 @@ def estimates(x: DataFrame) -> DataFrame:
         cut = d.groupBy("g").agg(*[level(F.col(f"d{s}"), share(s)).alias(f"t{s}") for s in starts])
         d = _joined(d.select("g", "salt", *[f"x{i}" for i in range(P)], *[f"d{s}" for s in starts]), cut)
         new = d.groupBy("g").agg(*[c for s in starts for c in _moments(F.col(f"d{s}") <= F.col(f"t{s}"), s)])
-        for s in starts:
-            new = _shape(new.withColumn(f"k{s}", F.lit(1.0)), s)
+        new = _shape(new, starts)
         params = written(new.select("g", *[c for s in starts for c in _keep(s)]).coalesce(1))
     best = F.least(*[F.col(f"det{s}") for s in starts])
     pick = lambda c: F.coalesce(*[F.when(F.col(f"det{s}") == best, F.col(c.replace("0", str(s), 1))) for s in starts])
@@ -193,11 +195,8 @@ def estimates(x: DataFrame) -> DataFrame:
     d = _joined(x, chosen).withColumn("d0", _distance(0))
     scale = d.groupBy("g").agg((level(F.col("d0"), 0.5) / F.lit(CHI_MEDIAN)).alias("k"))
     d = _joined(d, scale).withColumn("inside", F.col("d0") <= F.lit(CHI_975) * F.greatest(F.col("k"), F.lit(1.0)))
-    final = d.groupBy("g").agg(*_moments(F.col("inside"), 0)).withColumn("k0", F.lit(1.0))
-    return written(_shape(final, 0).select("g", *_keep(0)).coalesce(1))
-
-
-STATS_SQ = [v * v for v in STATS.values()]
+    final = d.groupBy("g").agg(*_moments(F.col("inside"), 0))
+    return written(_shape(final, [0]).select("g", *_keep(0)).coalesce(1))
 
 
 def judge(docs: DataFrame) -> DataFrame:
