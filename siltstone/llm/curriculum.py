@@ -120,10 +120,15 @@ def schedule(planned: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
-    """The documents in training order: a row per copy taken, range-sorted by position."""
-    columns = docs.columns
-    # Carried under names of their own, so extra columns may clash with the plan's.
-    carried = docs.select(F.col("doc_id"), F.col("source"), F.col("text"),
-                          F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
-    copies = schedule(plan(carried, max_repeat, seed, carry=["_row"]))
-    return copies.orderBy("position", "doc_id", "copy").select("_row.*")
+    """The documents in training order: a row per copy taken, range-sorted by position.
+
+    The plan is made without the texts; they meet their copies in one join on a 128-bit key of
+    doc_id, source and text, and move once more in the sort. Rows that agree in all three are
+    interchangeable: the copies show one of them.
+    """
+    key = lambda n: F.xxhash64(F.lit(n), "doc_id", F.lit("|"), "source", F.lit("|"), "text")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text",
+                        key(1).alias("k1"), key(2).alias("k2"))
+    copies = schedule(plan(keyed, max_repeat, seed, carry=["k1", "k2"])).select("k1", "k2", "position", "copy", "before")
+    rows = keyed.select("_row", "k1", "k2").dropDuplicates(["k1", "k2"])
+    return rows.join(copies, ["k1", "k2"]).orderBy("position", "k1", "k2", "copy", "before").select("_row.*")
