@@ -119,6 +119,48 @@ def schedule(planned: DataFrame) -> DataFrame:
     return copy.withColumn("position", position(share, F.col("slope")))
 
 
+#: The training order of copies; k1 and k2 are two hashes of a row's doc_id, source and text.
+ORDER = ("position", "k1", "k2", "copy", "before")
+
+
+def _keys() -> list[Column]:
+    return [F.xxhash64(F.lit(n), "doc_id", F.lit("|"), "source", F.lit("|"), "text").alias(f"k{n}") for n in (1, 2)]
+
+
+def deal(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
+    """What training sees of each document: one row per input row, from the copies in training order.
+
+    ``doc_id, size, source_size, target, taken, copies, source``, then ``first_position``,
+    ``positions`` and ``places``. Every copy gets its position; the copies are range-sorted as
+    in ``mix`` and numbered from 1 in that order (its ``place``), by their number in their
+    range and the rows of earlier ranges. ``taken`` and ``copies`` are counted from the sorted
+    copies. A document left out has 0, 0, NULL and empty lists.
+
+    The words ahead tell the taken rows of a source apart (each has a word or more), also
+    rows that are equal.
+    """
+    planned = written(plan(docs.select("doc_id", "source", "text", *_keys()), max_repeat, seed, carry=["k1", "k2"]))
+    row = ["doc_id", "size", "source_size", "target", "source", "before"]
+    placed = written(schedule(planned).orderBy(*ORDER).select(
+        *row, "copy", "position", F.monotonically_increasing_id().alias("id")))
+    part, inside = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    copies = placed.withColumn("part", part).join(F.broadcast(ranges), "part").withColumn(
+        "place", F.col("ahead") + inside + 1)
+    seen = F.sort_array(F.collect_list(F.struct("copy", "position", "place")))
+    dealt = copies.groupBy(*row).agg(
+        F.sum("size").alias("taken"), F.count(F.lit(1)).alias("copies"), F.min("position").alias("first_position"),
+        seen["position"].alias("positions"), seen["place"].alias("places"))
+    left_out = planned.where("copies = 0").select(
+        *row, F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("copies"),
+        F.lit(None).cast("double").alias("first_position"), F.array().cast("array<double>").alias("positions"),
+        F.array().cast("array<long>").alias("places"))
+    return dealt.unionByName(left_out).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "source", "first_position", "positions", "places")
+
+
 def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
     """The documents in training order: a row per copy taken, range-sorted by position.
 
@@ -126,9 +168,7 @@ def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
     doc_id, source and text, and move once more in the sort. Rows that agree in all three are
     interchangeable: the copies show one of them.
     """
-    key = lambda n: F.xxhash64(F.lit(n), "doc_id", F.lit("|"), "source", F.lit("|"), "text")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text",
-                        key(1).alias("k1"), key(2).alias("k2"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text", *_keys())
     copies = schedule(plan(keyed, max_repeat, seed, carry=["k1", "k2"])).select("k1", "k2", "position", "copy", "before")
     rows = keyed.select("_row", "k1", "k2").dropDuplicates(["k1", "k2"])
-    return rows.join(copies, ["k1", "k2"]).orderBy("position", "k1", "k2", "copy", "before").select("_row.*")
+    return rows.join(copies, ["k1", "k2"]).orderBy(*ORDER).select("_row.*")

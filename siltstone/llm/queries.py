@@ -48,8 +48,7 @@ def op9_resynchronised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = curriculum.plan(read(spark, sf_dir, "documents"))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return curriculum.deal(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

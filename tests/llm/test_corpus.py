@@ -12,7 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from siltstone.llm import curriculum, interpolation, lshforest, outliers, pii, pulearn, shingles, vamana
+from siltstone.llm import curriculum, interpolation, lshforest, outliers, pii, pulearn, queries, shingles, vamana
 
 from .conftest import LONG, TEXTS, by_id, documents
 
@@ -433,6 +433,32 @@ def test_mix(spark, nothing, monkeypatch):
     assert curriculum.plan(nothing).count() == 0 and curriculum.mix(nothing).count() == 0
 
 
+def test_query_deals_every_copy_a_place(spark, tmp_path, nothing):
+    rng = random.Random(21)
+    rows = [(i, [None, ""][i % 2] if i < 4 else prose(rng, rng.randint(1, 60)), rng.choice(["a", "b", None, "tiny"] if i < 12 else "abc"))
+            for i in range(300)]
+    rows += rows[:40]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op10_curriculum_mix(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in rows)
+    plan = curriculum.plan(docs)
+    columns = ["doc_id", "size", "source_size", "target", "taken", "copies", "source"]
+    assert Counter(tuple(r[c] for c in columns) for r in got) == Counter(tuple(r[c] for c in columns) for r in plan.collect())
+    # Brute force: the schedule's positions, in order, are those of the places 1, 2, 3, ...
+    want = sorted((r.position, r.doc_id) for r in curriculum.schedule(plan).collect())
+    placed = sorted((place, p, r.doc_id) for r in got for place, p in zip(r.places, r.positions, strict=True))
+    assert [place for place, _, _ in placed] == list(range(1, len(want) + 1))
+    assert [p for _, p, _ in placed] == [p for p, _ in want] and Counter((p, i) for _, p, i in placed) == Counter(want)
+    for r in got:
+        assert len(r.positions) == r.copies and r.taken == r.copies * r.size and r.positions == sorted(r.positions)
+        assert r.first_position == (r.positions[0] if r.copies else None)
+    assert any(r.copies == 0 and r.size > 0 for r in got) and any(r.copies > 1 for r in got)
+    # The pipeline's mixing stage gives the same order.
+    assert [r.doc_id for r in curriculum.mix(docs).collect()] == [i for _, _, i in placed]
+    assert curriculum.deal(nothing).count() == 0
+
+
 def test_schedule_orders_sources_over_time(spark):
     texts = [prose(random.Random(i), 20) for i in range(600)]
     docs = spark.createDataFrame([(i, t, "abc"[i % 3]) for i, t in enumerate(texts)], "doc_id long, text string, source string")
