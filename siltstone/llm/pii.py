@@ -39,6 +39,8 @@ SPEAKS = {
 AGAINST = "version|license|isbn|page|chapter|order no|article"
 #: Characters of left context; EM rounds; classifier steps.
 CONTEXT, ROUNDS, STEPS = 32, 30, 400
+#: Characters of the blocks from which the text between masked spans is cut.
+BLOCK = 1024
 LABELERS = ("v_regex", "v_gazetteer", "v_context", "v_shape")
 FEATURES = ("f_check", "f_left", "f_right", "f_word", "f_rich", "f_len", "f_digits")
 
@@ -241,32 +243,73 @@ def find(docs: DataFrame) -> DataFrame:
         listed(F.col("ok")).alias("spans")).drop("row")
 
 
-def _replacer(kind: str, model: dict):
-    """For the matches ``_m`` and the pieces ``_p`` between them: a piece and what follows it."""
-    name = F.lit(f"<{'PHONE' if kind == 'national' else kind.upper()}>")
+def _running(values: Column, op) -> Column:
+    """Running results of ``op`` over an array of ints >= 0 (sums, greatest), by doubling: n log n steps."""
+    n = F.size(values)
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(n + F.lit(1))).cast("int")), lambda r: F.pow(2, r).cast("int"))
 
-    def put(m: Column, i: Column) -> Column:
-        tail, head = F.right(F.get("_p", i), F.lit(CONTEXT)), F.left(F.get("_p", i + 1), F.lit(2))
-        value = {"kind": F.lit(KINDS.index(kind)), **signals(kind, m, tail, head)}
-        return F.concat(F.get("_p", i), F.when(accepted(model, value, base_valid(kind, m)), name).otherwise(m))
+    def step(so_far: Column, far: Column) -> Column:
+        back = F.slice(so_far, 1, F.greatest(n - far, F.lit(0)))
+        return F.zip_with(so_far, F.concat(F.array_repeat(F.lit(0), F.least(far, n)), back), op)
 
-    return put
+    return F.aggregate(steps, values, step)
+
+
+def _spans(kind: str, model: dict) -> Column:
+    """The accepted matches of a kind on the whole text: start, end (exclusive), kind, sorted."""
+    m, p = F.col(f"_m_{kind}"), F.col(f"_p_{kind}")
+
+    def judge(x: Column, i: Column) -> Column:
+        tail, head = F.right(F.get(p, i), F.lit(CONTEXT)), F.left(F.get(p, i + 1), F.lit(2))
+        value = {"kind": F.lit(KINDS.index(kind)), **signals(kind, x, tail, head)}
+        return F.struct(F.length(x).alias("len"), accepted(model, value, base_valid(kind, x)).alias("ok"))
+
+    ends = _running(F.transform(m, lambda x, i: F.length(F.get(p, i)) + F.length(x)), lambda a, b: a + b)
+    all_ = F.zip_with(ends, F.transform(m, judge), lambda end, j: F.struct(
+        (end - j["len"]).alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("kind"), j["ok"].alias("ok")))
+    return F.filter(all_, lambda s: s["ok"])
+
+
+def _cut(start: Column, end: Column) -> Column:
+    """The characters from start to end of the text in ``_blocks``, without a walk from its beginning."""
+    first = F.floor(start / F.lit(BLOCK)).cast("int")
+    piece = F.array_join(F.slice("_blocks", first + 1, F.ceil(end / F.lit(BLOCK)).cast("int") - first), "")
+    return F.substring(piece, start - first * BLOCK + 1, end - start)
 
 
 def mask(docs: DataFrame) -> DataFrame:
     """The rows with each span replaced by its kind in angle brackets; other columns as they are.
 
-    Kinds are masked in order, each over the text the one before left. Texts stay where they
-    are: nothing is shuffled but the candidates' pattern counts. NULL stays NULL.
+    All spans are decided on the original text, as in ``find``; spans that overlap become one,
+    from the first start to the last end, named after its longest (of equal ones the first
+    kind), and all are replaced at once. An accepted span that meets a base span, which
+    ``find`` leaves out, is masked with it: nothing that was accepted stays in the text. Texts
+    stay where they are: nothing is shuffled but the candidates' pattern counts. NULL stays
+    NULL.
     """
     model = fit(candidates(docs))
     columns = docs.columns
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text")
-    for k in KINDS:
-        d = d.withColumn("_hit", F.col("text").contains("@") if NEEDS[k] == "@" else F.col("text").rlike("[0-9]"))
-        d = d.withColumn("_m", F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(PATTERNS[k]), F.lit(0))))
-        d = d.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", PATTERNS[k], -1)))
-
-        masked = F.concat(F.array_join(F.transform("_m", _replacer(k, model)), ""), F.element_at("_p", -1))
-        d = d.withColumn("text", F.when(F.size("_m") > 0, masked).otherwise(F.col("text"))).drop("_m", "_p", "_hit")
+    d = _found(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text"))
+    d = d.select("_row", "text", F.sort_array(F.concat(*[_spans(k, model) for k in KINDS])).alias("_s"))
+    # The columns below are each used more than once, so that Spark computes them once per row.
+    d = d.withColumn("_r", _running(F.transform("_s", lambda s: s["end"]), lambda a, b: F.greatest(a, b)))
+    d = d.withColumn("_b", F.filter(F.transform("_s", lambda s, i: F.when(
+        (i == 0) | (s["start"] >= F.get("_r", i - 1)), i)), lambda b: b.isNotNull()))
+
+    def union(b: Column, j: Column) -> Column:
+        after = F.coalesce(F.get("_b", j + 1), F.size("_s"))
+        longest = F.array_max(F.transform(F.slice("_s", b + 1, after - b), lambda s: F.struct(
+            (s["end"] - s["start"]).alias("len"), (-s["kind"]).alias("kind"))))
+        return F.struct(F.get("_s", b)["start"].alias("start"), F.get("_r", after - 1).alias("end"),
+                        (-longest["kind"]).alias("kind"))
+
+    d = d.select("_row", "text", F.transform("_b", union).alias("_u"), F.when(
+        F.size("_s") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("_blocks"))
+    names = F.array(*[F.lit(f"<{'PHONE' if k == 'national' else k.upper()}>") for k in KINDS])
+
+    def put(u: Column, j: Column) -> Column:
+        return F.concat(_cut(F.coalesce(F.get("_u", j - 1)["end"], F.lit(0)), u["start"]), F.get(names, u["kind"]))
+
+    masked = F.concat(F.array_join(F.transform("_u", put), ""), _cut(F.element_at("_u", -1)["end"], F.length("text")))
+    d = d.withColumn("text", F.when(F.size("_u") > 0, masked).otherwise(F.col("text")))
     return d.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns])

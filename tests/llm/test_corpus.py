@@ -376,6 +376,43 @@ def test_masking_replaces_spans_only(spark):
     assert masked[3] == "token = <SECRET>"
 
 
+def plain_mask(text, spans):
+    """Spans (kind, start, end) that overlap become one, named after the longest; all replaced at once."""
+    out, at, unions = "", 0, []
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], s[2])):
+        if unions and a < unions[-1][1]:
+            unions[-1][1] = max(unions[-1][1], b)
+            unions[-1][2].append((kind, b - a))
+        else:
+            unions.append([a, b, [(kind, b - a)]])
+    for a, b, members in unions:
+        kind = min(members, key=lambda m: (-m[1], list(BASE).index(m[0])))[0]
+        out, at = out + text[at:a] + f"<{kind.upper()}>", b
+    return out + text[at:]
+
+
+def test_masking_overlapping_kinds(spark, monkeypatch):
+    monkeypatch.setattr(pii, "fit", lambda found: {})  # base spans only
+    texts = [
+        "call +33.1.42.68.53.00 now", "+44.20.79.46.0958", "a +33.1.42.68.53.00, b +44.20.79.46.0958 c@d.org 10.0.0.1",
+        "x@10.0.0.1 and 4111 1111 1111 1111", "+4111 1111 1111 1111 1.2.3.4.5", "😀 é +33.1.42.68.53.00 😀 a@b.co😀",
+        "1.1." * 5000, *[t for t in PRIVATE if len(t) < 1000],
+        "😀 filler é " * 900 + "+33.1.42.68.53.00" + " more text" * 700 + " a@b.org 1.2.3.4" + "z" * 1024,
+        "ab 1.2.3.4 +33.1.42.68.53.00 c@d.ef 4111 1111 1111 1111\n" * 1500]
+    masked = [r.text for r in pii.mask(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert masked[:2] == ["call <PHONE> now", "<PHONE>"]
+    for text, got in zip(texts, masked, strict=True):
+        assert got == plain_mask(text, plain_spans(text)), text[:60]
+
+
+def test_masking_leaves_no_accepted_span(spark, monkeypatch):
+    # A model that accepts all: an added span that meets a base span is masked with it.
+    monkeypatch.setattr(pii, "fit", lambda found: {("f_len", v): 1.0 for v in range(4)})
+    texts = ["key ABCDEFGH4111111111111111QRST end", "plain words"]
+    masked = [r.text for r in pii.mask(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert masked == ["key <SECRET> end", "plain words"]
+
+
 def test_em_finds_the_unreliable_labeler():
     rng = random.Random(1)
     table = Counter()
