@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import curriculum, interpolation, lshforest, outliers, pieces, pii, pulearn, resync, simple8b, vamana
+from siltstone.llm import (
+    chat,
+    curriculum,
+    divergence,
+    interpolation,
+    lshforest,
+    outliers,
+    pieces,
+    pii,
+    pulearn,
+    resync,
+    simple8b,
+    vamana,
+    whitening,
+)
 from siltstone.llm.common import read
 
 
@@ -51,6 +65,21 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.deal(read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    return chat.read_back(chat.windows(rows.union(planted), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pruned_graph_search": op1_pruned_graph_search,
     "op2_robust_outliers": op2_robust_outliers,
@@ -62,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_resynchronised_counts": op9_resynchronised_counts,
     "op10_curriculum_mix": op10_curriculum_mix,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_chat_windows": op12_chat_windows,
+    "op13_whitening": op13_whitening,
 }
