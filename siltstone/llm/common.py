@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,32 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0 " + "".join(map(chr, range(0x2000, 0x20
     "    　")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, once per application, from the shared folder.
+
+    Workers started elsewhere than in the repository cannot import it otherwise.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent).as_posix())
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/siltstone.zip")
+    out = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(place.toString())
+    _shipped.add(context.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -43,6 +71,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, *partition_by: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage, outlives executors."""
+    ship(df.sparkSession)
     path = shared_folder(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
