@@ -18,18 +18,19 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import utf8, written
 
 #: Entries (a term, or a term's source) in a map task's table before it is spilled.
-SPILL = 200_000
+SPILL = 600_000
 #: Entries of a block of merged stripes; sources whose pairs one task adds up.
 BLOCK, LEFT = 65_536, 256
 #: Cells of the term-by-source matrix worked on at once.
 CELLS = 1 << 20
-SMOOTH, SCALE = 5, 1_000_000_000
+SMOOTH = 5
 
 _STRIPE = "lang string, term string, documents long, sources array<string>, counts array<long>"
 _STRIPE_TYPE = pa.schema([("lang", pa.string()), ("term", pa.string()), ("documents", pa.int64()),
@@ -94,7 +95,11 @@ def _fold(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
 
 
 def _merge(batches: Iterable[pa.RecordBatch], least: int, rows: int = 1 << 13) -> Iterator[pa.RecordBatch]:
-    """Adds up the stripes of each key, which come in a row; the rare ones are left out."""
+    """Adds up the stripes of each key, which come in a row; the rare ones are left out.
+
+    Keys that begin and end inside a batch and are rare are told by their summed frequencies
+    alone; only the frequent ones, and those at a batch's ends, have their counts added up.
+    """
     key, documents, by = None, 0, {}
     out: tuple[list, list, list] = ([], [], [])
 
@@ -104,18 +109,30 @@ def _merge(batches: Iterable[pa.RecordBatch], least: int, rows: int = 1 << 13) -
                 held.append(value)
 
     for batch in batches:
+        n = len(batch)
+        if not n:
+            continue
+        lang, term = batch["lang"].cast(pa.binary()), batch["term"].cast(pa.binary())
+        begins = np.ones(n, bool)
+        begins[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(begins)
+        found = np.add.reduceat(batch["documents"].to_numpy(), first)
+        wanted = (found >= least) | (pc.binary_length(term).to_numpy()[first] == 0)
+        wanted[[0, -1]] = True
         start = batch["counts"].offsets.to_numpy()
-        sources = batch["sources"].flatten().cast(pa.binary()).to_pylist()
-        counts = batch["counts"].flatten().to_pylist()
         start = start - start[0]
-        columns = (utf8(batch["lang"]), utf8(batch["term"]), batch["documents"].to_pylist())
-        for i, (lang, term, n) in enumerate(zip(*columns, strict=True)):
-            if (lang, term) != key:
+        sources, counts = batch["sources"].flatten().cast(pa.binary()), batch["counts"].flatten()
+        after = np.append(first[1:], n)
+        for g in np.flatnonzero(wanted):
+            i = int(first[g])
+            its = (lang[i].as_py(), term[i].as_py())
+            if its != key:
                 close()
-                key, documents, by = (lang, term), 0, {}
-            documents += n
-            for at in range(start[i], start[i + 1]):
-                by[sources[at]] = by.get(sources[at], 0) + counts[at]
+                key, documents, by = its, 0, {}
+            documents += int(found[g])
+            at, to = int(start[i]), int(start[after[g]])
+            for source, count in zip(sources[at:to].to_pylist(), counts[at:to].to_pylist(), strict=True):
+                by[source] = by.get(source, 0) + count
         if len(out[0]) >= rows:
             yield _rows(*out)
             out = ([], [], [])
