@@ -140,6 +140,8 @@ BRONZE_LOG_SCHEMA = (
     "min_bronze_id BIGINT, max_bronze_id BIGINT, ingested_at TIMESTAMP"
 )
 
+BAD_RECORDS_SCHEMA = "run_id STRING, source STRING, source_file STRING, line BIGINT, record STRING"
+
 CHECK_SCHEMA = (
     "check_category STRING, check_id STRING, description STRING, status STRING, "
     "severity STRING, details STRING"
@@ -153,6 +155,8 @@ def table_schema(layer: str, table: str) -> str:
     if layer == "bronze":
         if table == "load_log":
             return BRONZE_LOG_SCHEMA
+        if table == "bad_records":
+            return BAD_RECORDS_SCHEMA
         return SOURCES[table.removesuffix("_raw")].bronze_schema
     if layer == "silver":
         return SILVER_SCHEMAS[table]

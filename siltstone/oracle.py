@@ -443,9 +443,33 @@ def oracle_sql() -> dict[str, str]:
              (VALUES (1), (2)) AS t(v)
         WHERE (v = 1 AND k <> 9) OR (v = 2 AND k % 3 = 0)"""
     q["csv_columns_in_any_order"] = """
-        SELECT count(*) AS row_count, count(*) AS named_ids, count(*) AS tiers
-        FROM b_supplier_master GROUP BY right(supplier_id, 1) IN ('1', '3', '5', '7', '9')"""
+        SELECT CASE WHEN right(supplier_id, 1) IN ('1', '3', '5', '7', '9') THEN 'odd' ELSE 'even' END AS folder,
+               count(*) AS row_count, count(*) AS named_ids, count(*) AS tiers
+        FROM b_supplier_master GROUP BY 1"""
+    q["csv_quoted_line_breaks"] = """
+        SELECT medicine_id, medicine_name || CASE WHEN right(medicine_id, 1) IN ('1', '4', '7')
+                   THEN chr(10) || '"no, 2",' || chr(10) ELSE '' END AS medicine_name,
+               category, unit_of_measure, shelf_life_days
+        FROM b_medicine_catalogue"""
+    first, all_six = (", ".join(SOURCES["supplier_master"].columns[:n]) for n in (5, 6))
+    q["csv_bad_records"] = f"""
+        SELECT CASE WHEN k IN ('1', '2', '3') THEN 'kept' ELSE 'read' END AS outcome,
+               CASE k WHEN '1' THEN concat_ws(',', {first}) WHEN '2' THEN concat_ws(',', {all_six}, 'x')
+                      WHEN '3' THEN concat_ws(',', {all_six}, '', 'x') ELSE concat_ws(',', {all_six}) END AS record,
+               TRUE AS has_place
+        FROM (SELECT *, right(supplier_id, 1) AS k FROM b_supplier_master)"""
     q["json_array_source"] = f"SELECT {_bronze_columns('medicine_catalogue')} FROM b_medicine_catalogue"
+    q["json_one_large_array"] = """
+        SELECT * REPLACE (currency || CASE WHEN right(po_id, 1) IN ('1', '3') THEN '"},{[\\' ELSE '' END AS currency)
+        FROM b_purchase_orders"""
+    q["source_formats"] = " UNION ALL ".join(
+        f"SELECT '{f}' AS format, count(*) AS row_count, count(*) AS named_ids, 'read' AS outcome FROM b_supplier_master "
+        f"UNION ALL SELECT '{f}, absent', 0, 0, 'FileNotFoundError'" for f in ("csv", "json", "parquet")
+    ) + " UNION ALL SELECT 'xml', 0, 0, 'KeyError' UNION ALL SELECT 'xml, absent', 0, 0, 'FileNotFoundError'"
+    q["stock_levels_by_settings"] = """
+        SELECT CASE WHEN quantity_on_hand < 100 THEN 'Below Min'
+                    WHEN quantity_on_hand > 10000 THEN 'Above Max' ELSE 'OK' END AS stock_status,
+               count(*) AS row_count, TRUE AS all_sources FROM s_warehouse_inventory GROUP BY 1"""
     q["landed_source_files"] = ("SELECT count(*) AS row_count, count(*) AS rows_with_file, "
                                 "TRUE AS several_files FROM b_medicine_catalogue")
     q["views_after_reloads"] = "SELECT * FROM details"

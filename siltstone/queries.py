@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.config import SOURCES
+from siltstone.config import SOURCES, load_config
 from siltstone.functions.metrics import is_delayed
 from siltstone.operators import history
 from siltstone.operators.dedup import absent_values, duplicate_keys
@@ -28,7 +29,7 @@ from siltstone.plans.workspace import (
 )
 from siltstone.sources import bronze as landing
 from siltstone.sources import testdata
-from siltstone.sources.readers import SOURCE_FILE, read_source
+from siltstone.sources.readers import READERS, SOURCE_FILE, bad_records, read_source
 from siltstone.streaming.incremental import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,23 +117,72 @@ query("json_source_shipment_records")(
 
 @query("csv_columns_in_any_order")
 def csv_columns_in_any_order(w: Workspace) -> DataFrame:
-    """A folder of two files, the second with its columns reversed: values are bound by
+    """Two folders of files, the second with its columns reversed: values are bound by
     name, and every row tells which file it came from."""
     path, columns = f"{w.lake.root}/files/two_orders", list(SOURCES["supplier_master"].columns)
     if w._once("files/two_orders"):
         rows = testdata.delivery(w.spark, w.sf_dir, "supplier_master")
         odd = F.substring("supplier_id", -1, 1).isin(*"13579")
-        for part, cols in ((rows.filter(~odd), columns), (rows.filter(odd), columns[::-1])):
-            part.select(*cols).coalesce(1).write.mode("append").csv(
-                path, header=True, escape='"', **AS_IS)
+        for name, part, cols in (("even", rows.filter(~odd), columns), ("odd", rows.filter(odd), columns[::-1])):
+            part.select(*cols).write.mode("overwrite").csv(f"{path}/{name}", header=True, escape='"', **AS_IS)
     spec = replace(SOURCES["supplier_master"], file_format="csv", path=path)
-    scanned = read_source(w.spark, spec)
-    files = scanned.select(SOURCE_FILE).distinct().withColumn(
-        "_n", F.dense_rank().over(Window.orderBy(SOURCE_FILE)))  # two rows
-    return scanned.join(files, SOURCE_FILE).groupBy(SOURCE_FILE).agg(
+    return read_source(w.spark, spec).groupBy(F.element_at(F.split(SOURCE_FILE, "/"), -2).alias("folder")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("supplier_id").startswith("SUP-")).alias("named_ids"),
-        F.count_if(F.col("performance_tier").startswith("Tier ")).alias("tiers")).drop(SOURCE_FILE)
+        F.count_if(F.col("performance_tier").startswith("Tier ")).alias("tiers"))
+
+
+@query("csv_quoted_line_breaks")
+def csv_quoted_line_breaks(w: Workspace) -> DataFrame:
+    """A third of the names hold a line break, a quote and a comma; they arrive as written, from
+    files that several tasks read."""
+    path, spec = f"{w.lake.root}/files/line_breaks", SOURCES["medicine_catalogue"]
+    if w._once("files/line_breaks"):
+        rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
+        third = F.substring("medicine_id", -1, 1).isin(*"147")
+        name = F.when(third, F.concat("medicine_name", F.lit('\n"no, 2",\n'))).otherwise(F.col("medicine_name"))
+        rows.withColumn("medicine_name", name).write.mode("overwrite").csv(
+            path, header=True, escape='"', quoteAll=True, **AS_IS)
+    spec = replace(spec, file_format="csv", path=path)
+    return read_source(w.spark, spec, w.lake.staging("scans")).select(*spec.columns)
+
+
+@query("csv_bad_records")
+def csv_bad_records(w: Workspace) -> DataFrame:
+    """Records with a field too few or too many beside good ones: the bad ones are kept raw with
+    file and line, the others are read."""
+    path, spec = f"{w.lake.root}/files/bad_records", SOURCES["supplier_master"]
+    if w._once("files/bad_records"):
+        last = F.substring("supplier_id", -1, 1)
+        line = F.concat_ws(",", *spec.columns)
+        line = (F.when(last == "1", F.concat_ws(",", *spec.columns[:-1])).when(last == "2", F.concat(line, F.lit(",x")))
+                .when(last == "3", F.concat(line, F.lit(",,x"))).otherwise(line))
+        testdata.delivery(w.spark, w.sf_dir, spec.name).select(line.alias(",".join(spec.columns))).write.mode(
+            "overwrite").csv(path, header=True, sep="\x01", quote="", **AS_IS)
+    spec = replace(spec, file_format="csv", path=path, options={"badRecords": "keep"})
+    good = read_source(w.spark, spec, w.lake.staging("scans")).select(
+        F.lit("read").alias("outcome"), F.concat_ws(",", *spec.columns).alias("record"), F.lit(True).alias("has_place"))
+    bad = bad_records(w.spark, spec, w.lake.staging("scans")).select(
+        F.lit("kept").alias("outcome"), "record",
+        ((F.col("line") > 1) & F.col("source_file").endswith(".csv")).alias("has_place"))
+    return good.unionByName(bad)
+
+
+def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The objects of a task as one JSON array."""
+    lead = "["
+    for batch in batches:
+        lines = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_pydict({"value": [f"{lead if not i else ','}{x}" for i, x in enumerate(lines)]})
+        lead = "," if lines else lead
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if lead == "[" else "]"]})
+
+
+def _write_arrays(rows: DataFrame, columns: tuple[str, ...], files: int, path: str) -> None:
+    """Rows as JSON arrays, one a file and each on one line."""
+    objects = rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+    objects.repartition(files).mapInArrow(_bracketed, "value string").write.mode("overwrite").option(
+        "lineSep", " ").text(path)
 
 
 @query("json_array_source")
@@ -141,11 +191,59 @@ def json_array_source(w: Workspace) -> DataFrame:
     path, spec = f"{w.lake.root}/files/array.json", SOURCES["medicine_catalogue"]
     if w._once("files/array"):
         rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
-        text = F.to_json(F.collect_list(F.struct(*spec.columns)))
-        part = F.pmod(F.xxhash64("medicine_id"), F.lit(8))  # eight arrays
-        rows.groupBy(part.alias("part")).agg(text.alias("value")).write.mode(
-            "overwrite").partitionBy("part").text(path)
-    return read_source(w.spark, replace(spec, file_format="json", path=path)).select(*spec.columns)
+        _write_arrays(rows, spec.columns, 2 + rows.count() // 50_000, path)
+    spec = replace(spec, file_format="json", path=path)
+    return read_source(w.spark, spec, w.lake.staging("scans")).select(*spec.columns)
+
+
+@query("json_one_large_array")
+def json_one_large_array(w: Workspace) -> DataFrame:
+    """All orders as one array on one line (its one file is written by one task, and read by
+    as many as its size asks for), some with brackets and quotes in their text."""
+    path, spec = f"{w.lake.root}/files/large.json", SOURCES["purchase_orders"]
+    if w._once("files/large"):
+        rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
+        odd = F.substring("po_id", -1, 1).isin(*"13")
+        currency = F.when(odd, F.concat("currency", F.lit('"},{[\\'))).otherwise(F.col("currency"))
+        _write_arrays(rows.withColumn("currency", currency), spec.columns, 1, path)
+    spec = replace(spec, file_format="json", path=path)
+    return read_source(w.spark, spec, w.lake.staging("scans")).select(*spec.columns)
+
+
+@query("source_formats")
+def source_formats(w: Workspace) -> DataFrame:
+    """One delivery through every format the registry names; an unknown one and an absent file
+    are refused before anything is read."""
+    spec, told = SOURCES["supplier_master"], []
+    rows = testdata.delivery(w.spark, w.sf_dir, spec.name)
+    for fmt in (*READERS, "xml"):
+        path = f"{w.lake.root}/files/formats/{fmt}"
+        if w._once(f"files/formats/{fmt}"):
+            out = rows.write.mode("overwrite")
+            out.csv(path, header=True, escape='"', **AS_IS) if fmt == "csv" else (
+                out.json(path) if fmt == "json" else out.parquet(path))
+        options = {"multiLine": "false"} if fmt == "json" else {}
+        for name, place in ((fmt, path), (f"{fmt}, absent", f"{path}/none")):
+            try:
+                read = read_source(w.spark, replace(spec, file_format=fmt, path=place, options=options))
+                told.append(read.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(
+                    F.col("supplier_id").startswith("SUP-")).alias("named_ids")).withColumn("outcome", F.lit("read")))
+            except (KeyError, FileNotFoundError) as e:
+                told.append(w.spark.range(1).select(
+                    *[F.lit(0).cast("long").alias(c) for c in ("row_count", "named_ids")],
+                    F.lit(type(e).__name__).alias("outcome")))
+            told[-1] = told[-1].withColumn("format", F.lit(name))
+    return union_all(told)
+
+
+@query("stock_levels_by_settings")
+def stock_levels_by_settings(w: Workspace) -> DataFrame:
+    """Stock against the limits of the settings file, whose sources are those of the registry."""
+    config = load_config()
+    listed = {s.name for s in config.sources} == set(NAMES)
+    return views.stock_levels(
+        w.silver("warehouse_inventory"), config.min_stock_units, config.max_stock_units
+    ).groupBy("stock_status").agg(F.count(F.lit(1)).alias("row_count")).withColumn("all_sources", F.lit(listed))
 
 
 @query("landed_source_files")

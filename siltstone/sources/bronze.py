@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.config import PipelineConfig, SourceSpec
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.sources.lake import Lake
-from siltstone.sources.readers import SOURCE_FILE, read_source
+from siltstone.sources.readers import SOURCE_FILE, bad_records, keeps_bad_records, read_source
 
 
 def add_audit_columns(
@@ -91,11 +91,18 @@ def land(
 def ingest_all(
     lake: Lake, config: PipelineConfig, run_id: str, ingested_at: datetime | None = None
 ) -> DataFrame:
-    """Land every configured source under one run id; returns the load metrics."""
-    # Resolve all sources first, so a missing file stops the run before any write.
-    plans = [(spec, read_source(lake.spark, spec)) for spec in config.sources]
+    """Land every configured source under one run id; returns the load metrics. Records that a
+    source leaves out (``badRecords: keep``) go to ``bad_records`` as they stand."""
+    # Resolve all sources first, so a missing file stops the run before any table is written.
+    scratch = lake.staging(f"scans-{run_id}")
+    plans = [(spec, read_source(lake.spark, spec, scratch)) for spec in config.sources]
     for spec, df in plans:
         land(lake, df, spec, run_id, ingested_at=ingested_at)
+        if keeps_bad_records(spec):
+            bad = bad_records(lake.spark, spec, scratch).select(
+                F.lit(spec.name).alias("source"), "source_file", "line", "record")
+            lake.put_partition(bad, "bronze", "bad_records", run_id=run_id, source=spec.name)
+    lake.unstage(f"scans-{run_id}")
     return load_metrics(lake, run_id)
 
 

@@ -73,7 +73,7 @@ class Lake:
         path = self.path(layer, table)
         if self._snapshots(path):
             return True
-        return any(not c.startswith("v=") for c in self._children(path))
+        return any(not c.startswith(("v=", "_", ".")) for c in self._children(path))
 
     def size(self, layer: str, table: str) -> int:
         """Bytes on disk, all snapshots together; 0 if absent."""
@@ -202,12 +202,15 @@ class Lake:
         Unlike a cached frame it outlives lost executors, and the joins behind it
         run once.
         """
-        path = f"{self.root}/_staging/{name}"
+        path = self.staging(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def staging(self, name: str) -> str:
+        return f"{self.root}/_staging/{name}"
+
     def unstage(self, name: str) -> None:
-        fs, p = self._fs(f"{self.root}/_staging/{name}")
+        fs, p = self._fs(self.staging(name))
         fs.delete(p, True)
 
     # -- identifiers ---------------------------------------------------------

@@ -95,8 +95,17 @@ TABLES_USED = {
 }
 
 
+def spread(scan: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """A scan of fewer tasks than cores dealt to more, each of at least ``least`` bytes: a
+    Parquet file of one row group is read by one task however many cores there are. A scan that
+    already has a task for each core stays as it is."""
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = min(scan.sparkSession.sparkContext.defaultParallelism, size // least)
+    return scan.repartition(tasks) if tasks > scan.rdd.getNumPartitions() else scan
+
+
 def delivery(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES_USED[name]}
+    tables = {t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in TABLES_USED[name]}
     return spark.sql(PROJECTIONS[name], **tables)
 
 
