@@ -23,7 +23,8 @@ class SourceSpec:
     """One delivered source and where its rows go.
 
     ``first_by`` orders copies of one natural key inside a load: the first one is
-    kept. The default is landing order.
+    kept. The default is landing order. ``bucketed`` tables grow without end: Silver keeps
+    them in buckets of the natural key.
     """
 
     name: str
@@ -35,6 +36,7 @@ class SourceSpec:
     first_by: tuple[str, ...] = ("bronze_id",)
     options: dict[str, str] = field(default_factory=dict)
     bronze_name: str = ""
+    bucketed: bool = False
 
     @property
     def bronze_table(self) -> str:
@@ -79,6 +81,7 @@ SOURCES: dict[str, SourceSpec] = {
                 Reference("medicine_id", "medicine_catalogue", "medicine_id"),
             ),
             file_format="json",
+            bucketed=True,
         ),
         SourceSpec(
             "shipment_records",
@@ -87,12 +90,14 @@ SOURCES: dict[str, SourceSpec] = {
             ("shipment_id",),
             (Reference("po_id", "purchase_orders", "po_id"),),
             file_format="json",
+            bucketed=True,
         ),
         SourceSpec(
             "warehouse_inventory",
             ("warehouse_id", "medicine_id", "quantity_on_hand", "expiry_date", "batch_number"),
             ("warehouse_id", "medicine_id", "batch_number"),
             (Reference("medicine_id", "medicine_catalogue", "medicine_id"),),
+            bucketed=True,
         ),
     )
 }
@@ -116,9 +121,13 @@ SILVER_SCHEMAS = {
     "rule_id STRING, rule_description STRING, row_data STRING, bronze_id BIGINT, "
     "run_id STRING, quarantined_at TIMESTAMP",
     "load_log": "run_id STRING, source STRING, rows_passed BIGINT, rows_quarantined BIGINT, "
-    "rows_skipped_duplicate BIGINT, loaded_at TIMESTAMP, bronze_runs ARRAY<STRING>",
+    "rows_skipped_duplicate BIGINT, loaded_at TIMESTAMP, bronze_runs ARRAY<STRING>, "
+    "first_day DATE, last_day DATE",
 }
 
+#: Silver dates that the calendar has to hold.
+CALENDAR_DATES = {"purchase_orders": ("order_date",), "shipment_records": ("eta", "actual_arrival")}
+
 GOLD_SCHEMAS = {
     "dim_date": "date_key INT, full_date DATE, day_of_month INT, month INT, month_name STRING, "
     "quarter INT, year INT, day_of_week INT, day_name STRING, is_weekend BOOLEAN",
@@ -133,6 +142,8 @@ GOLD_SCHEMAS = {
     "medicine_key BIGINT, warehouse_key BIGINT, country_key BIGINT, order_date_key INT, "
     "eta_date_key INT, actual_arrival_date_key INT, quantity INT, total_cost DECIMAL(12,2), "
     "currency STRING, delay_days INT, is_delayed BOOLEAN, status STRING",
+    "fact_summary": "supplier_key BIGINT, country_key BIGINT, month INT, n BIGINT, late BIGINT, "
+    "days BIGINT, arrived BIGINT, cost DECIMAL(38,2)",
 }
 
 BRONZE_LOG_SCHEMA = (

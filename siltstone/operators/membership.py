@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +16,18 @@ def orphan_keys(keys: DataFrame, parents: DataFrame, parent_key: str) -> DataFra
     return distinct.join(parents.select(F.col(parent_key).alias(name)), name, "left_anti")
 
 
+def orphan_keys_of(
+    df: DataFrame, keys: dict[str, Column], parents: dict[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``orphan_keys`` of several references at once: reference, key. One pass over the rows
+    and one shuffle of their distinct keys, however many references there are."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("reference"), k.alias("key")) for n, k in keys.items()])
+    distinct = df.select(F.inline(pairs)).filter(F.col("key").isNotNull()).distinct()
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(n).alias("reference"), F.col(pk).alias("key")) for n, (parent, pk) in parents.items()])
+    return distinct.join(known, ["reference", "key"], "left_anti")
+
+
 def flag_listed(df: DataFrame, key: str, listed: DataFrame, flag: str) -> DataFrame:
     """Set ``flag`` on rows whose ``key`` is in a written one-column key list. The
     optimizer knows the list's size: it broadcasts it, or else sorts and merges,

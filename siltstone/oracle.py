@@ -501,6 +501,13 @@ def oracle_sql() -> dict[str, str]:
                FALSE AS new_key FROM f
         UNION ALL SELECT 'NEW-' || shipment_id, quantity + 1, CAST(delay_days AS INT), TRUE,
                'Closed', TRUE FROM f WHERE delay_days > 5"""
+    week = "eta BETWEEN DATE '1997-04-07' AND DATE '1997-04-13'"
+    late = f"{week} AND delay_days > 5"
+    n = f"(SELECT count(*) FROM f) + (SELECT count(*) FROM f WHERE {late})"
+    q["fact_merge_of_a_week"] = f"""
+        SELECT shipment_id, quantity, CASE WHEN {week} THEN 'Closed' ELSE status END AS status,
+               TRUE AS others_kept, {n} AS summed FROM f
+        UNION ALL SELECT 'NEW-' || shipment_id, quantity + 1, 'Closed', TRUE, {n} FROM f WHERE {late}"""
     q["dim_type1_upsert"] = """
         SELECT b.supplier_id, upper(b.supplier_name) AS supplier_name,
                'New ' || b.performance_tier AS performance_tier,
@@ -524,6 +531,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(sum(total_cost) AS DOUBLE) AS total_procurement_cost,
                CAST(count(*) FILTER (WHERE NOT is_delayed) AS DOUBLE) / nullif(count(*), 0)
                  AS on_time_delivery_rate FROM f"""
+    q["kpi_totals_of_the_fact"] = q["kpi_totals"]
     q["delayed_by_country"] = ("SELECT country_name, count(*) FILTER (WHERE is_delayed) AS "
                                "delayed_shipments FROM f GROUP BY 1 ORDER BY 2 DESC, 1")
     q["cost_by_country"] = ("SELECT country_name, CAST(sum(total_cost) AS DOUBLE) AS "

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.config import GOLD_SCHEMAS, PipelineConfig
+from siltstone.config import CALENDAR_DATES, GOLD_SCHEMAS, PipelineConfig
 from siltstone.functions.metrics import date_key, delay_days, is_delayed
 from siltstone.operators.dedup import absent_values
 from siltstone.operators.keys import next_base, with_sequence
 from siltstone.operators.membership import without
 from siltstone.operators.upsert import upsert
+from siltstone.plans.views import sums
 from siltstone.sources.lake import Lake, struct
 
 #: The calendar's three roles in the fact.
@@ -45,17 +46,26 @@ def calendar(years: DataFrame) -> DataFrame:
 
 
 def calendar_years(lake: Lake, config: PipelineConfig) -> DataFrame:
-    """The configured years, widened to every year that an order or a shipment names."""
-    dates = {"purchase_orders": ("order_date",), "shipment_records": ("eta", "actual_arrival")}
-    found = [
-        lake.read("silver", t).agg(F.min(F.least(*c) if len(c) > 1 else c[0]).alias("low"),
-                                   F.max(F.greatest(*c) if len(c) > 1 else c[0]).alias("high"))
-        for t, c in dates.items()
-    ]
+    """The configured years, widened to every year that an order or a shipment names.
+
+    Silver loads log the days of the rows they add. A table of which the log does not know
+    every row (a load died before logging) is scanned instead.
+    """
     first, last = config.calendar_start_year, config.calendar_end_year
-    return reduce(DataFrame.unionByName, found).agg(
-        F.least(F.year(F.min("low")), F.lit(first)).alias("first_year"),
-        F.greatest(F.year(F.max("high")), F.lit(last)).alias("last_year"))
+    bounds = [lake.spark.range(1).select(
+        F.make_date(F.lit(first), F.lit(1), F.lit(1)).alias("low"), F.make_date(F.lit(last), F.lit(1), F.lit(1)).alias("high"))]
+    logged = {r.source: r for r in lake.read("silver", "load_log").filter("rows_passed > 0").groupBy("source").agg(
+        F.sum("rows_passed").alias("n"), F.count_if(F.col("first_day").isNull()).alias("untold"),
+        F.min("first_day").alias("low"), F.max("last_day").alias("high")).collect()}  # a row per source
+    for table, c in CALENDAR_DATES.items():
+        rows, told = lake.read("silver", table), logged.get(table)
+        if told and not told.untold and told.n == rows.count():  # a count reads footers only
+            bounds.append(lake.spark.range(1).select(F.lit(told.low).alias("low"), F.lit(told.high).alias("high")))
+        else:
+            low, high = (F.least(*c), F.greatest(*c)) if len(c) > 1 else (F.col(c[0]), F.col(c[0]))
+            bounds.append(rows.agg(F.min(low).alias("low"), F.max(high).alias("high")))
+    return reduce(DataFrame.unionByName, bounds).agg(
+        F.year(F.min("low")).alias("first_year"), F.year(F.max("high")).alias("last_year"))
 
 
 def load_dim_date(lake: Lake, config: PipelineConfig) -> int:
@@ -102,7 +112,7 @@ def _upsert_table(
     top = lake.current_max("gold", table, surrogate) or 0 if known else None
     columns = struct(GOLD_SCHEMAS[table]).names
     lake.replace(
-        upsert(current, incoming, key, surrogate, update, top).select(*columns), "gold", table)
+        upsert(current, incoming, key, surrogate, update, top).select(*columns), "gold", table, key=surrogate)
     lake.expire("gold", table)
     return lake.read("gold", table).count()
 
@@ -196,9 +206,72 @@ def fact_rows(
 FACT_UPDATES = ["delay_days", "is_delayed", "status"]
 
 
+#: Folders of the fact, by the quarter of the eta.
+PART = "eta_quarter"
+
+
 def by_eta(rows: DataFrame) -> DataFrame:
-    """Rows in ranges of their eta, sorted, so that date filters skip files and row groups."""
-    return rows.repartitionByRange("eta_date_key").sortWithinPartitions("eta_date_key")
+    """Rows in ranges of their eta, sorted, so that date filters skip files and row groups. A
+    busy day is split between tasks by the shipment's hash."""
+    return rows.repartitionByRange("eta_date_key", F.xxhash64("shipment_id")).sortWithinPartitions("eta_date_key")
+
+
+def _quarter(month: str = "eta_date_key div 100") -> Column:
+    """Year and quarter of a month like 199704: 19972."""
+    return F.expr(f"({month}) div 100 * 10 + (({month}) % 100 + 2) div 3").cast("int").alias(PART)
+
+
+def _laid_out(rows: DataFrame) -> DataFrame:
+    return rows.select(*struct(GOLD_SCHEMAS["fact_shipment"]).names, _quarter())
+
+
+def merge_fact(lake: Lake, incoming: DataFrame) -> None:
+    """Partial upsert into the written fact: known shipments get new delay and status, the
+    others a key of their own.
+
+    What changes is found first, on the key and the updated columns alone, and written down.
+    Only quarters that hold a changed row are read and written again; new rows are files of their
+    own, and a delivery that changes nothing writes nothing. New keys are given to rows that no
+    later shuffle moves.
+    """
+    fact = lake.read("gold", "fact_shipment")
+    was = fact.select("shipment_id", F.col("eta_date_key").alias("_eta"), *[F.col(c).alias(f"_{c}") for c in FACT_UPDATES])
+    known = F.col("_eta").isNotNull()
+    changed = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_UPDATES])
+    delta = lake.stage(incoming.join(was, "shipment_id", "left").where(~known | changed), "fact_delta")
+    parts = {str(r[0]) for r in delta.where(known).select(_quarter("_eta div 100")).distinct().collect()}  # few
+    new = delta.where(~known).drop(*[c for c in delta.columns if c.startswith("_")])
+    frames = []
+    if parts:
+        rows = lake.read("gold", "fact_shipment", parts=parts)
+        updates = delta.where(known).select(
+            "shipment_id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_{c}") for c in FACT_UPDATES])
+        rows = rows.join(updates, "shipment_id", "left").withColumns({
+            c: F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)) for c in FACT_UPDATES})
+        frames.append(_laid_out(by_eta(rows)))
+    if not new.isEmpty():
+        top = lake.current_max("gold", "fact_shipment", "shipment_key") or 0
+        frames.append(_laid_out(upsert(None, by_eta(new), "shipment_id", "shipment_key", FACT_UPDATES, top)))
+    if frames:
+        before = lake.snapshot("gold", "fact_shipment")
+        written = lake.rewrite_parts(frames, "gold", "fact_shipment", parts, key="shipment_key", part=PART)
+        write_sums(lake, before, written)
+        lake.expire("gold", "fact_shipment")
+    lake.unstage("fact_delta")
+
+
+def write_sums(lake: Lake, before: str | None, parts: set[str]) -> None:
+    """Keep the views' sums beside the fact: those of the quarters just written, or all if the
+    sums are not those of the fact ``before`` it was written. The commit notes the fact it is of."""
+    layout = {"part": PART, "notes": {"fact": lake.snapshot("gold", "fact_shipment")}}
+    some = before is not None and lake.note("gold", "fact_summary", "fact") == before
+    rows = sums(lake.read("gold", "fact_shipment", parts=parts if some else None))
+    rows = rows.withColumn(PART, _quarter("month")).repartition(PART)  # one file a quarter
+    if some:
+        lake.rewrite_parts([rows], "gold", "fact_summary", parts, **layout)
+    else:
+        lake.replace(rows, "gold", "fact_summary", **layout)
+    lake.expire("gold", "fact_summary")
 
 
 def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = False) -> int:
@@ -207,17 +280,15 @@ def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = Fals
 
     Silver keeps the first write, so between runs with the same delay threshold no
     known shipment can change. ``only_new`` then gives the same table by adding the
-    missing shipments, without reading or rewriting the rest.
+    missing shipments, without comparing the rest.
 
-    The fact is laid out by eta. New keys are given out after that shuffle, or to rows
-    already written, never before a shuffle that a lost task could repeat differently.
+    The fact is laid out by eta. New keys are given out after that shuffle, never before one
+    that a lost task could repeat differently.
     """
     known = lake.exists("gold", "fact_shipment")
-    fact = lake.read("gold", "fact_shipment") if known else None
-    columns = struct(GOLD_SCHEMAS["fact_shipment"]).names
     shipments = lake.read("silver", "shipment_records")
     if known and only_new:
-        shipments = without(shipments, fact, ["shipment_id"])
+        shipments = without(shipments, lake.read("gold", "fact_shipment"), ["shipment_id"])
     rows = fact_rows(
         shipments,
         lake.read("silver", "purchase_orders"),
@@ -230,19 +301,15 @@ def load_fact_shipment(lake: Lake, config: PipelineConfig, only_new: bool = Fals
         lake.read("gold", "dim_date"),
         config.delay_threshold_days,
     )
-    top = (lake.current_max("gold", "fact_shipment", "shipment_key") or 0) if known else None
-    if not known or only_new:
-        added = upsert(None, by_eta(rows), "shipment_id", "shipment_key", FACT_UPDATES, top)
-        if known:
-            lake.append_to_current(added.select(*columns), "gold", "fact_shipment")
-        else:
-            lake.replace(added.select(*columns), "gold", "fact_shipment")
+    if known and not only_new:
+        merge_fact(lake, rows)
     else:
-        merged = upsert(fact, rows, "shipment_id", "shipment_key", FACT_UPDATES, top)
-        merged = lake.stage(merged.select(*columns), "fact_shipment")
-        lake.replace(by_eta(merged), "gold", "fact_shipment")
-        lake.unstage("fact_shipment")
-        lake.expire("gold", "fact_shipment")
+        top = (lake.current_max("gold", "fact_shipment", "shipment_key") or 0) if known else None
+        added = upsert(None, by_eta(rows), "shipment_id", "shipment_key", FACT_UPDATES, top)
+        before = lake.snapshot("gold", "fact_shipment")
+        write = lake.append_to_current if known else lake.replace
+        written = write(_laid_out(added), "gold", "fact_shipment", key="shipment_key", part=PART)
+        write_sums(lake, before, written)
     return lake.read("gold", "fact_shipment").count()
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.config import CHECK_RESULTS_SCHEMA, SILVER_SCHEMAS, PipelineConfig, SourceSpec
@@ -46,18 +46,25 @@ def freshness(
     bronze: DataFrame, source: str, bronze_table: str, as_of: Column, max_age_hours: float
 ) -> DataFrame:
     """FRESH-01: the newest row is no older than the limit."""
-    hours = F.col("hours")
+    newest = bronze.agg(F.max("ingested_at").alias("at"))
+    return _freshness_rows(
+        newest.select(F.lit(source).alias("source"), F.lit(bronze_table).alias("bronze_table"), "at"),
+        as_of, max_age_hours)
+
+
+def _freshness_rows(newest: DataFrame, as_of: Column, max_age_hours: float) -> DataFrame:
+    """The check's row for each source, bronze_table and its newest time (NULL if none)."""
+    hours, src = F.col("hours"), F.col("source")
     never, fresh = hours.isNull(), within_freshness_window(hours, max_age_hours)
-    src = F.lit(source).alias("source")
-    return bronze.agg(hours_since(F.max("ingested_at"), as_of).alias("hours")).select(
+    return newest.withColumn("hours", hours_since(F.col("at"), as_of)).select(
         F.lit("freshness").alias("check_category"),
         F.lit("FRESH-01").alias("check_id"),
-        F.when(never, f"{source} has never been ingested")
-        .otherwise(f"{source} ingested within {_number(max_age_hours)}h window")
+        F.when(never, F.concat(src, F.lit(" has never been ingested")))
+        .otherwise(F.concat(src, F.lit(f" ingested within {_number(max_age_hours)}h window")))
         .alias("description"),
         F.when(fresh, "PASS").otherwise("FAIL").alias("status"),
         F.when(never, "CRITICAL").when(fresh, "INFO").otherwise("WARNING").alias("severity"),
-        F.when(never, _json(src, F.lit(bronze_table).alias("bronze_table")))
+        F.when(never, _json(src, F.col("bronze_table")))
         .otherwise(
             _json(
                 src,
@@ -119,14 +126,10 @@ def row_count_deviation(
     count and the history.
     """
     runs = run_counts(bronze)
-    newest = F.struct("last_at", "run_id")
     if target_run_id is None:
-        picked = runs.agg(F.max_by(F.struct("run_id", "run_count"), newest).alias("t"),
-                          *_history(since))
-        run, today = F.col("t.run_id"), F.coalesce(F.col("t.run_count"), F.lit(0))
-        in_history = F.col("t.run_id").isNotNull() & _in_window(F.col("newest_at"), since)
-        others = F.col("n") - F.when(in_history, 1).otherwise(0)
-        rest = F.col("total") - F.when(in_history, today).otherwise(0)
+        return _deviation_rows(
+            runs.agg(*_newest_and_history(since)).withColumn("source", F.lit(source)),
+            *_newest_against_history(since), threshold_pct)
     else:
         other = F.col("run_id") != target_run_id
         if since is not None:
@@ -140,7 +143,28 @@ def row_count_deviation(
             F.coalesce(F.sum(F.when(other, F.col("run_count"))), F.lit(0)).alias("total"),
         )
         run, today, others, rest = F.col("run"), F.col("today"), F.col("n"), F.col("total")
+    return _deviation_rows(picked.withColumn("source", F.lit(source)), run, today, others, rest, threshold_pct)
+
+
+def _newest_and_history(since: Column | None) -> list[Column]:
+    newest = F.struct("last_at", "run_id")
+    return [F.max_by(F.struct("run_id", "run_count"), newest).alias("t"), *_history(since)]
+
+
+def _newest_against_history(since: Column | None) -> tuple[Column, Column, Column, Column]:
+    """The newest run, its count, and the number and sum of the other runs."""
+    run, today = F.col("t.run_id"), F.coalesce(F.col("t.run_count"), F.lit(0))
+    in_history = run.isNotNull() & _in_window(F.col("newest_at"), since)
+    return (run, today, F.coalesce(F.col("n"), F.lit(0)) - F.when(in_history, 1).otherwise(0),
+            F.coalesce(F.col("total"), F.lit(0)) - F.when(in_history, today).otherwise(0))
+
+
+def _deviation_rows(
+    picked: DataFrame, run: Column, today: Column, others: Column, rest: Column, threshold_pct: float
+) -> DataFrame:
+    """The check's row for each source and its run."""
     base = picked.select(
+        "source",
         run.alias("run"),
         today.cast("bigint").alias("today_count"),
         F.try_divide(rest.cast("double"), others.cast("double")).alias("historical_avg"),
@@ -149,14 +173,14 @@ def row_count_deviation(
     deviation = row_count_deviation_pct(today, avg)
     never, no_history = F.col("run").isNull(), avg.isNull() | (avg == 0)
     ok = no_history | within_deviation_tolerance(deviation, threshold_pct)
-    src = F.lit(source).alias("source")
+    src = F.col("source")
     return base.select(
         F.lit("completeness").alias("check_category"),
         F.lit("COMPLETE-01").alias("check_id"),
-        F.when(never, f"{source} row count deviation (no ingestion history)")
-        .when(no_history, f"{source} row count deviation (insufficient history)")
-        .otherwise(
-            f"{source} row count within {_number(threshold_pct)}% of trailing average")
+        F.when(never, F.concat(src, F.lit(" row count deviation (no ingestion history)")))
+        .when(no_history, F.concat(src, F.lit(" row count deviation (insufficient history)")))
+        .otherwise(F.concat(
+            src, F.lit(f" row count within {_number(threshold_pct)}% of trailing average")))
         .alias("description"),
         F.when(never, "FAIL").when(ok, "PASS").otherwise("FAIL").alias("status"),
         F.when(never, "CRITICAL").when(ok, "INFO").otherwise("WARNING").alias("severity"),
@@ -196,36 +220,53 @@ def _history(since: Column | None) -> list[Column]:
 
 
 def uniqueness(table: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """UNIQUE-01: no natural key occurs twice. Lists the first ten that do.
-
-    Both branches read one aggregation on the key, whose shuffle is shared.
-    """
-    dups = duplicate_keys(table, keys)
-    label = F.col(keys[0]) if len(keys) == 1 else F.concat_ws("|", *keys)
-    listed = (
-        dups.select(label.cast("string").alias("k")).orderBy("k").limit(LISTED_KEYS)
-        .agg(F.sort_array(F.collect_list("k")).alias("keys"))
-    )
-    counted = dups.agg(F.count(F.lit(1)).alias("n"))
-    both = counted.select("n", F.lit(None).cast("array<string>").alias("keys")).unionByName(
-        listed.select(F.lit(None).cast("bigint").alias("n"), "keys"))
-    one = both.agg(F.max("n").alias("n"), F.max("keys").alias("keys"))
+    """UNIQUE-01: no natural key occurs twice. Lists the first ten that do."""
+    return uniqueness_of([(table, name, keys)])
+
+
+def uniqueness_of(tables: list[tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """UNIQUE-01 of several tables: their keys are counted by one shuffle, tagged by table."""
+    dups = _repeated_keys([(df, i, keys) for i, (df, _, keys) in enumerate(tables)])
+    first = Window.partitionBy("tag").orderBy("label")
+    listed = dups.select("tag", F.concat_ws("|", "key").alias("label")).withColumn(
+        "place", F.row_number().over(first)).where(F.col("place") <= LISTED_KEYS)
+    listed = listed.groupBy("tag").agg(F.sort_array(F.collect_list("label")).alias("keys"))
+    counted = dups.groupBy("tag").agg(F.count(F.lit(1)).alias("found"))
+    rows = _constants(tables[0][0].sparkSession, [
+        (i, name, "+".join(keys)) for i, (_, name, keys) in enumerate(tables)], "tag int, name string, columns string")
+    one = rows.join(counted, "tag", "left").join(listed, "tag", "left").withColumns({
+        "n": F.coalesce("found", F.lit(0).cast("long")),
+        "keys": F.coalesce("keys", F.array().cast("array<string>"))})
     status, severity = _outcome(F.col("n") == 0, "CRITICAL")
     return one.select(
         F.lit("uniqueness").alias("check_category"),
         F.lit("UNIQUE-01").alias("check_id"),
-        F.lit(f"silver.{name}.{'+'.join(keys)} has no duplicate natural keys").alias(
+        F.concat(F.lit("silver."), "name", F.lit("."), "columns", F.lit(" has no duplicate natural keys")).alias(
             "description"),
         status,
         severity,
         _json(
-            F.lit(name).alias("table"),
+            F.col("name").alias("table"),
             F.col("n").alias("duplicate_count"),
             F.col("keys").alias("duplicate_keys"),
         ).alias("details"),
     )
 
 
+def _repeated_keys(tables: list[tuple[DataFrame, int, list[str]]]) -> DataFrame:
+    """tag, key (its columns as text) and how often it occurs, of the keys that occur twice or more."""
+    tagged = [df.select(F.lit(tag).alias("tag"), F.array(*[F.col(k).cast("string") for k in keys]).alias("key"))
+              for df, tag, keys in tables]
+    return duplicate_keys(reduce(DataFrame.unionByName, tagged), ["tag", "key"])
+
+
+def _constants(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as part of the plan."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    values = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names, strict=True)]) for r in rows])
+    return spark.range(1).select(F.inline(values))
+
+
 # -- consistency -------------------------------------------------------------
 
 
@@ -267,25 +308,42 @@ def all_checks(
     landing; ``scan_bronze`` counts the Bronze rows themselves (an audit).
     """
     checks: list[DataFrame] = []
-    for s in config.sources:
-        if scan_bronze:
+    if scan_bronze:
+        for s in config.sources:
             bronze = lake.read("bronze", s.bronze_table, s.bronze_schema)
-        else:
-            bronze = landing_log(lake, s).filter("rows_loaded > 0")
-        checks.append(
-            freshness(bronze, s.name, s.bronze_table, as_of, config.freshness_max_age_hours))
-        checks.append(
-            row_count_deviation(bronze, s.name, config.row_count_deviation_threshold_pct))
-    for s in config.sources:
-        if s.silver_table in SILVER_SCHEMAS and (len(s.natural_key) == 1 or composite_keys):
-            table = lake.read("silver", s.silver_table)
-            checks.append(uniqueness(table, s.silver_table, list(s.natural_key)))
+            checks.append(
+                freshness(bronze, s.name, s.bronze_table, as_of, config.freshness_max_age_hours))
+            checks.append(
+                row_count_deviation(bronze, s.name, config.row_count_deviation_threshold_pct))
+    else:
+        checks += _log_checks(lake, config, as_of)
+    tables = [(lake.read("silver", s.silver_table), s.silver_table, list(s.natural_key))
+              for s in config.sources
+              if s.silver_table in SILVER_SCHEMAS and (len(s.natural_key) == 1 or composite_keys)]
+    if tables:
+        checks.append(uniqueness_of(tables))
     checks.append(
         shipment_consistency(
             lake.read("silver", "shipment_records"), lake.read("gold", "fact_shipment")))
     return reduce(DataFrame.unionByName, checks)
 
 
+def _log_checks(lake: Lake, config: PipelineConfig, as_of: Column) -> list[DataFrame]:
+    """Freshness and completeness of all sources, each by one aggregate of the landing log."""
+    sources = _constants(lake.spark, [(s.name, s.bronze_table) for s in config.sources],
+                         "source string, bronze_table string")
+    log = lake.read("bronze", "load_log").filter("rows_loaded > 0").drop("source")
+    at = log.groupBy("bronze_table").agg(F.max("ingested_at").alias("at"))
+    runs = log.filter(F.col("run_id").isNotNull()).groupBy("bronze_table", "run_id").agg(
+        F.sum("rows_loaded").alias("run_count"), F.max("ingested_at").alias("last_at"))
+    picked = runs.groupBy("bronze_table").agg(*_newest_and_history(None))
+    return [
+        _freshness_rows(sources.join(at, "bronze_table", "left"), as_of, config.freshness_max_age_hours),
+        _deviation_rows(sources.join(picked, "bronze_table", "left"), *_newest_against_history(None),
+                        config.row_count_deviation_threshold_pct),
+    ]
+
+
 def run_checks(
     lake: Lake,
     config: PipelineConfig,
@@ -479,19 +537,51 @@ def verify_constraints(lake: Lake, kinds: tuple[str, ...] = ("null", "check", "u
     """Violation counts of every declared constraint, as one frame."""
     t = lambda name: lake.read(*name.split("."))
     parts: list[DataFrame] = []
+    tests: dict[str, dict[str, Column]] = {}
     if "null" in kinds:
-        parts += [not_null_violations(t(n), n, cols) for n, cols in NOT_NULL.items()]
+        for n, cols in NOT_NULL.items():
+            tests.setdefault(n, {}).update({f"{c} not null": F.col(c).isNull() for c in cols})
     if "check" in kinds:
-        parts += [check_violations(t(n), n, p) for n, p in CHECKS.items()]
+        for n, predicates in CHECKS.items():
+            tests.setdefault(n, {}).update({k: ~F.expr(p) for k, p in predicates.items()})
+    parts += [_violations(t(n), n, told) for n, told in tests.items()]
     if "unique" in kinds:
-        parts += [unique_violations(t(n), n, keys) for n, keys in UNIQUE.items()]
+        parts.append(all_unique_violations({n: t(n) for n in UNIQUE}))
     if "fk" in kinds:
-        parts += [foreign_key_violations(t(n), n, fk, t(p), p, pk)
-                  for n, fk, p, pk in FOREIGN_KEYS]
+        parts.append(all_foreign_key_violations({
+            n: t(n) for n in dict.fromkeys([x for f in FOREIGN_KEYS for x in (f[0], f[2])])}))
     return reduce(DataFrame.unionByName, parts)
 
 
-def bronze_key_uniqueness(lake: Lake, spec: SourceSpec) -> DataFrame:
-    """The uniqueness check on raw rows, where copies are expected."""
-    bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
-    return uniqueness(bronze, spec.bronze_table, list(spec.natural_key))
+def _counted(spark, found: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """A row for each constraint, found (tag, violations) or not."""
+    rows = _constants(spark, [(i, *n) for i, n in enumerate(names)], "tag int, table_name string, constraint_name string")
+    return rows.join(found, "tag", "left").select(
+        "table_name", "constraint_name", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
+
+
+def all_unique_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every UNIQUE constraint by one shuffle of tagged keys."""
+    dups = _repeated_keys([(tables[n], i, list(keys)) for i, (n, keys) in enumerate(UNIQUE.items())])
+    found = dups.groupBy("tag").agg(F.count(F.lit(1)).alias("violations"))
+    return _counted(dups.sparkSession, found, [(n, f"unique ({', '.join(k)})") for n, k in UNIQUE.items()])
+
+
+def all_foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every foreign key in one pass: each table is scanned once, as child and as parent, its
+    keys unfolded to (constraint, key) rows that are counted in the map tasks and meet in one
+    shuffle. A NULL key refers to nothing."""
+    sides = []
+    for name, df in tables.items():
+        rows = [F.struct(F.lit(i).alias("tag"), F.col(fk).cast("string").alias("key"), F.lit(1).alias("n"),
+                         F.lit(False).alias("known"))
+                for i, (child, fk, _, _) in enumerate(FOREIGN_KEYS) if child == name]
+        rows += [F.struct(F.lit(i).alias("tag"), F.col(pk).cast("string").alias("key"), F.lit(0).alias("n"),
+                          F.lit(True).alias("known"))
+                 for i, (_, _, parent, pk) in enumerate(FOREIGN_KEYS) if parent == name]
+        sides.append(df.select(F.inline(F.array(*rows))))
+    met = reduce(DataFrame.unionByName, sides).where("key IS NOT NULL").groupBy("tag", "key").agg(
+        F.sum("n").alias("n"), F.bool_or("known").alias("known"))
+    found = met.where("NOT known").groupBy("tag").agg(F.sum("n").alias("violations"))
+    return _counted(met.sparkSession, found, [(t, f"{fk} references {p}") for t, fk, p, _ in FOREIGN_KEYS])
+

@@ -8,11 +8,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from siltstone.config import SILVER_SCHEMAS, PipelineConfig, SourceSpec
+from siltstone.config import CALENDAR_DATES, SILVER_SCHEMAS, PipelineConfig, SourceSpec
 from siltstone.functions.text import strip
 from siltstone.operators.dedup import insert_if_absent
 from siltstone.operators.keys import next_base, with_sequence
-from siltstone.operators.membership import flag_listed, orphan_keys, without
+from siltstone.operators.membership import flag_listed, orphan_keys_of, without
 from siltstone.operators.rules import split_by_verdict
 from siltstone.operators.validators import (
     VALIDATORS,
@@ -85,18 +85,19 @@ def flag_orphans(
 ) -> DataFrame:
     """Flag, per reference, rows whose parent is not in Silver.
 
-    The missing keys are found first, from the key columns alone, and written down;
+    The missing keys are found first, from the key columns alone in one pass, and written;
     there are few as a rule, so the wide rows are joined without being shuffled. A
     NULL key has no parent to miss and is not flagged (its own rule rejects it).
     """
+    if not spec.references:
+        return df
+    lost = lake.stage(orphan_keys_of(
+        keys_from, {r.column: strip(r.column) for r in spec.references},
+        {r.column: (lake.read("silver", r.parent), r.parent_key) for r in spec.references}), f"{stage}-orphans")
     for ref in spec.references:
         key, flag = key_column(ref.column), orphan_flag(ref.column)
-        parents = lake.read("silver", ref.parent)
-        df = df.withColumn(key, strip(ref.column))
-        keys = keys_from.select(strip(ref.column).alias(key))
-        lost = lake.stage(
-            orphan_keys(keys, parents, ref.parent_key), f"{stage}-orphans/{ref.column}")
-        df = flag_listed(df, key, lost, flag).drop(key)
+        mine = lost.filter(F.col("reference") == ref.column).select("key")
+        df = flag_listed(df.withColumn(key, strip(ref.column)), key, mine, flag).drop(key)
     return df
 
 
@@ -217,18 +218,21 @@ def load_silver(
     valid, rejected = split_by_verdict(decided, "_failed")
 
     passed = duplicates = 0
+    days = (None, None)
     if total > rejected_n:
+        if spec.bucketed:
+            lake.bucket_by("silver", spec.silver_table, list(spec.natural_key))
         new = insert_if_absent(
             valid_rows(valid, spec),
-            lake.read("silver", spec.silver_table),
+            lake.read_bucketed("silver", spec.silver_table),
             list(spec.natural_key),
             [f"_by_{c}" for c in spec.first_by],
         )
         added = Observation()
         new = new.withColumn("validated_at", F.lit(at).cast("timestamp")).select(
-            *_silver_columns(spec)).observe(added, F.count(F.lit(1)).alias("n"))
+            *_silver_columns(spec)).observe(added, F.count(F.lit(1)).alias("n"), *_day_range(spec))
         lake.append(new, "silver", spec.silver_table)
-        passed = added.get["n"]
+        passed, days = added.get["n"], (added.get["first"], added.get["last"])
         duplicates = total - rejected_n - passed
     if rejected_n:
         told = explained(rejected, spec.name)
@@ -248,10 +252,19 @@ def load_silver(
     lake.log(
         "silver", run_id=run_id, source=spec.name, rows_passed=passed,
         rows_quarantined=rejected_n, rows_skipped_duplicate=duplicates, loaded_at=at,
-        bronze_runs=runs)
+        bronze_runs=runs, first_day=days[0], last_day=days[1])
     return counts
 
 
+def _day_range(spec: SourceSpec) -> list[Column]:
+    """First and last day the calendar needs for new rows."""
+    dates = CALENDAR_DATES.get(spec.silver_table, ())
+    if not dates:
+        return [F.max(F.lit(None).cast("date")).alias(n) for n in ("first", "last")]
+    low, high = (F.least(*dates), F.greatest(*dates)) if len(dates) > 1 else (F.col(dates[0]),) * 2
+    return [F.min(low).alias("first"), F.max(high).alias("last")]
+
+
 def _silver_columns(spec: SourceSpec) -> list[str]:
     return struct(SILVER_SCHEMAS[spec.silver_table]).names
 

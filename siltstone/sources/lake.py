@@ -4,22 +4,28 @@ Append tables are one directory. Tables that are rewritten keep numbered
 snapshots: a small file, written after the data and put in place by a rename, lists
 the folders a snapshot consists of. The newest one is current, so a reader never
 sees a half-written table or half an append, whatever markers Spark's committer
-leaves, and a plan may read the snapshot it replaces.
+leaves, and a plan may read the snapshot it replaces. The same file keeps the highest
+surrogate key, so that no later write has to look for it.
+
+Append tables that are joined with on a key may be bucketed by it (Spark's own buckets), so
+that the join moves the new rows only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.config import table_schema
 
 SNAPSHOTS = "_snapshots"
+_BUCKETS = "_buckets"
 
 
 def work_root(spark: SparkSession) -> str:
@@ -82,16 +88,19 @@ class Lake:
 
     # -- reading -----------------------------------------------------------
 
-    def read(self, layer: str, table: str, schema: str | None = None) -> DataFrame:
-        """Typed scan; an absent table reads as empty with the same columns.
+    def read(self, layer: str, table: str, schema: str | None = None, parts: set[str] | None = None) -> DataFrame:
+        """Typed scan; an absent table reads as empty with the same columns. ``parts`` limits it
+        to folders of those values.
 
         Snapshot folders of which none is committed are an error, not an empty table.
         """
         ddl = struct(schema or table_schema(layer, table))
         path = self.path(layer, table)
         paths = self.current_paths(layer, table)
+        if parts is not None:
+            paths = [p for p in paths if p.split("=")[-1] in parts]
         if not paths:
-            children = self._children(path)
+            children = [] if parts is not None else self._children(path)
             if any(c.startswith("v=") for c in children):
                 raise RuntimeError(f"{path} holds snapshot folders, but none was committed")
             if not children:
@@ -117,10 +126,14 @@ class Lake:
     def append(self, df: DataFrame, layer: str, table: str, **partition: str) -> None:
         """Append; ``partition`` names the one directory all rows belong to."""
         path = self.path(layer, table)
-        for column, value in partition.items():
-            path = f"{path}/{column}={value}"
-            df = df.drop(column)
-        df.write.mode("append").parquet(path)
+        if self.buckets(layer, table):
+            name, columns = self._bucketed(layer, table), struct(table_schema(layer, table)).names
+            df.select(*columns).write.insertInto(name)
+        else:
+            for column, value in partition.items():
+                path = f"{path}/{column}={value}"
+                df = df.drop(column)
+            df.write.mode("append").parquet(path)
         self._changed(layer)
 
     def put_partition(self, df: DataFrame, layer: str, table: str, **partition: str) -> None:
@@ -131,29 +144,79 @@ class Lake:
             df = df.drop(column)
         df.write.mode("overwrite").parquet(path)
 
-    def replace(self, df: DataFrame, layer: str, table: str) -> None:
-        """Write the next snapshot and let it become current on commit."""
-        self._write_snapshot(df, layer, table, [])
+    def replace(self, df: DataFrame, layer: str, table: str, **layout) -> set[str]:
+        """Write the next snapshot and let it become current on commit.
+
+        ``key`` names a surrogate key whose highest value the commit keeps, ``part`` a column
+        (not one of the table) by whose values the rows go to folders of their own, ``notes``
+        further values the commit keeps. Returns the parts written.
+        """
+        return self._write_snapshot([df], layer, table, [], **layout)
 
-    def append_to_current(self, df: DataFrame, layer: str, table: str) -> None:
+    def append_to_current(self, df: DataFrame, layer: str, table: str, **layout) -> set[str]:
         """The current snapshot's folders and one more, visible together once written."""
-        path = self.path(layer, table)
-        self._write_snapshot(df, layer, table, self._folders(path, self._snapshots(path)[-1]))
+        return self.rewrite_parts([df], layer, table, set(), **layout)
 
-    def _write_snapshot(self, df: DataFrame, layer: str, table: str, keep: list[str]) -> None:
+    def rewrite_parts(
+        self, frames: list[DataFrame], layer: str, table: str, parts: set[str], **layout
+    ) -> set[str]:
+        """A snapshot of the current one's folders but those of the named parts, and of the
+        frames' rows, each written to a folder of its own."""
+        path = self.path(layer, table)
+        current = self._folders(path, self._snapshots(path)[-1])
+        if parts and any("/" not in f for f in current):
+            raise ValueError(f"{path} was not written in parts")
+        kept = [f for f in current if f.split("=")[-1] not in parts]
+        return self._write_snapshot(frames, layer, table, kept, **layout)
+
+    def _write_snapshot(
+        self, frames: list[DataFrame], layer: str, table: str, keep: list[str],
+        key: str | None = None, part: str | None = None, notes: dict[str, str] | None = None,
+    ) -> set[str]:
         path = self.path(layer, table)
         taken = [int(c[2:]) for c in self._children(path) if c.startswith("v=")]
-        number = max([0, *taken, *(int(c) for c in self._snapshots(path))]) + 1
-        folder = f"v={number:08d}"
-        df.write.mode("errorifexists").parquet(f"{path}/{folder}")
+        snapshots = self._snapshots(path)
+        number = max([0, *taken, *(int(c) for c in snapshots)]) + 1
+        highest = self.current_max(layer, table, key) if key and keep else None
+        listed, written = list(keep), set()
+        for df in frames:
+            folder, seen = f"v={number:08d}", Observation()
+            if key:
+                df = df.observe(seen, F.max(key).alias("key"))
+            out = df.write.mode("errorifexists")
+            (out.partitionBy(part) if part else out).parquet(f"{path}/{folder}")
+            if key:
+                highest = max((k for k in (highest, seen.get["key"]) if k is not None), default=None)
+            dirs = [c for c in self._children(f"{path}/{folder}") if part and c.startswith(f"{part}=")]
+            listed += [f"{folder}/{c}" for c in dirs] if part else [folder]
+            written |= {c.split("=")[1] for c in dirs}
+            number += 1
+        number -= 1
+        if key and highest is not None:
+            notes = {**(notes or {}), key: highest}
+        listed += [f"#{k}={v}" for k, v in (notes or {}).items()]
         fs, draft = self._fs(f"{path}/{SNAPSHOTS}/.{uuid.uuid4().hex}")
         out = fs.create(draft)
-        out.write(bytearray("\n".join([*keep, folder]).encode()))
+        out.write(bytearray("\n".join(listed).encode()))
         out.close()
         _, final = self._fs(f"{path}/{SNAPSHOTS}/{number:08d}")
         if not fs.rename(draft, final):
             raise RuntimeError(f"snapshot {number} of {path} was committed by someone else")
         self._changed(layer)
+        return written
+
+    def snapshot(self, layer: str, table: str) -> str | None:
+        """Number of the current snapshot."""
+        taken = self._snapshots(self.path(layer, table))
+        return taken[-1] if taken else None
+
+    def note(self, layer: str, table: str, name: str) -> str | None:
+        """A value that the current commit keeps."""
+        path, current = self.path(layer, table), self.snapshot(layer, table)
+        for line in self._listed(path, current) if current else []:
+            if line.startswith(f"#{name}="):
+                return line.split("=", 1)[1]
+        return None
 
     def _changed(self, layer: str) -> None:
         if layer in ("silver", "gold"):
@@ -163,14 +226,17 @@ class Lake:
     def _snapshots(self, path: str) -> list[str]:
         return [c for c in self._children(f"{path}/{SNAPSHOTS}") if c.isdigit()]
 
-    def _folders(self, path: str, snapshot: str) -> list[str]:
+    def _listed(self, path: str, snapshot: str) -> list[str]:
         fs, p = self._fs(f"{path}/{SNAPSHOTS}/{snapshot}")
         stream = fs.open(p)
         try:
-            return bytes(stream.readAllBytes()).decode().split("\n")
+            return [line for line in bytes(stream.readAllBytes()).decode().split("\n") if line]
         finally:
             stream.close()
 
+    def _folders(self, path: str, snapshot: str) -> list[str]:
+        return [line for line in self._listed(path, snapshot) if not line.startswith("#")]
+
     def expire(self, layer: str, table: str, keep: int = 2) -> list[str]:
         """Drop all but the newest ``keep`` snapshots and the folders only they used;
         returns the folders. Folders above the newest snapshot may be in the making."""
@@ -180,13 +246,55 @@ class Lake:
         if not old:
             return []
         used = {c for s in taken[-keep:] for c in self._folders(path, s)}
-        lost = [c for c in self._children(path)
-                if c.startswith("v=") and c[2:] <= taken[-1] and c not in used]
+        whole = {c.split("/")[0] for c in used}
+        settled = [c for c in self._children(path) if c.startswith("v=") and c[2:] <= taken[-1]]
+        lost = [c for c in settled if c not in whole]
+        lost += [f"{c}/{part}" for c in settled if c in whole and c not in used
+                 for part in self._children(f"{path}/{c}") if "=" in part and f"{c}/{part}" not in used]
         for name in [*(f"{SNAPSHOTS}/{s}" for s in old), *lost]:
             fs, p = self._fs(f"{path}/{name}")
             fs.delete(p, True)
         return lost
 
+    # -- buckets -------------------------------------------------------------
+
+    def buckets(self, layer: str, table: str) -> int | None:
+        """Number of buckets of a bucketed table, else None."""
+        counts = [c for c in self._children(self.path(layer, table)) if c.startswith(f"{_BUCKETS}-")]
+        return int(counts[0].removeprefix(f"{_BUCKETS}-")) if counts else None
+
+    def bucket_by(self, layer: str, table: str, keys: list[str]) -> None:
+        """Let a table that holds nothing yet be bucketed by its keys, into as many buckets as
+        a shuffle has partitions, so that neither side of a join on them moves twice."""
+        if self.exists(layer, table) or self.buckets(layer, table):
+            return
+        count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        fs, p = self._fs(f"{self.path(layer, table)}/{_BUCKETS}-{count}")
+        out = fs.create(p)
+        out.write(bytearray(",".join(keys).encode()))
+        out.close()
+
+    def _bucketed(self, layer: str, table: str) -> str:
+        """The table's name in this application's catalog."""
+        path, count = self.path(layer, table), self.buckets(layer, table)
+        fs, p = self._fs(f"{path}/{_BUCKETS}-{count}")
+        stream = fs.open(p)
+        try:
+            keys = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        name = f"siltstone_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table_schema(layer, table)}) USING parquet "
+                           f"CLUSTERED BY ({keys}) INTO {count} BUCKETS LOCATION '{path}'")
+        return name
+
+    def read_bucketed(self, layer: str, table: str) -> DataFrame:
+        """A scan that tells its buckets to the optimizer; a plain one if there are none."""
+        if not self.buckets(layer, table):
+            return self.read(layer, table)
+        return self.spark.table(self._bucketed(layer, table))
+
     def log(self, layer: str, **values) -> None:
         """Add one row to the load log of a layer."""
         ddl = struct(table_schema(layer, "load_log"))
@@ -216,6 +324,9 @@ class Lake:
     # -- identifiers ---------------------------------------------------------
 
     def current_max(self, layer: str, table: str, column: str) -> int | None:
+        """Highest value of a surrogate key: from the current commit if it keeps that, else
+        from the column."""
         if not self.exists(layer, table):
             return None
-        return self.read(layer, table).agg(F.max(column)).first()[0]
+        noted = self.note(layer, table, column)
+        return int(noted) if noted else self.read(layer, table).agg(F.max(column)).first()[0]

@@ -290,6 +290,63 @@ def test_missing_date_stops_the_load(spark, done, role):
         rows.collect()
 
 
+@pytest.fixture
+def own_lake(spark, tmp_path):
+    config = write_files(tmp_path)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    run_pipeline(lake, config, AT)
+    return lake, config
+
+
+def test_merge_rewrites_changed_quarters_only(spark, own_lake):
+    lake, config = own_lake
+    paths = lambda: set(lake.current_paths("gold", "fact_shipment"))
+    fact = lambda: {r.shipment_id: r for r in lake.read("gold", "fact_shipment").collect()}
+    rows = lake.read("gold", "fact_shipment").drop("shipment_key")
+    may = rows.withColumns({"shipment_id": F.concat(F.lit("M-"), "shipment_id"), "eta_date_key": F.lit(20260505)})
+    gold.merge_fact(lake, may)
+    before, was = paths(), fact()
+    assert len(before) == 2 and len(was) == 6
+    gold.merge_fact(lake, rows)  # changes nothing, writes nothing
+    assert paths() == before
+    gold.merge_fact(lake, rows.where("shipment_id = 'SHP-1'").withColumn("status", F.lit("Closed")))
+    now = fact()
+    assert {p for p in before if p.endswith("=20262")} <= paths() and len(paths() - before) == 1
+    assert {k: v.shipment_key for k, v in now.items()} == {k: v.shipment_key for k, v in was.items()}
+    assert {k for k in now if now[k] != was[k]} == {"SHP-1"} and now["SHP-1"].status == "Closed"
+    # A new row of a written quarter is a folder of its own, with a key above all others.
+    gold.merge_fact(lake, rows.where("shipment_id = 'SHP-2'").withColumn("shipment_id", F.lit("N")))
+    assert fact()["N"].shipment_key > max(v.shipment_key for v in was.values())
+    assert lake.current_max("gold", "fact_shipment", "shipment_key") == fact()["N"].shipment_key
+    total = views.kpi_totals(views.sums_of(lake)).first()
+    assert total == views.kpi_totals(lake.read("gold", "fact_shipment")).first() and total.total_shipments == 7
+
+
+def test_sums_that_are_not_of_the_current_fact_are_not_used(spark, own_lake):
+    lake, config = own_lake
+    rows = lake.read("gold", "fact_shipment").drop("shipment_key").withColumn("shipment_id", F.concat(F.lit("x"), "shipment_id"))
+    real, gold.write_sums = gold.write_sums, lambda *a: None  # a load that dies between the two
+    try:
+        gold.merge_fact(lake, rows)
+    finally:
+        gold.write_sums = real
+    assert views.kpi_totals(views.sums_of(lake)).first().total_shipments == 6
+    gold.merge_fact(lake, rows.withColumn("shipment_id", F.concat(F.lit("y"), "shipment_id")))
+    assert lake.note("gold", "fact_summary", "fact") == lake.snapshot("gold", "fact_shipment")
+    assert views.kpi_totals(views.sums_of(lake)).first().total_shipments == 9
+
+
+def test_calendar_years_come_from_the_log_or_the_rows(spark, own_lake):
+    lake, config = own_lake
+    config = replace(config, calendar_start_year=2026, calendar_end_year=2026)
+    years = lambda: tuple(gold.calendar_years(lake, config).first())
+    assert years() == (2026, 2026)
+    row = lake.read("silver", "shipment_records").limit(1).withColumns(
+        {"shipment_id": F.lit("late"), "eta": F.lit("2031-05-01").cast("date")})
+    lake.append(row, "silver", "shipment_records")  # and its load was never logged
+    assert years() == (2026, 2031)
+
+
 @pytest.mark.parametrize("year, days", [(2025, 365), (2024, 366)])
 def test_calendar(spark, year, days):
     rows = {r.date_key: r for r in gold.calendar(years(spark, year, year)).collect()}

@@ -95,3 +95,30 @@ def test_constraint_counters(spark):
             df, "t", "k", spark.createDataFrame([("b",)], "id string"), "p", "id"))
     assert {r.constraint_name: r.violations for r in rows.collect()} == {
         "k not null": 1, "n not null": 1, "n > 0": 1, "unique (k)": 1, "k references p": 2}
+
+
+def test_foreign_keys_of_all_tables_count_rows_without_a_parent(spark):
+    """Planted orphans, a hot one among them; NULL refers to nothing; absent rows count 0."""
+    tables = {}
+    for child, fk, parent, pk in quality.FOREIGN_KEYS:
+        tables.setdefault(child, {}).setdefault(fk, [1, 2, 2, 7, 7, 7, None])
+        tables.setdefault(parent, {}).setdefault(pk, [1, 2, 3, 4, 5, 6, 8])
+    frames = {n: spark.createDataFrame(list(zip(*c.values(), strict=True)), ", ".join(f"{k} string" for k in c))
+              for n, c in tables.items()}
+    got = {(r.table_name, r.constraint_name): r.violations for r in quality.all_foreign_key_violations(frames).collect()}
+    assert len(got) == len(quality.FOREIGN_KEYS)
+    for child, fk, parent, pk in quality.FOREIGN_KEYS:
+        known = set(tables[parent][pk])
+        assert got[child, f"{fk} references {parent}"] == sum(k is not None and k not in known for k in tables[child][fk])
+    none = {n: df.limit(0) for n, df in frames.items()}
+    assert {r.violations for r in quality.all_foreign_key_violations(none).collect()} == {0}
+
+
+def test_unique_keys_of_all_tables(spark):
+    frames = {n: spark.createDataFrame([("a",) * len(k), ("a",) * len(k), ("b",) * len(k), (None,) * len(k)],
+                                       ", ".join(f"{c} string" for c in k)) for n, k in quality.UNIQUE.items()}
+    assert {r.violations for r in quality.all_unique_violations(frames).collect()} == {1}
+    listed = quality.uniqueness_of([(frames["silver.purchase_orders"], "purchase_orders", ["po_id"]),
+                                    (frames["silver.shipment_records"].limit(1), "shipment_records", ["shipment_id"])])
+    assert {(r.status, json.loads(r.details)["duplicate_count"], tuple(json.loads(r.details)["duplicate_keys"]))
+            for r in listed.collect()} == {("FAIL", 1, ("a",)), ("PASS", 0, ())}

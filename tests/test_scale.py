@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from siltstone.config import SOURCES
 from siltstone.operators.dedup import first_per_key, insert_if_absent
-from siltstone.operators.membership import flag_listed, orphan_keys, orphan_rows
-from siltstone.plans import gold, silver, views
+from siltstone.operators.membership import flag_listed, orphan_keys, orphan_keys_of, orphan_rows
+from siltstone.plans import gold, quality, silver, views
 from siltstone.plans.workspace import Workspace
 from siltstone.queries import QUERIES
 from siltstone.sources.bronze import land
@@ -163,6 +163,65 @@ def test_hot_order_is_split_in_the_fact_join(spark, no_broadcast):
             spark.conf.unset(k)
 
 
+def test_orphans_of_several_references_in_one_pass(spark, no_broadcast):
+    rows = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y"), ("a", "z")], "p string, q string")
+    one, two = (spark.createDataFrame([(v,) for v in known], "id string") for known in (["a"], ["x", "b"]))
+    lost = orphan_keys_of(rows, {"p": F.col("p"), "q": F.col("q")}, {"p": (one, "id"), "q": (two, "id")})
+    assert plan(lost).count("Scan ExistingRDD") == 3  # the rows once, each parent once
+    assert {tuple(r) for r in lost.collect()} == {("p", "b"), ("q", "y"), ("q", "z")}
+
+
+def test_a_busy_day_is_split_in_the_fact_layout(spark):
+    """A third of all shipments on one eta: no task gets more than twice the median."""
+    rows = spark.range(90_000).selectExpr(
+        "concat('S', id) shipment_id", "IF(id % 3 = 0, 19970415, 19950101 + cast(id % 28 as int)) eta_date_key")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in gold.by_eta(rows).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 30 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_a_delivery_meets_bucketed_history_without_moving_it(spark, tmp_path, no_broadcast):
+    spec = SOURCES["purchase_orders"]
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.bucket_by("silver", spec.silver_table, ["po_id"])
+    rows = lambda lo, hi: spark.range(lo, hi).selectExpr(
+        "concat('P', id) po_id", "'S' supplier_id", "'M' medicine_id", "date'2026-01-01' order_date", "1 quantity",
+        "cast(1 as decimal(12,2)) total_cost", "'USD' currency", "id bronze_id", "timestamp'2026-01-01' validated_at")
+    lake.append(rows(0, 5000), "silver", spec.silver_table)
+    new = insert_if_absent(rows(4000, 6000), lake.read_bucketed("silver", spec.silver_table), ["po_id"], ["bronze_id"])
+    assert shuffles(new) == 1 and "Bucketed: true" in plan(new)
+    assert {r.po_id for r in new.select("po_id").collect()} == {f"P{i}" for i in range(5000, 6000)}
+    lake.append(new, "silver", spec.silver_table)
+    # Another application knows the buckets from the table's folder; a plain scan sees all rows.
+    again = Lake(spark, str(tmp_path / "lake"))
+    assert again.buckets("silver", spec.silver_table) == 8
+    assert again.read("silver", spec.silver_table).count() == again.read_bucketed("silver", spec.silver_table).count() == 6000
+
+
+@needs_data
+def test_dashboards_do_not_scan_the_fact(spark):
+    w = Workspace.of(spark, SF)
+    w.star()
+    for df in (views.performance_of(w.lake), views.kpi_totals(views.sums_of(w.lake)),
+               views.volume_by_month(views.sums_of(w.lake))):
+        assert "n:bigint" in plan(df) and not re.search("shipment_id|is_delayed|eta_date_key", plan(df))
+
+
+@needs_data
+def test_foreign_keys_scan_each_table_once(spark):
+    w = Workspace.of(spark, SF)
+    w.star()
+    w.all_silver()
+    text = plan(quality.verify_constraints(w.lake, ("fk",)))
+    tables = {n for f in quality.FOREIGN_KEYS for n in (f[0], f[2])}
+    assert text.count("FileScan parquet") == len(tables)
+
+
 @needs_data
 def test_scorecard_aggregates_before_joining(spark, no_broadcast):
     w = Workspace.of(spark, SF)
