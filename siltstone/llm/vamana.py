@@ -18,8 +18,10 @@ from siltstone.llm.common import written
 
 #: Vectors of a shard, out-edges, beam width of building and of searching, relaxed pruning.
 SHARD, DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 8192, 32, 64, 96, 1.2
-#: Points inserted together; queries of a block.
-BATCH, QUERY_BLOCK = 256, 4096
+#: Points inserted together; bytes of the queries of a block, against which a shard's copy is small.
+BATCH, QUERY_BYTES = 256, 1 << 25
+#: Entry points spread over a shard, and edges of each point that no pruning takes away.
+ENTRIES, FIXED = 64, 2
 
 
 def _sq(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -37,7 +39,7 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: np.ndarray, queri
     """
     b, n = len(queries), len(vectors)
     ids = np.full((b, beam), -1, np.int64)
-    dist = np.full((b, beam), np.inf, np.float32)
+    dist = np.full((b, beam), np.inf, vectors.dtype)
     done = np.ones((b, beam), bool)
     seen = np.zeros((b, n), bool)
     m = len(entry)
@@ -57,7 +59,7 @@ def beam_search(vectors: np.ndarray, graph: np.ndarray, entry: np.ndarray, queri
         near = graph[ids[live, first]]
         new = (near >= 0) & ~seen[live[:, None], near]
         seen[np.repeat(live, new.sum(1)), near[new]] = True
-        d = np.where(new, _sq(queries[live], vectors[near]), np.inf).astype(np.float32)
+        d = np.where(new, _sq(queries[live], vectors[near]), np.inf).astype(vectors.dtype)
         all_d = np.concatenate([dist[live], d], axis=1)
         all_i = np.concatenate([ids[live], near], axis=1)
         all_k = np.concatenate([done[live], ~new], axis=1)
@@ -100,29 +102,90 @@ def robust_prune(vectors: np.ndarray, points: np.ndarray, cand: np.ndarray, degr
     return out
 
 
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, float]:
+    """The vectors times a power of two that brings the largest component near one, and that
+    power: in single precision, or in double if the smallest vectors would vanish there."""
+    size = np.abs(vectors).max(axis=1)
+    power = 2.0 ** -np.floor(np.log2(size.max()))
+    out = vectors * power
+    return (out if size.min() * power < 2.0**-40 else out.astype(np.float32)), power
+
+
+def spread_points(vectors: np.ndarray, count: int) -> np.ndarray:
+    """The point nearest the middle, then each time the one farthest from those taken: every
+    well separated group gets one."""
+    at = int(np.argmin(((vectors - vectors.mean(0)) ** 2).sum(1)))
+    far, out = np.full(len(vectors), np.inf), []
+    while len(out) < min(count, len(vectors)) and far[at] > 0:
+        out.append(at)
+        far = np.minimum(far, ((vectors - vectors[at]) ** 2).sum(1))
+        at = int(np.argmax(far))
+    return np.array(out)
+
+
+def reached_from(graph: np.ndarray, start: np.ndarray, reached: np.ndarray) -> np.ndarray:
+    """Marks what can be walked to from the start in ``reached``, and returns it."""
+    todo = start[~reached[start]]
+    reached[todo] = True
+    while len(todo):
+        near = graph[todo]
+        near = np.unique(near[near >= 0])
+        todo = near[~reached[near]]
+        reached[todo] = True
+    return reached
+
+
+def with_all_reached(vectors: np.ndarray, graph: np.ndarray, entry: np.ndarray, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and edges added until every point can be walked to from an entry: a part of
+    ``least`` points or more gets an entry of its own, a smaller one an edge from the nearest
+    reached point."""
+    reached = reached_from(graph, entry, np.zeros(len(graph), bool))
+    while not reached.all():
+        u = int(np.argmin(reached))
+        part = reached_from(graph, np.array([u]), reached.copy()) & ~reached
+        if part.sum() >= least:
+            entry = np.append(entry, u)
+        else:
+            known = np.flatnonzero(reached)
+            from_ = known[np.argmin(((vectors[known] - vectors[u]) ** 2).sum(1))]
+            free = np.flatnonzero(graph[from_] < 0)
+            if not len(free):
+                graph = np.hstack([graph, np.full((len(graph), 1), -1, np.int64)])
+                free = [graph.shape[1] - 1]
+            graph[from_, free[0]] = u
+        reached |= part
+    return graph, np.sort(entry)
+
+
 def build_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA,
                 batch: int = BATCH, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Out-neighbours of every point and the entry points of a search.
 
     Two passes over the points in random order, the first with alpha 1; points of a batch are
-    searched in the graph as it stood before the batch.
+    searched in the graph as it stood before the batch. Entries are spread over the shard, and
+    besides its pruned edges each point keeps ``FIXED`` random ones, so that groups far apart
+    are found while building and in a search. At the end nothing is left that the pruned edges
+    alone do not reach.
     """
     n = len(vectors)
     rng = np.random.default_rng(seed)
-    middle = int(np.argmin(((vectors - vectors.mean(0)) ** 2).sum(1)))
-    entry = np.unique(np.append(rng.choice(n, min(n, 8), replace=False), middle))
+    entry = spread_points(vectors, ENTRIES)
     graph = np.full((n, degree), -1, np.int64)
     start = rng.permutation(n)
-    for k in range(min(4, degree, n - 1)):  # a sparse random start keeps everything reachable
+    fixed = np.full((n, min(FIXED, n - 1)), -1, np.int64)
+    for k in range(fixed.shape[1]):
+        fixed[start, k] = np.roll(start, k + 1)
+    for k in range(min(4, degree, n - 1)):  # a sparse random start
         graph[start, k] = np.roll(start, k + 1)
     for a in (1.0, alpha):
         order = rng.permutation(n)
         for i in range(0, n, batch):
             p = order[i:i + batch]
-            found, _ = beam_search(vectors, graph, entry, vectors[p], beam)
+            found, _ = beam_search(vectors, np.hstack([graph, fixed]), entry, vectors[p], beam)
             graph[p] = robust_prune(vectors, p, np.concatenate([found, graph[p]], axis=1), degree, a)
             _mirror(vectors, graph, p, degree, a)
-    return graph, entry
+    graph, entry = with_all_reached(vectors, graph, entry)
+    return np.hstack([graph, fixed]), entry
 
 
 def _mirror(vectors: np.ndarray, graph: np.ndarray, points: np.ndarray, degree: int, alpha: float) -> None:
@@ -180,11 +243,10 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("vec_ids", key=lambda s: s.map(lambda x: x[0]), ignore_index=True)
-        vectors = np.stack(group["vector"].to_numpy()).astype(np.float32)
-        graph, entry = build_graph(vectors)
+        graph, entry = build_graph(scaled(np.stack(group["vector"].to_numpy()))[0])
         return pd.DataFrame({"dim": group["dim"], "shard": group["shard"], "node": np.arange(len(group)),
                              "vec_ids": group["vec_ids"], "vector": group["vector"],
-                             "edges": [e[e >= 0].astype(np.int32) for e in graph],
+                             "edges": [np.unique(e[e >= 0]).astype(np.int32) for e in graph],
                              "entry": np.isin(np.arange(len(group)), entry)})
 
     return dealt.select("dim", "shard", "vec_ids", "vector").repartition(parts, "dim", "shard").groupBy(
@@ -192,15 +254,17 @@ def build_index(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = SEARCH_BEAM,
-           block: int = QUERY_BLOCK) -> DataFrame:
+           block_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest found, but for its own vec_id.
 
     queries: vec_id and vector; a vec_id with several vectors asks with the smallest. Distance
     is Euclidean in double precision on the original vectors; ties go to the smaller vec_id.
-    The index is given to each block of queries, so a task holds one shard and one block.
+    The index is given to each block of queries, so a task holds one shard and one block; a
+    block's queries are many times a shard's bytes, so the queries are what moves.
     """
     asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(3), F.col("vec_id")), F.lit(max(1, -(-asked.count() // block)))))
+    size = asked.agg(F.sum(8 * F.size("vector"))).first()[0] or 0
+    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(3), F.col("vec_id")), F.lit(max(1, -(-size // block_bytes)))))
     shards = index.select("dim", "shard").distinct()
     places = shards.groupBy("dim").agg(F.max("shard").alias("last"))
     blocks = asked.select("block", F.size("vector").alias("dim")).distinct()
@@ -220,11 +284,15 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = SEARCH
         for i, e in enumerate(nodes["edges"]):
             graph[i, :len(e)] = e
         entry = np.flatnonzero(nodes["entry"].to_numpy())
+        held, power = scaled(vectors)
         out = []
         for lo in range(0, len(asks), BATCH):
             part = asks.iloc[lo:lo + BATCH]
             wanted = np.stack(part["vector"].to_numpy())
-            found, _ = beam_search(vectors.astype(np.float32), graph, entry, wanted.astype(np.float32), beam)
+            # Queries of quite another size than the shard's vectors walk in double precision.
+            far = np.abs(wanted).max() * power > 2.0**40
+            walked = vectors * power if far and held.dtype == np.float32 else held
+            found, _ = beam_search(walked, graph, entry, (wanted * power).astype(walked.dtype), beam)
             found = found[:, :3 * (k + 1)]
             exact = _sq(wanted.astype(np.float64), vectors[found].astype(np.float64))
             for q, ids, d in zip(part["vec_id"], found, exact, strict=True):

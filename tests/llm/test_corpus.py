@@ -45,6 +45,49 @@ def exact(rows, every, k):
     return out
 
 
+@pytest.mark.parametrize("groups, each", [(16, 256), (64, 128), (64, 64), (1, 4096), (200, 20)])
+def test_search_finds_separated_groups(groups, each):
+    """Recall in one shard of groups far apart, whose nearest neighbours are all their own."""
+    rng = np.random.default_rng(groups)
+    centres = rng.normal(size=(groups, 64))
+    x = (np.repeat(centres, each, axis=0) + 0.3 * rng.normal(size=(groups * each, 64))).astype(np.float32)
+    graph, entry = vamana.build_graph(x)
+    assert vamana.reached_from(graph[:, :-vamana.FIXED], entry, np.zeros(len(x), bool)).all()
+    asked = rng.choice(len(x), 200, replace=False)
+    found, _ = vamana.beam_search(x, graph, entry, x[asked], vamana.SEARCH_BEAM)
+    hits = [len(set(near[:11]) & set(np.argsort(((x - q) ** 2).sum(1), kind="stable")[:11])) / 11
+            for near, q in zip(found, x[asked], strict=True)]
+    assert np.mean(hits) >= 0.95 and np.mean(np.array(hits) < 0.5) <= 0.01
+
+
+def test_points_without_an_edge_to_them_get_one():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 4))
+    graph = np.full((60, 2), -1, np.int64)
+    graph[:30, 0] = np.roll(np.arange(30), 1)  # one ring; another; ten points alone
+    graph[30:50, 0] = np.roll(np.arange(30, 50), 1)
+    graph, entry = vamana.with_all_reached(x, graph, np.array([0]))
+    assert vamana.reached_from(graph, entry, np.zeros(60, bool)).all() and len(entry) == 2
+
+
+@pytest.mark.parametrize("size", [1e20, 1e-20, 1.0])
+def test_search_over_several_shards_at_any_size(spark, size):
+    rng = np.random.default_rng(4)
+    x = (rng.normal(size=(600, 6)) * size).astype(np.float32)
+    rows = [(i, [float(c) for c in v], "x", 0) for i, v in enumerate(x)]
+    rows += [(1000, [float(np.float32(size * 1e-12)), 0.0, 0.0, 0.0, 0.0, 0.0], "x", 0)]  # much smaller than the rest
+    df = vectors(spark, rows)
+    index = vamana.build_index(df, shard=150)
+    assert index.select("dim", "shard").distinct().count() == 5
+    got = defaultdict(list)
+    for r in vamana.search(index, vamana.usable(df.where("vec_id % 50 = 0"), "vec_id", "embedding"), block_bytes=200).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    want = exact(rows, 50, 10)
+    assert set(got) == set(want) and len(got) == 13
+    hits = [len({v for _, v, _ in got[q]} & {v for v, _ in want[q]}) for q in want]
+    assert sum(hits) >= 0.95 * 10 * len(hits) and all(math.isfinite(d) for near in got.values() for _, _, d in near)
+
+
 def test_search_on_awkward_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=8).astype(np.float32)], "x", 7) for i in range(400)]
