@@ -296,12 +296,33 @@ def test_awkward_texts_get_a_score(spark, awkward):
     assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
 
 
-def test_prior_of_a_known_mixture():
+def unlabelled(spark, x):
+    rows = [([float(c) for c in v], i % 2) for i, v in enumerate(x)]
+    return pulearn.Unlabelled(spark.createDataFrame(rows, "x array<float>, half int").repartition(5))
+
+
+def test_prior_and_risk_over_all_unlabelled_rows(spark):
+    """The prior of a known mixture, and weights at which the plain risk over all rows is least."""
     rng = np.random.default_rng(3)
-    one = lambda x: np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    pos = one(rng.normal(2, 1, (3000, 2)))
-    unl = one(np.vstack([rng.normal(2, 1, (2100, 2)), rng.normal(-2, 1, (900, 2))])[rng.permutation(3000)])
-    assert abs(pulearn.estimate_prior(pos, unl) - 0.7) < 0.08
+    n = pulearn.N_FEATURES
+    draw = lambda mean, size: rng.normal(mean, 1, (size, n)) * (np.arange(n) < 2)
+    pos = draw(2, 3000)
+    unl = np.vstack([draw(2, 2100), draw(-2, 900)])[rng.permutation(3000)].astype(np.float32)
+    rows = unlabelled(spark, unl)
+    assert np.allclose(rows.total(lambda x: np.append(x.sum(0), len(x))), np.append(unl.sum(0, dtype=float), 3000))
+    assert np.allclose(rows.quantiles()[:, 0], np.quantile(unl[:, 0], [0.1, 0.5, 0.9]), atol=0.02)
+    model = pulearn.fit(pos, rows)
+    assert abs(model["prior"] - 0.7) < 0.08
+    p, u, pi = pulearn.expand(model, pos), pulearn.expand(model, unl), model["prior"]
+
+    def risks(w):
+        negative = np.logaddexp(0, u @ w).mean() - pi * np.logaddexp(0, p @ w).mean()
+        return pi * np.logaddexp(0, -p @ w).mean() + negative + pulearn.DECAY / 2 * w @ w, negative
+
+    least, negative = risks(model["w"])
+    assert negative >= 0 and least < risks(np.zeros(2 * n + 1))[0]
+    if negative > 1e-3:  # away from the bound: no small step is better
+        assert all(risks(model["w"] + 0.05 * rng.normal(size=2 * n + 1))[0] >= least - 1e-6 for _ in range(50))
 
 
 # -- language model ----------------------------------------------------------------
