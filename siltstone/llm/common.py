@@ -57,6 +57,17 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(text, WORD_GAP), ""), F.array().cast("array<string>"))
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def content(docs: DataFrame, *but: str) -> Column:
+    """Hash of all columns but those named, to tell rows apart that agree in them."""
+    others = [column(c) for c in docs.columns if c not in but]
+    return F.xxhash64(F.to_json(F.struct(*others)) if others else F.lit(0))
+
+
 def crc_part(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts`` (an id of NULL counts as '')."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

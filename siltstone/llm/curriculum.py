@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import words, written
+from siltstone.llm.common import content, words, written
 
 #: Rows (of all sources) per range of the hash, in which running sums are taken.
 ROWS_PER_BUCKET = 5_000
@@ -123,8 +123,8 @@ def schedule(planned: DataFrame) -> DataFrame:
 ORDER = ("position", "k1", "k2", "copy", "before")
 
 
-def _keys() -> list[Column]:
-    return [F.xxhash64(F.lit(n), "doc_id", F.lit("|"), "source", F.lit("|"), "text").alias(f"k{n}") for n in (1, 2)]
+def _keys(*more: Column) -> list[Column]:
+    return [F.xxhash64(F.lit(n), "doc_id", F.lit("|"), "source", F.lit("|"), "text", *more).alias(f"k{n}") for n in (1, 2)]
 
 
 def deal(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
@@ -165,10 +165,12 @@ def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
     """The documents in training order: a row per copy taken, range-sorted by position.
 
     The plan is made without the texts; they meet their copies in one join on a 128-bit key of
-    doc_id, source and text, and move once more in the sort. Rows that agree in all three are
-    interchangeable: the copies show one of them.
+    all columns, and move once more in the sort. Only rows equal in every column share a key:
+    the copies of one stand for the others. A text of NULL or without words has size 0 and is
+    never taken; a NULL doc_id or source is a value like others; empty table: empty result.
     """
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text", *_keys())
+    keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text",
+                        *_keys(content(docs, "doc_id", "source", "text")))
     copies = schedule(plan(keyed, max_repeat, seed, carry=["k1", "k2"])).select("k1", "k2", "position", "copy", "before")
     rows = keyed.select("_row", "k1", "k2").dropDuplicates(["k1", "k2"])
     return rows.join(copies, ["k1", "k2"]).orderBy(*ORDER).select("_row.*")

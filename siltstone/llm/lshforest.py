@@ -1,47 +1,68 @@
 """Near-duplicate texts by a MinHash LSH forest, verified exactly.
 
-Every text gets a MinHash signature, cut into one label per tree. Two texts are candidates if
-their labels share a prefix in some tree; prefixes are shortened from the full label until a
-pair at the similarity asked for meets with the target recall. Candidates whose signatures
-agree enough are joined into components, and within a component all pairs are compared on
-their whole shingle sets.
+Every text gets a MinHash signature, cut into one label per tree; a tree is the trie of its
+sorted labels. Texts first meet under their full labels, then under prefixes shortened step by
+step. What has met and agrees in its signature is joined, and a node all of whose texts are
+joined by then is closed: nothing in it is compared again, nor moved. Shortening ends, text by
+text, where a pair at the similarity asked for meets in some tree with the target recall (a text
+too short to be like any other set of shingles ends at the full label), or before, where a
+text's nodes hold nobody else or are closed. A closed node loses nothing, as all pairs of a
+joined component are compared afterwards on their whole shingle sets.
 
 Texts with the same words are one class from the start, so copies are never paired. Crowded
-nodes and large components are cut into blocks, and pairs of blocks are tasks of bounded size
-that return link counts and a spanning forest, never the pairs themselves.
+nodes and large components are cut into blocks, by number and by bytes, and pairs of blocks are
+tasks of bounded size that return link counts and a spanning forest, never the pairs themselves.
+Nodes are found by a hash of tree and prefix, counted in the map tasks first, so that a crowded
+one is no partition of a sort.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import shingles
-from siltstone.llm.common import batches_by_size, written
+from siltstone.llm.common import batches_by_size, content, written
 
-#: Words of a shingle; trees and label length; chance to meet that a pair at the threshold has.
+#: Words of a shingle; trees and label length; chance to be found that a pair at the threshold has.
 WIDTH, TREES, LABEL, RECALL = 5, 16, 8, 0.9995
-#: Signatures must agree to the threshold less this (over four standard deviations).
-MARGIN = 0.15
-#: Texts of a block of signatures, and of a block of shingle sets.
-NODE_BLOCK, SET_BLOCK = 1024, 256
+#: MinHashes that a prefix loses from one exchange to the next (within one, it loses them one by one).
+STEP = 2
+#: Texts of a block of signatures; texts and bytes of a block of shingle sets.
+NODE_BLOCK, SET_BLOCK, SET_BYTES = 1024, 256, 32 << 20
 
 _rng = np.random.default_rng(128)
 _A = (_rng.integers(0, 1 << 63, TREES * LABEL).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _B = _rng.integers(0, 1 << 63, TREES * LABEL).astype(np.uint64)
 
 
-def prefix_length(threshold: float, recall: float = RECALL, trees: int = TREES, label: int = LABEL) -> int:
-    """The longest prefix at which pairs at the threshold meet in some tree often enough."""
+def least_agreement(threshold: float, recall: float = RECALL, n: int = TREES * LABEL) -> int:
+    """How many of n MinHashes must agree: pairs at the threshold fall below with a hundredth of the loss allowed."""
+    below, k = 0.0, 0
+    while (below := below + math.comb(n, k) * threshold**k * (1 - threshold)**(n - k)) <= (1 - recall) / 100:
+        k += 1
+    return k
+
+
+def shortest_prefix(threshold: float, recall: float = RECALL, trees: int = TREES, label: int = LABEL) -> int:
+    """The longest prefix at which pairs at the threshold meet in some tree with the recall."""
     for depth in range(label, 1, -1):
-        if 1 - (1 - threshold**depth) ** trees >= recall:
+        if 1 - (1 - threshold**depth) ** trees >= recall + (1 - recall) / 100:
             return depth
     return 1
 
 
+def steps(threshold: float) -> list[int]:
+    """Prefix lengths of the exchanges: the full label, then shorter by STEP down to the shortest."""
+    last = shortest_prefix(threshold)
+    return [*range(LABEL, last, -STEP), last]
+
+
 def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """MinHash values (texts x TREES * LABEL); texts without windows get zeros."""
     out = np.zeros((len(counts), len(_A)), np.uint32)
@@ -53,11 +74,8 @@ def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def sign(docs: DataFrame, depth: int) -> DataFrame:
-    """Per row: doc_id, h (hash of the text), key (128 bits of its words), sig, nodes.
-
-    nodes: a hash of each tree's label prefix; none for a text without words.
-    """
+def sign(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, h (hash of the text), key (128 bits of its words), sig, windows (0 without words)."""
 
     def run(batches):
         for b in batches:
@@ -66,21 +84,14 @@ def sign(docs: DataFrame, depth: int) -> DataFrame:
                 w, counts = shingles.words(texts[lo:hi])
                 keys = shingles.sequences(w, counts)
                 hashes, n = shingles.windows(w, counts, WIDTH)
-                sig = signatures(hashes, n)
-                labels = sig.reshape(len(sig), TREES, LABEL)[:, :, :depth].astype(np.uint64)
-                node = np.broadcast_to(np.arange(TREES, dtype=np.uint64), (len(sig), TREES)).copy()
-                for j in range(depth):
-                    node = shingles.mix(node + labels[:, :, j] * np.uint64(0x9E3779B97F4A7C15))
-                node = node.view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id").slice(lo, hi - lo), b.column("h").slice(lo, hi - lo),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
-                    pa.array([s.tobytes() for s in sig], pa.binary()),
-                    pa.array([x if k else [] for x, k in zip(node, n, strict=True)], pa.list_(pa.int64()))],
-                    ["doc_id", "h", "key", "sig", "nodes"])
+                    pa.array([s.tobytes() for s in signatures(hashes, n)], pa.binary()), pa.array(n, pa.int64())],
+                    ["doc_id", "h", "key", "sig", "windows"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(
-        run, "doc_id long, h long, key binary, sig binary, nodes array<long>")
+        run, "doc_id long, h long, key binary, sig binary, windows long")
 
 
 def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
@@ -100,18 +111,18 @@ def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def paired_blocks(members: DataFrame, group: str, size: int) -> DataFrame:
-    """Members of groups of two or more, dealt to pairs of blocks (columns bi <= bj, b).
+def paired_blocks(members: DataFrame, group: str, blocks: Column, wanted: Column) -> DataFrame:
+    """Members of the wanted groups, dealt to pairs of blocks (columns bi <= bj, b).
 
-    A group of up to ``size`` members is one block; a larger one is cut into blocks by a hash
-    of the member, and each member goes to one pair per block. Every two members meet once.
+    ``blocks`` (into how many a group is cut, by a hash of the member) and ``wanted`` are
+    aggregates of the group. Each member goes to one pair per block; every two members meet once.
     """
-    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").withColumnRenamed(group, "_g")
+    counts = members.groupBy(group).agg(F.ceil(blocks).cast("int").alias("_n"), wanted.alias("_wanted"))
+    counts = counts.where("_wanted").select(F.col(group).alias("_g"), "_n")
     d = members.join(counts, F.col(group) == F.col("_g")).drop("_g")
-    d = d.withColumn("_n", F.ceil(F.col("_m") / size).cast("int")).withColumn(
-        "b", F.pmod(F.xxhash64(F.lit(7), "key"), F.col("_n")).cast("int"))
+    d = d.withColumn("b", F.pmod(F.xxhash64(F.lit(7), "key"), F.col("_n")).cast("int"))
     d = d.withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return d.withColumns({"bi": F.least("b", "_x"), "bj": F.greatest("b", "_x")}).drop("_m", "_n", "_x")
+    return d.withColumns({"bi": F.least("b", "_x"), "bj": F.greatest("b", "_x")}).drop("_n", "_x")
 
 
 def _across(pdf: pd.DataFrame, agree: np.ndarray) -> np.ndarray:
@@ -123,23 +134,94 @@ def _across(pdf: pd.DataFrame, agree: np.ndarray) -> np.ndarray:
     return agree
 
 
-def candidate_edges(classes: DataFrame, threshold: float) -> DataFrame:
-    """Edges (a, b) that span the texts that meet in a node and whose signatures agree enough."""
-    entries = classes.select("key", F.explode("nodes").alias("node"))
-    met = paired_blocks(entries, "node", NODE_BLOCK).join(classes.select("key", "sig"), "key")
-    least = (threshold - MARGIN) * TREES * LABEL
+def entries(classes: DataFrame, threshold: float) -> DataFrame:
+    """key, tree and a node per exchange (n8, n6, ...), of texts that meet somebody under the shortest prefix.
+
+    Who is alone in a node is so under every longer prefix. A text of n windows is at most n / (n + 1)
+    like another set; where that is under the threshold, only equal sets count, which agree in
+    whole labels: its shorter prefixes are NULL.
+    """
+    depths = steps(threshold)
+    last = f"n{depths[-1]}"
+    nodes = F.array(*[F.struct(F.lit(t).alias("tree"), *[
+        F.xxhash64(F.lit(t), F.substring("sig", 1 + 4 * LABEL * t, 4 * d)).alias(f"n{d}") for d in depths])
+        for t in range(TREES)])
+    whole = F.col("windows") < threshold * (F.col("windows") + 1) - 1e-9
+    e = classes.where("windows > 0").select("key", whole.alias("whole"), F.explode(nodes).alias("_e")).select(
+        "key", "whole", "_e.*")
+    shared = e.groupBy(last).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select(F.col(last).alias("_g"))
+    e = e.join(shared, F.col(last) == F.col("_g"), "left_semi")
+    return e.select("key", "tree", F.col(f"n{LABEL}"), *[
+        F.when(~F.col("whole"), F.col(f"n{d}")).alias(f"n{d}") for d in depths if d < LABEL])
+
+
+def descend(sig: np.ndarray, joined: np.ndarray, block: np.ndarray | None, tree: int, depths: range, least: int):
+    """Edges (i, j, depth) that join texts of one node, prefix by prefix.
+
+    ``joined`` numbers what is joined before, ``block`` tells (across two blocks) who has been
+    compared elsewhere. Labels are sorted, so a prefix is a run; a run that is joined is left alone.
+    """
+    labels = sig.reshape(len(sig), TREES, LABEL)[:, tree]
+    order = np.lexsort(labels.T[::-1])
+    labels, joined, out = labels[order], joined[order].copy(), []
+    for depth in depths:
+        new = np.flatnonzero((labels[1:, :depth] != labels[:-1, :depth]).any(1)) + 1
+        for lo, hi in zip([0, *new], [*new, len(order)], strict=True):
+            if (joined[lo:hi] == joined[lo]).all():
+                continue
+            at = order[lo:hi]
+            same = np.zeros((hi - lo, hi - lo), np.uint8)
+            for k in range(sig.shape[1]):
+                same += sig[at, k][:, None] == sig[at, k][None, :]
+            near = same >= least
+            if block is not None:
+                near &= block[at][:, None] != block[at][None, :]
+            apart = joined[lo:hi][:, None] != joined[lo:hi][None, :]
+            for i, j in forest(near & apart | ~apart):
+                if joined[lo + i] != joined[lo + j]:
+                    out.append((int(at[i]), int(at[j]), depth))
+                    joined[joined == joined[lo + j]] = joined[lo + i]  # also outside of this run
+    return out
+
+
+def candidate_edges(nodes: DataFrame, classes: DataFrame, threshold: float, depths: range) -> DataFrame:
+    """Edges (a, b, depth) between texts of one node (key, tree, node, comp) that were not joined before."""
+    comp = F.xxhash64("comp")
+    met = paired_blocks(nodes, "node", F.count(F.lit(1)) / NODE_BLOCK, F.min(comp) < F.max(comp)).join(
+        classes.select("key", "sig"), "key")
+    least = least_agreement(threshold)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
-        same = np.zeros((len(pdf), len(pdf)), np.uint8)
-        for k in range(sig.shape[1]):
-            same += sig[:, k][:, None] == sig[:, k][None, :]
+        block = None if pdf["bi"].iloc[0] == pdf["bj"].iloc[0] else pdf["b"].to_numpy()
+        joined = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
         keys = pdf["key"].tolist()
-        edges = forest(_across(pdf, same >= least))
-        return pd.DataFrame({"a": [keys[i] for i, _ in edges], "b": [keys[j] for _, j in edges]}, columns=["a", "b"])
-
-    return met.select("node", "bi", "bj", "b", "key", "sig").groupBy("node", "bi", "bj").applyInPandas(
-        run, "a binary, b binary").distinct()
+        edges = descend(sig, joined, block, int(pdf["tree"].iloc[0]), depths, least)
+        return pd.DataFrame({"a": [keys[i] for i, _, _ in edges], "b": [keys[j] for _, j, _ in edges],
+                             "depth": [d for _, _, d in edges]}, columns=["a", "b", "depth"])
+
+    return met.select("node", "tree", "bi", "bj", "b", "key", "comp", "sig").groupBy("node", "bi", "bj").applyInPandas(
+        run, "a binary, b binary, depth int")
+
+
+def candidates(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Components (key, label) of what meets and agrees, and the edges (a, b, depth) that join them."""
+    e = written(entries(classes, threshold))
+    edges = labels = None
+    longer = LABEL + 1
+    for depth in steps(threshold):
+        nodes = e.where(F.col(f"n{depth}").isNotNull()).select("key", "tree", F.col(f"n{depth}").alias("node"))
+        nodes = nodes.withColumn("comp", F.col("key")) if labels is None else nodes.join(
+            labels.withColumnRenamed("label", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        new = written(candidate_edges(nodes, classes, threshold, range(longer - 1, depth - 1, -1)))
+        longer = depth
+        if labels is None:
+            edges, labels = new, written(components(new.select("a", "b")))
+        elif not new.isEmpty():
+            edges = edges.union(new)
+            stars = labels.select(F.col("key").alias("a"), F.col("label").alias("b"))
+            labels = written(components(stars.union(new.select("a", "b"))))
+    return labels, edges
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -148,8 +230,13 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps by turns; each round is written to the shared folder. The
     stars are min-aggregates and joins on the vertex, so a hub's edges are never gathered.
     """
+    def trace(edges: DataFrame):
+        h = F.xxhash64("u", "v")
+        return edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftright(h, 20))).first()
+
     e = written(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v").distinct())
-    while True:
+    before = trace(e)
+    while before[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, F.col("u") == F.col("w")).select(
@@ -161,9 +248,10 @@ def components(edges: DataFrame) -> DataFrame:
                               F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("p")).select(
             F.least("p.x", "p.y").alias("u"), F.greatest("p.x", "p.y").alias("v")).where("u < v").distinct()
         new = written(new)
-        if new.exceptAll(e).isEmpty() and e.exceptAll(new).isEmpty():
+        at = trace(new)
+        if at == before:  # the same set of edges, known by its size and two sums of hashes
             break
-        e = new
+        e, before = new, at
     return e.select(F.col("v").alias("key"), F.col("u").alias("label")).union(
         e.select(F.col("u").alias("key"), F.col("u").alias("label"))).distinct()
 
@@ -206,7 +294,9 @@ def verified(docs: DataFrame, classes: DataFrame, labels: DataFrame, threshold:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.binary())], ["key", "label", "size", "set"])
 
     held = texts.select("key", "label", "size", "text").mapInArrow(sets, "key binary, label binary, size long, set binary")
-    blocks = paired_blocks(held, "label", SET_BLOCK)
+    # two blocks' sets and what comparing them takes must fit a task: few texts, few bytes
+    blocks = paired_blocks(held, "label", F.greatest(F.count(F.lit(1)) / SET_BLOCK, F.sum(F.length("set")) / SET_BYTES),
+                           F.count(F.lit(1)) > 1)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         near = _across(pdf, similar([np.frombuffer(s, np.uint64) for s in pdf["set"]], threshold))
@@ -232,12 +322,11 @@ def classify(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     copies of each other. A doc_id given to several texts counts for each. Empty table: empty
     result.
     """
-    depth = prefix_length(threshold)
-    signed = written(sign(docs, depth))
+    signed = written(sign(docs))
     classes = written(signed.groupBy("key").agg(
         F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("size"),
-        F.first("sig").alias("sig"), F.first("nodes").alias("nodes")))
-    labels = written(components(candidate_edges(classes, threshold)))
+        F.first("sig").alias("sig"), F.first("windows").alias("windows")))  # equal words, equal signature
+    labels, _ = candidates(classes, threshold)
     found = written(verified(docs, classes, labels, threshold))
     links = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b")))
@@ -251,9 +340,14 @@ def classify(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The documents, one of each near-duplicate group: the one with the least doc_id."""
+    """The documents, one of each near-duplicate group: the one with the least doc_id.
+
+    Columns and their values are kept as they are. NULL, empty and white texts are copies of each
+    other, so one of them stays, as does one of repeated rows; of rows that agree in doc_id and
+    text, the one whose other columns have the least hash. Empty table: empty result.
+    """
     kept = classify(docs, threshold).select(F.col("class_id").alias("_id"), F.col("class_h").alias("_h")).distinct()
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id",
-                    F.xxhash64("text").alias("_t"))
+    d = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("_t"),
+                    content(docs, "doc_id", "text").alias("_o"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h"))
-    return d.join(kept, on, "left_semi").dropDuplicates(["doc_id", "_t"]).select("_row.*")
+    return d.join(kept, on, "left_semi").groupBy("doc_id", "_t").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*")

@@ -219,7 +219,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "lang", "source",
+    keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "lang", "source",
                         F.xxhash64("doc_id", "text").alias("_t"))
     verdict = judge(docs.select(F.struct("doc_id", F.xxhash64("doc_id", "text").alias("h")).alias("doc_id"),
                                 "text", "lang", "source"))

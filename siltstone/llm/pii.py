@@ -289,7 +289,7 @@ def mask(docs: DataFrame) -> DataFrame:
     """
     model = fit(candidates(docs))
     columns = docs.columns
-    d = _found(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text"))
+    d = _found(docs.select(F.struct("*").alias("_row"), "text"))
     d = d.select("_row", "text", F.sort_array(F.concat(*[_spans(k, model) for k in KINDS])).alias("_s"))
     # The columns below are each used more than once, so that Spark computes them once per row.
     d = d.withColumn("_r", _running(F.transform("_s", lambda s: s["end"]), lambda a, b: F.greatest(a, b)))
@@ -312,4 +312,4 @@ def mask(docs: DataFrame) -> DataFrame:
 
     masked = F.concat(F.array_join(F.transform("_u", put), ""), _cut(F.element_at("_u", -1)["end"], F.length("text")))
     d = d.withColumn("text", F.when(F.size("_u") > 0, masked).otherwise(F.col("text")))
-    return d.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns])
+    return d.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in columns])

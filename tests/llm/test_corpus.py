@@ -255,8 +255,78 @@ def test_repeated_rows_and_nothing(spark, awkward, nothing):
 
 
 def test_prefixes_shorten_until_the_recall():
-    d = lshforest.prefix_length(0.8)
-    assert 1 - (1 - 0.8**d) ** lshforest.TREES >= lshforest.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** lshforest.TREES
+    d = lshforest.shortest_prefix(0.8)
+    assert 1 - (1 - 0.8**d) ** lshforest.TREES > lshforest.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** lshforest.TREES
+    assert lshforest.steps(0.8) == [8, 6, 4] and lshforest.steps(0.99) == [8]
+    k = lshforest.least_agreement(0.8)
+    below = [sum(math.comb(128, i) * 0.8**i * 0.2 ** (128 - i) for i in range(n)) for n in (k, k + 1)]
+    assert below[0] <= (1 - lshforest.RECALL) / 100 < below[1]
+
+
+def minhashes(rng, n, tree=0, shared=()):
+    """Signatures of texts that agree in nothing but the first values of a tree's label."""
+    sig = rng.integers(0, 1 << 32, (n, lshforest.TREES * lshforest.LABEL)).astype(np.uint32)
+    for rows, depth in shared:
+        sig[np.ix_(rows, range(tree * lshforest.LABEL, tree * lshforest.LABEL + depth))] = 7 + rows[0]
+    return sig
+
+
+def test_descent_joins_deep_first_and_closes_nodes():
+    rng = np.random.default_rng(3)
+    sig = np.repeat(minhashes(rng, 1), 6, axis=0)
+    at = 3 * lshforest.LABEL
+    sig[2:, at + 7] += 1  # two share 8 values of tree 3, two others share 8 with each other, 7 with the first
+    sig[4, at + 5], sig[5, at + 4] = 1, 2  # these share 5 and 4 values with all others
+    edges = lshforest.descend(sig, np.arange(6), None, 3, range(8, 3, -1), 80)
+    assert sorted(d for _, _, d in edges) == [4, 5, 7, 8, 8] and len(edges) == 5
+    assert lshforest.descend(sig, np.zeros(6, int), None, 3, range(8, 3, -1), 80) == []  # joined before: closed
+    # two blocks: only what lies across is compared; numbers may stand in several runs
+    side = np.array([0, 0, 0, 1, 1, 1])
+    across = lshforest.descend(sig, np.arange(6), side, 3, range(8, 3, -1), 80)
+    assert across and all(side[i] != side[j] for i, j, _ in across)
+    again = lshforest.descend(sig, np.array([0, 1, 0, 1, 2, 3]), None, 3, range(8, 3, -1), 80)
+    assert len(again) == 3
+    # a node's texts that agree in its prefix alone are not joined
+    assert lshforest.descend(minhashes(rng, 9, 3, [(list(range(9)), 6)]), np.arange(9), None, 3, range(8, 3, -1), 80) == []
+
+
+def test_depth_follows_the_data(spark, monkeypatch):
+    """Close copies are joined under long prefixes, others under short ones; lone and closed nodes are left alone."""
+    rng = random.Random(31)
+    texts = [prose(rng, 100) for _ in range(40)]
+    for _ in range(60):  # pairs near the threshold
+        w = prose(rng, 150).split()
+        texts.append(" ".join(w))
+        for i in rng.sample(range(0, 150, 6), 3):
+            w[i] = prose(rng, 1) + "q"
+        texts.append(" ".join(w))
+    texts += near_copies(rng, prose(rng, 300), 50) + ["a b c", "a  b c d", "x y x y x y x", "x y x y x y x y x y"]
+    docs = documents(spark, texts)
+    classes = lshforest.sign(docs).select("key", "sig", "windows").cache()
+    labels, edges = lshforest.candidates(classes, 0.8)
+    depths = [r.depth for r in edges.collect()]
+    assert depths.count(8) > 80 and any(d < 8 for d in depths)
+    e = lshforest.entries(classes, 0.8)
+    short = classes.where("windows < 4").join(e, "key")
+    assert short.where("n6 is not null or n4 is not null").count() == 0
+    assert e.select("key").distinct().count() < classes.count()  # who meets nobody is gone
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = plain_classes(rows)
+    assert sum(n > 0 for _, _, n in wanted) > 120
+    for size in (1 << 25, 4096):  # sets cut into blocks by bytes
+        monkeypatch.setattr(lshforest, "SET_BYTES", size)
+        assert sorted((r.doc_id, r.class_id, r.n_links) for r in lshforest.classify(docs).collect()) == wanted
+
+
+def test_rows_that_differ_elsewhere_only(spark):
+    """Of one doc_id and text with other columns apart, the same row stays in every run; odd names are kept."""
+    rows = [(1, "a b c d e f", lang, "s", i) for i, lang in enumerate(["en", "de", None, "fr"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `o``dd.name` int")
+    kept = [lshforest.keep_one(docs.repartition(n)).collect() for n in (1, 7)]
+    assert kept[0] == kept[1] and len(kept[0]) == 1 and set(kept[0][0].asDict()) == set(docs.columns)
+    mixed = [sorted(map(tuple, curriculum.mix(docs.repartition(n)).collect()), key=str) for n in (1, 7)]
+    assert mixed[0] == mixed[1] and set(mixed[0]) <= set(rows)
+    assert pii.mask(docs).columns == docs.columns and outliers.keep_good(docs).columns == docs.columns
 
 
 def test_hashes_follow_words_only():
