@@ -33,6 +33,8 @@ from siltstone.llm.common import batches_by_size, content, written
 WIDTH, TREES, LABEL, RECALL = 5, 16, 8, 0.9995
 #: MinHashes that a prefix loses from one exchange to the next (within one, it loses them one by one).
 STEP = 2
+#: Trees whose full labels are exchanged before the others': they join close copies, which closes the others' nodes.
+FIRST_TREES = 3
 #: Texts of a block of signatures; texts and bytes of a block of shingle sets.
 NODE_BLOCK, SET_BLOCK, SET_BYTES = 1024, 256, 32 << 20
 
@@ -155,6 +157,16 @@ def entries(classes: DataFrame, threshold: float) -> DataFrame:
         F.when(~F.col("whole"), F.col(f"n{d}")).alias(f"n{d}") for d in depths if d < LABEL])
 
 
+def agreement(sig: np.ndarray) -> np.ndarray:
+    """How many values every two signatures have in common."""
+    if len(sig) <= 32:  # small enough to be compared at once
+        return (sig[:, None] == sig[None, :]).sum(2, dtype=np.uint8)
+    same = np.zeros((len(sig), len(sig)), np.uint8)
+    for column in np.ascontiguousarray(sig.T):
+        same += column[:, None] == column[None, :]
+    return same
+
+
 def descend(sig: np.ndarray, joined: np.ndarray, block: np.ndarray | None, tree: int, depths: range, least: int):
     """Edges (i, j, depth) that join texts of one node, prefix by prefix.
 
@@ -170,10 +182,7 @@ def descend(sig: np.ndarray, joined: np.ndarray, block: np.ndarray | None, tree:
             if (joined[lo:hi] == joined[lo]).all():
                 continue
             at = order[lo:hi]
-            same = np.zeros((hi - lo, hi - lo), np.uint8)
-            for k in range(sig.shape[1]):
-                same += sig[at, k][:, None] == sig[at, k][None, :]
-            near = same >= least
+            near = agreement(sig[at]) >= least
             if block is not None:
                 near &= block[at][:, None] != block[at][None, :]
             apart = joined[lo:hi][:, None] != joined[lo:hi][None, :]
@@ -191,16 +200,18 @@ def candidate_edges(nodes: DataFrame, classes: DataFrame, threshold: float, dept
         classes.select("key", "sig"), "key")
     least = least_agreement(threshold)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
-        block = None if pdf["bi"].iloc[0] == pdf["bj"].iloc[0] else pdf["b"].to_numpy()
-        joined = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
-        keys = pdf["key"].tolist()
-        edges = descend(sig, joined, block, int(pdf["tree"].iloc[0]), depths, least)
-        return pd.DataFrame({"a": [keys[i] for i, _, _ in edges], "b": [keys[j] for _, j, _ in edges],
-                             "depth": [d for _, _, d in edges]}, columns=["a", "b", "depth"])
-
-    return met.select("node", "tree", "bi", "bj", "b", "key", "comp", "sig").groupBy("node", "bi", "bj").applyInPandas(
+    def run(table: pa.Table) -> pa.Table:
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(table.num_rows, -1)
+        across = table["bi"][0] != table["bj"][0]
+        numbers: dict[bytes, int] = {}
+        joined = np.array([numbers.setdefault(c, len(numbers)) for c in table["comp"].to_pylist()])
+        edges = descend(sig, joined, table["b"].to_numpy() if across else None, table["tree"][0].as_py(), depths, least)
+        keys = table["key"].to_pylist()
+        return pa.table([pa.array([keys[i] for i, _, _ in edges], pa.binary()),
+                         pa.array([keys[j] for _, j, _ in edges], pa.binary()),
+                         pa.array([d for _, _, d in edges], pa.int32())], ["a", "b", "depth"])
+
+    return met.select("node", "tree", "bi", "bj", "b", "key", "comp", "sig").groupBy("node", "bi", "bj").applyInArrow(
         run, "a binary, b binary, depth int")
 
 
@@ -209,11 +220,12 @@ def candidates(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFra
     e = written(entries(classes, threshold))
     edges = labels = None
     longer = LABEL + 1
-    for depth in steps(threshold):
-        nodes = e.where(F.col(f"n{depth}").isNotNull()).select("key", "tree", F.col(f"n{depth}").alias("node"))
+    first = F.col("tree") < FIRST_TREES
+    for depth, trees in [(LABEL, first), (LABEL, ~first), *[(d, F.lit(True)) for d in steps(threshold)[1:]]]:
+        nodes = e.where(trees & F.col(f"n{depth}").isNotNull()).select("key", "tree", F.col(f"n{depth}").alias("node"))
         nodes = nodes.withColumn("comp", F.col("key")) if labels is None else nodes.join(
             labels.withColumnRenamed("label", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        new = written(candidate_edges(nodes, classes, threshold, range(longer - 1, depth - 1, -1)))
+        new = written(candidate_edges(nodes, classes, threshold, range(max(longer - 1, depth), depth - 1, -1)))
         longer = depth
         if labels is None:
             edges, labels = new, written(components(new.select("a", "b")))
