@@ -23,7 +23,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltstone.llm import shingles
@@ -35,6 +35,8 @@ WIDTH, TREES, LABEL, RECALL = 5, 16, 8, 0.9995
 STEP = 2
 #: Trees whose full labels are exchanged before the others': they join close copies, which closes the others' nodes.
 FIRST_TREES = 3
+#: Rounds of stars between exchanges; components are only completed after the last one.
+ROUNDS = 1
 #: Texts of a block of signatures; texts and bytes of a block of shingle sets.
 NODE_BLOCK, SET_BLOCK, SET_BYTES = 1024, 256, 32 << 20
 
@@ -218,7 +220,7 @@ def candidate_edges(nodes: DataFrame, classes: DataFrame, threshold: float, dept
 def candidates(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Components (key, label) of what meets and agrees, and the edges (a, b, depth) that join them."""
     e = written(entries(classes, threshold))
-    edges = labels = None
+    edges = tied = labels = None
     longer = LABEL + 1
     first = F.col("tree") < FIRST_TREES
     for depth, trees in [(LABEL, first), (LABEL, ~first), *[(d, F.lit(True)) for d in steps(threshold)[1:]]]:
@@ -227,45 +229,59 @@ def candidates(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFra
             labels.withColumnRenamed("label", "comp"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         new = written(candidate_edges(nodes, classes, threshold, range(max(longer - 1, depth), depth - 1, -1)))
         longer = depth
-        if labels is None:
-            edges, labels = new, written(components(new.select("a", "b")))
-        elif not new.isEmpty():
-            edges = edges.union(new)
-            stars = labels.select(F.col("key").alias("a"), F.col("label").alias("b"))
-            labels = written(components(stars.union(new.select("a", "b"))))
-    return labels, edges
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """key, label (the least key of its component) of every key that has an edge.
-
-    Large-star and small-star steps by turns; each round is written to the shared folder. The
-    stars are min-aggregates and joins on the vertex, so a hub's edges are never gathered.
+        edges = new if edges is None else edges.union(new)
+        met = new.select("a", "b")
+        if tied is not None:
+            met = met.union(tied.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        if depth > shortest_prefix(threshold):  # labels may lag behind: a node is then closed later, none too early
+            tied = contracted(met, ROUNDS)
+            labels = least_keys(tied)
+    return written(components(met)), edges
+
+
+def contracted(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Edges (u < v) of the same components, drawn towards their least keys; stars at the end.
+
+    Large-star and small-star steps by turns, until nothing changes or for some rounds; a round
+    is written to the shared folder, and whether it changed anything is observed on that write.
+    The stars are min-aggregates and joins on the vertex, so a hub's edges are never gathered.
     """
-    def trace(edges: DataFrame):
-        h = F.xxhash64("u", "v")
-        return edges.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.shiftright(h, 20))).first()
+    h = F.xxhash64("u", "v")
+
+    def kept(e: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        e = written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
+                              F.sum(F.shiftright(h, 20)).alias("s")))
+        return e, seen.get
 
-    e = written(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v").distinct())
-    before = trace(e)
-    while before[0]:
+    e = edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v").distinct()
+    before, done = None, 0
+    while done != rounds:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, F.col("u") == F.col("w")).select(
             F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large)  # every edge now points from the larger to the smaller key
+        # every edge now points from the larger to the smaller key
         small = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-        new = large.join(small, F.col("u") == F.col("w")).select(
+        e, at = kept(large.join(small, F.col("u") == F.col("w")).select(
             F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")),
                               F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("p")).select(
-            F.least("p.x", "p.y").alias("u"), F.greatest("p.x", "p.y").alias("v")).where("u < v").distinct()
-        new = written(new)
-        at = trace(new)
-        if at == before:  # the same set of edges, known by its size and two sums of hashes
+            F.least("p.x", "p.y").alias("u"), F.greatest("p.x", "p.y").alias("v")).where("u < v").distinct())
+        if at == before or not at["n"]:  # the same set of edges, known by its size and two sums of hashes
             break
-        e, before = new, at
+        before, done = at, done + 1
+    return e
+
+
+def least_keys(e: DataFrame) -> DataFrame:
+    """key, label: the least key that an edge (u < v) ties it to, itself included."""
     return e.select(F.col("v").alias("key"), F.col("u").alias("label")).union(
-        e.select(F.col("u").alias("key"), F.col("u").alias("label"))).distinct()
+        e.select(F.col("u").alias("key"), F.col("u").alias("label"))).groupBy("key").agg(F.min("label").alias("label"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """key, label (the least key of its component) of every key that has an edge."""
+    return least_keys(contracted(edges))
 
 
 def similar(sets: list[np.ndarray], threshold: float, chunk: int = 8192) -> np.ndarray:
