@@ -2,8 +2,11 @@
 
 Each document becomes a vector of transformed text statistics. Per language and source a
 minimum covariance determinant estimate (the mean and covariance of the tightest part of the
-group) is found by concentration steps from several starts; documents far from it by
-Mahalanobis distance are rejected.
+group) is found by concentration steps from several starts, for each language and for all rows
+besides. A group's estimate is completed by a fixed number of rows that are as its language's, and
+that one's by rows as all are, so a small group leans on its language and a large one stands for
+itself, without a size at which that turns over. Documents far from it by Mahalanobis distance are
+rejected.
 """
 
 from __future__ import annotations
@@ -23,8 +26,12 @@ P = len(STATS)
 CHI_MEDIAN, CHI_975 = 3.357, 11.143
 #: Rejected beyond this squared distance: chi-square with 4 degrees of freedom at 0.9999.
 CUTOFF = 23.513
-#: Share of a group that the tightest part holds; concentration steps; smallest own group.
-SHARE, STEPS, MIN_ROWS = 0.75, 4, 100
+#: Share of a group that the tightest part holds; concentration steps.
+SHARE, STEPS = 0.75, 4
+#: So many rows as its language's complete a group's estimate (as all rows', a language's).
+PRIOR = 100
+#: Key of the group of all rows.
+ALL = "0"
 #: A group's rows are joined with its estimate in this many parts.
 SALTS = 32
 
@@ -113,6 +120,10 @@ def _shape(d: DataFrame, starts) -> DataFrame:
     return d.withColumns({f"det{s}": reduce(Column.__mul__, [F.col(f"l{s}_{i}{i}") for i in range(P)]) for s in starts})
 
 
+#: Names of the sums of values and products of the first start.
+SUMS = [f"s0_{i}" for i in range(P)] + [f"q0_{i}{j}" for i in range(P) for j in range(i + 1)]
+
+
 def _keep(s: int) -> list[str]:
     return [f"m{s}_{i}" for i in range(P)] + [f"l{s}_{i}{j}" for i in range(P) for j in range(i + 1)] + [f"det{s}"]
 
@@ -134,22 +145,45 @@ def _joined(x: DataFrame, params: DataFrame, how: str = "inner") -> DataFrame:
     return x.join(salted, (F.col("g") == F.col("_pg")) & (F.col("salt") == F.col("_ps")), how).drop("_pg", "_ps")
 
 
+def levels(rows: DataFrame) -> DataFrame:
+    """Each row three times: in its group, its language and among all (column ``g``)."""
+    return rows.withColumn("g", F.explode(F.array("g", "up", F.lit(ALL)))).drop("up")
+
+
+def completed(rows: DataFrame, found: DataFrame, means: list[str]) -> DataFrame:
+    """g and the ``means`` of each group of the rows: over its n rows and PRIOR more.
+
+    ``found`` has a row per group of every level (g, n, means). The further rows are as the
+    language's means, which are completed in the same way from the means over all.
+    """
+    top = found.where(F.col("g") == ALL).first()
+    at = lambda v: found.select(F.col("g").alias(f"_{v}"), F.col("n").alias(f"n_{v}"),
+                                *[F.col(c).alias(f"{c}_{v}") for c in means])
+    groups = rows.select("g", "up").distinct().join(at("own"), F.col("g") == F.col("_own"), "left").join(
+        at("up"), F.col("up") == F.col("_up"), "left")
+
+    def more(level: str, mean: str, parent: Column) -> Column:
+        n = F.coalesce(F.col(f"n_{level}"), F.lit(0.0))
+        return (n * F.coalesce(F.col(f"{mean}_{level}"), F.lit(0.0)) + PRIOR * parent) / (n + PRIOR)
+
+    return groups.select("g", *[more("own", c, more("up", c, F.lit(top[c] if top else None).cast("double"))).alias(c)
+                                for c in means])
+
+
 def vectors(stats: DataFrame) -> DataFrame:
     """Adds the group ``g`` and the vector ``x0 .. x3`` to the counts.
 
     Ratios are smoothed (a short text's single repeat says little); the mean word length is
-    its difference from the group's median, shrunk for short texts. Groups under MIN_ROWS
-    rows that pass the base rules are estimated together.
+    its difference from the group's median (completed by the language's), shrunk for short
+    texts. ``up`` is the key of the language.
     """
-    own = F.to_json(F.struct("lang", "source"))
-    s = stats.withColumn("g", own).withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(SALTS)).cast("int"))
+    s = stats.withColumns({
+        "g": F.concat(F.lit("2"), F.to_json(F.struct("lang", "source"))), "up": F.concat(F.lit("1"), F.to_json(F.struct("lang"))),
+        "salt": F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(SALTS)).cast("int")})
     length = F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))
-    sizes = s.where(~F.col("base_failed")).groupBy("g").agg(F.count(F.lit(1)).alias("_rows"))
-    own = F.col("_rows") >= MIN_ROWS
-    s = _joined(s, sizes, "left").withColumn("g", F.when(own, F.col("g")).otherwise(F.lit(""))).drop("_rows")
-    middle = s.where(~F.col("base_failed")).groupBy("g").agg(
-        F.percentile_approx(length, 0.5, 1000).alias("_mid"))
-    s = _joined(s, middle, "left")
+    middle = levels(s.where(~F.col("base_failed")).select("g", "up", length.alias("_length"))).groupBy("g").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.percentile_approx("_length", 0.5, 1000).alias("_mid"))
+    s = _joined(s, completed(s, written(middle.coalesce(1)), ["_mid"]), "left")
     n = F.col("n_words").cast("double")
     return s.withColumns({
         "x0": F.col("n_symbols") / (F.col("word_chars") + F.lit(50.0)),
@@ -166,7 +200,8 @@ def estimates(x: DataFrame) -> DataFrame:
     STEPS concentration steps; the smallest determinant wins; rows within the 97.5 % ellipsoid
     give the final estimate. Quantiles come from a mergeable sketch (rank error 1/1000) and
     moments from partial sums, so a group of any size is never gathered; a step's table has a
-    row per group.
+    row per group. Beside the estimate: n, the rows it rests on, and the means of their values
+    and products (``s0_*``, ``q0_*``).
     """
     level = lambda col, q: F.percentile_approx(col, q, 1000)
     starts = range(3)
@@ -196,19 +231,24 @@ def estimates(x: DataFrame) -> DataFrame:
     scale = d.groupBy("g").agg((level(F.col("d0"), 0.5) / F.lit(CHI_MEDIAN)).alias("k"))
     d = _joined(d, scale).withColumn("inside", F.col("d0") <= F.lit(CHI_975) * F.greatest(F.col("k"), F.lit(1.0)))
     final = d.groupBy("g").agg(*_moments(F.col("inside"), 0))
-    return written(_shape(final, [0]).select("g", *_keep(0)).coalesce(1))
+    return written(_shape(final, [0]).select("g", F.col("n0").alias("n"), *_keep(0), *[
+        (F.col(c) / F.col("n0")).alias(c) for c in SUMS]).coalesce(1))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per input row: counts, ``base_failed``, ``distance2`` and ``kept``.
 
     NULL and empty texts have no words and fail the base rules. NULL lang or source is a value
-    like any other. A group without rows that pass the base rules needs no estimate. Repeated
-    rows are judged alike; an empty table gives an empty result.
+    like any other. A group without rows that pass the base rules needs no estimate; one of a
+    single row is judged nearly by its language. Repeated rows are judged alike; an empty table
+    gives an empty result.
     """
     stats = written(text_statistics(docs))
     x = vectors(stats)
-    params = estimates(x.where(~F.col("base_failed")))
+    passed = x.where(~F.col("base_failed"))
+    found = estimates(levels(passed.select("g", "up", "salt", *[f"x{i}" for i in range(P)])))
+    means = completed(passed, found, SUMS).withColumn("n0", F.lit(1.0))
+    params = written(_shape(means, [0]).select("g", *_keep(0)).coalesce(1))
     d = _joined(x, params, "left")
     d = d.withColumn("distance2", _distance(0))
     return d.select(

@@ -184,6 +184,47 @@ def test_estimates_resist_contamination(spark):
     assert all(0.7 < e[f"l0_{i}{i}"] < 1.3 for i in range(4))
 
 
+def test_small_groups_lean_on_their_language(spark):
+    rows = [("2a", "1x"), ("2b", "1x"), ("2c", "1y")]
+    rows = spark.createDataFrame(rows, "g string, up string")
+    found = spark.createDataFrame([("2a", 1.0, 50.0), ("2b", 99900.0, 50.0), ("1x", 300.0, 10.0), ("0", 900.0, 2.0)],
+                                  "g string, n double, v double")
+    got = {r.g: r.v for r in outliers.completed(rows, found, ["v"]).collect()}
+    language = (300 * 10 + 100 * 2) / 400  # completed from all rows first
+    assert got["2a"] == pytest.approx((50 + 100 * language) / 101)
+    assert got["2b"] == pytest.approx((99900 * 50 + 100 * language) / 100000)
+    assert got["2c"] == pytest.approx(2)  # neither the group nor its language is known
+    assert outliers.completed(rows, found.limit(0), ["v"]).where("v is not null").count() == 0
+
+
+def test_verdict_equals_a_plain_distance(spark):
+    """``distance2`` from the estimates themselves: moments completed and inverted with numpy."""
+    rng = random.Random(6)
+    texts = [prose(rng, rng.choice([60, 90, 300])) + " #" * rng.choice([0, 0, 1, 3]) for _ in range(120)]
+    docs = documents(spark, texts, source="big").unionByName(documents(spark, texts[:7], source="small"))
+    stats = outliers.written(outliers.text_statistics(docs))
+    x = outliers.vectors(stats)
+    found = {r.g: r for r in outliers.estimates(outliers.levels(x.where("not base_failed").select(
+        "g", "up", "salt", "x0", "x1", "x2", "x3"))).collect()}
+    assert {g[0] for g in found} == set("012")
+
+    def means(g):
+        return np.array([found[g][c] for c in outliers.SUMS])
+
+    wanted = []
+    for r in x.where("not base_failed").collect():
+        up = (found[r.up].n * means(r.up) + 100 * means("0")) / (found[r.up].n + 100)
+        own = (found[r.g].n * means(r.g) + 100 * up) / (found[r.g].n + 100)
+        m, second = own[:4], np.zeros((4, 4))
+        second[np.tril_indices(4)] = own[4:]
+        c = second + np.tril(second, -1).T - np.outer(m, m) + np.diag([v * v for v in outliers.STATS.values()])
+        d = np.array([r.x0, r.x1, r.x2, r.x3]) - m
+        wanted.append((r.doc_id, r.source, float(d @ np.linalg.solve(c, d))))
+    got = sorted((r.doc_id, r.source, r.distance2, r.kept) for r in outliers.judge(docs).where("not base_failed").collect())
+    for (i, source, d2), g in zip(sorted(wanted), got, strict=True):
+        assert g[:2] == (i, source) and g[2] == pytest.approx(d2, rel=1e-6, abs=1e-9) and g[3] == (d2 <= outliers.CUTOFF)
+
+
 # -- near duplicates ---------------------------------------------------------------
 
 
