@@ -168,9 +168,11 @@ def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 17) -> DataFrame:
     all columns, and move once more in the sort. Only rows equal in every column share a key:
     the copies of one stand for the others. A text of NULL or without words has size 0 and is
     never taken; a NULL doc_id or source is a value like others; empty table: empty result.
+    Without other columns the keys are those of ``deal``, so both give copies the same order.
     """
+    others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text",
-                        *_keys(content(docs, "doc_id", "source", "text")))
+                        *_keys(*([content(docs, "doc_id", "source", "text")] if others else [])))
     copies = schedule(plan(keyed, max_repeat, seed, carry=["k1", "k2"])).select("k1", "k2", "position", "copy", "before")
     rows = keyed.select("_row", "k1", "k2").dropDuplicates(["k1", "k2"])
     return rows.join(copies, ["k1", "k2"]).orderBy(*ORDER).select("_row.*")

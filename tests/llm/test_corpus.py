@@ -691,3 +691,12 @@ def test_position_inverts_the_integral(spark, slope):
 
 def test_long_text_is_read_whole():
     assert len(plain_words(LONG)) == 60_000 and pulearn.features(LONG)[9] == pytest.approx(math.log1p(60_000))
+
+
+def test_mix_orders_copies_as_deal_does(spark, tmp_path):
+    # Rows of doc_id, text and source only: ties in position fall the same way in both.
+    rows = [(i, " ".join(["w"] * (1 + i % 5)), ["a", "b", "c"][i % 3]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    dealt = curriculum.deal(docs).collect()
+    placed = [i for _, i in sorted((place, r.doc_id) for r in dealt for place in r.places)]
+    assert [r.doc_id for r in curriculum.mix(docs).collect()] == placed
