@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -268,3 +270,58 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in SOURCES["purchase_orders"].columns))
+
+
+def test_rows_landed_after_the_last_outcome_are_not_shuffled(spark, tmp_path, no_broadcast):
+    """A full load joins with earlier outcomes only the rows that may have one."""
+    spec = SOURCES["supplier_master"]
+    lake = Lake(spark, str(tmp_path / "lake"))
+    rows = spark.range(50).selectExpr(
+        "concat('S', id % 40) supplier_id", "'n' supplier_name", "'c' country", "'' contact_email",
+        "IF(id < 5, 'nope', '2024-01-01') contract_start_date", "'t' performance_tier")
+    land(lake, rows, spec, "r1", ingested_at=AT)
+    silver.load_silver(lake, spec, "s1", AT)
+    land(lake, rows, spec, "r2", ingested_at=AT)
+    bronze = lake.read("bronze", spec.bronze_table, spec.bronze_schema)
+    todo = silver.unprocessed(lake, spec, bronze)
+    later = plan(todo).split("Union")[1:]
+    assert later and "Join" not in later[0].split("SortMergeJoin")[-1] and plan(todo).count("LeftAnti") == 1
+    got = {r.run_id: r["count"] for r in todo.groupBy("run_id").count().collect()}
+    assert got == {"r1": 50 - 40 - 5, "r2": 50}  # the copies of the first run, the second whole
+    odd = bronze.withColumn("bronze_id", F.lit(None).cast("long"))
+    assert silver.unprocessed(lake, spec, odd).count() == 100
+
+
+def test_staged_text_is_written_once_and_comes_back_as_delivered(spark, tmp_path):
+    """Copies are ordered by their text as delivered, and the quarantine keeps that text, although the
+    load writes down the text of a value only where the value does not spell it."""
+    spec = replace(SOURCES["purchase_orders"], first_by=(*SOURCES["purchase_orders"].columns, "bronze_id"), references=())
+    lake = Lake(spark, str(tmp_path / "lake"))
+    same = ("S", "M", "2026-01-05")
+    rows = [(" P1 ", *same, "07", "1.5", "USD"), ("P1", *same, "7", "1.50", " USD "), ("P2", *same, "1_0", "2", " K "),
+            ("P3", "S", "M", "2026-1-5", "3", "4.00", "USD"), ("P4", *same, "x", "1.00", "USD"),
+            ("P4", *same, "5", None, "USD")]
+    land(lake, _orders(spark, rows), spec, "r1", ingested_at=AT)
+    staged, stage = [], lake.stage
+    lake.stage = lambda df, name: staged.append(stage(df, name)) or staged[-1]
+    kept, unstage = [], lake.unstage
+    lake.unstage = lambda name: kept.extend(
+        r.asDict() for r in (staged[-1].collect() if staged else [])) or staged.clear() or unstage(name)
+    flags = {f"_orphan_{c}": F.lit(False) for c in ("supplier_id", "medicine_id")}
+    orphans, silver.flag_orphans = silver.flag_orphans, lambda lake, df, *rest: df.withColumns(flags)
+    try:
+        counts = silver.load_silver(lake, spec, "s1", AT, on_duplicate="quarantine")
+    finally:
+        silver.flag_orphans = orphans
+    assert (counts.passed, counts.quarantined) == (3, 3)
+    assert {r["po_id"]: (r["quantity"], r["total_cost"], r["order_date"]) for r in kept if r["_failed"] is None} == {
+        " P1 ": ("07", "1.5", None), "P1": (None, None, None), "P2": ("1_0", "2", None), "P3": (None, None, "2026-1-5")}
+    got = {r.po_id: (r.quantity, str(r.total_cost), r.currency, str(r.order_date)) for r in lake.read("silver", "purchase_orders").collect()}
+    assert got == {"P1": (7, "1.50", "USD", "2026-01-05"), "P2": (10, "2.00", "K", "2026-01-05"),
+                   "P3": (3, "4.00", "USD", "2026-01-05")}
+    told = {(r.rule_id, *[json.loads(r.row_data)[c] for c in spec.columns]) for r in lake.read("silver", "quarantine").collect()}
+    assert told == {("VR-09", *rows[1]), ("VR-03", *rows[4]), ("VR-10", *rows[5])}
