@@ -325,3 +325,36 @@ def test_staged_text_is_written_once_and_comes_back_as_delivered(spark, tmp_path
                    "P3": (3, "4.00", "USD", "2026-01-05")}
     told = {(r.rule_id, *[json.loads(r.row_data)[c] for c in spec.columns]) for r in lake.read("silver", "quarantine").collect()}
     assert told == {("VR-09", *rows[1]), ("VR-03", *rows[4]), ("VR-10", *rows[5])}
+
+
+def _shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in found.split("\n") if re.search(r"shuffle_\d+_\d+_\d+\.data$", f)}
+
+
+def test_a_write_leaves_only_what_it_writes(spark, tmp_path, no_broadcast):
+    """Shuffle files of staged, appended, bucketed and replaced tables go with the write, the files
+    are small, and the session's settings are as before."""
+    spec, lake = SOURCES["purchase_orders"], Lake(spark, str(tmp_path / "lake"))
+    mine = ("spark.sql.parquet.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = spark.range(3000).selectExpr(
+        "concat('P', id) po_id", "'S' supplier_id", "'M' medicine_id", "date'2026-01-01' order_date", "1 quantity",
+        "cast(1 as decimal(12,2)) total_cost", "'USD' currency", "id bronze_id", "timestamp'2026-01-01' validated_at")
+    lake.bucket_by("silver", spec.silver_table, ["po_id"])
+    old = _shuffle_files(spark)
+    moved = lambda: rows.repartition(4, "po_id")
+    assert lake.stage(moved(), "some").count() == 3000
+    lake.append(moved(), "silver", spec.silver_table)
+    lake.put_partition(moved().withColumn("run_id", F.lit("r")), "bronze", "purchase_orders_raw", run_id="r")
+    lake.replace(moved().select(F.col("bronze_id").alias("country_key"), F.col("po_id").alias("country_name"),
+                                F.lit("t").alias("risk_tier")), "gold", "dim_country", key="country_key")
+    assert not _shuffle_files(spark) - old
+    files = [p.name for p in (tmp_path / "lake").rglob("*.parquet")]
+    assert files and all(".zstd." in f for f in files)
+    assert [spark.conf.get(k, None) for k in mine] == [None, None]
+    spark.conf.set(mine[0], "gzip")  # a session's own choice holds
+    try:
+        lake.stage(rows, "other")
+    finally:
+        spark.conf.unset(mine[0])
+    assert all(".gz." in p.name for p in (tmp_path / "lake/_staging/other").glob("part-*"))
