@@ -375,3 +375,25 @@ def test_upsert_whitelist(spark):
     assert got == {"a": ("x", 1), "b": (None, 2), "c": ("z", 3)}
     keys = {r.k: r.sk for r in upsert(old, new, "k", "sk", ["s", "n"], 2).collect()}
     assert keys["a"] == 1 and keys["b"] == 2 and keys["c"] >= 2**33
+
+
+def test_joined_fact_rows_are_written_before_they_are_laid_out(spark, done, tmp_path):
+    """The joins' shuffle files are gone before the ranges are dealt; nothing of it stays."""
+    _, config, run = done
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest_all(lake, config, "r1", AT)
+    silver.load_all_silver(lake, config, "s1", AT)
+    staged, stage = {}, lake.stage
+
+    def kept(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    lake.stage, laid, by_eta = kept, [], gold.by_eta
+    gold.by_eta = lambda rows: laid.append(rows.inputFiles()) or by_eta(rows)
+    try:
+        assert gold.load_all_gold(lake, config) == run.gold
+    finally:
+        gold.by_eta = by_eta
+    assert "fact_rows" in staged and all("/_staging/fact_rows/" in f for f in laid[0]) and laid[0]
+    assert not (tmp_path / "lake/_staging/fact_rows").exists()
