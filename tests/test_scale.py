@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
@@ -343,12 +344,15 @@ def test_a_write_leaves_only_what_it_writes(spark, tmp_path, no_broadcast):
     lake.bucket_by("silver", spec.silver_table, ["po_id"])
     old = _shuffle_files(spark)
     moved = lambda: rows.repartition(4, "po_id")
-    assert lake.stage(moved(), "some").count() == 3000
+    some = lake.stage(moved(), "some")
     lake.append(moved(), "silver", spec.silver_table)
     lake.put_partition(moved().withColumn("run_id", F.lit("r")), "bronze", "purchase_orders_raw", run_id="r")
     lake.replace(moved().select(F.col("bronze_id").alias("country_key"), F.col("po_id").alias("country_name"),
                                 F.lit("t").alias("risk_tier")), "gold", "dim_country", key="country_key")
-    assert not _shuffle_files(spark) - old
+    until = time.monotonic() + 20  # executors remove them in the background
+    while (left := _shuffle_files(spark) - old) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left and some.count() == 3000
     files = [p.name for p in (tmp_path / "lake").rglob("*.parquet")]
     assert files and all(".zstd." in f for f in files)
     assert [spark.conf.get(k, None) for k in mine] == [None, None]
